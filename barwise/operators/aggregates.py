@@ -71,9 +71,9 @@ def table_stats(df: DataFrame, key: str = KEY, date: str = DATE) -> DataFrame:
                   F.max(date).alias("last_date"))
 
 
-def period_key(grain: str, date: str = DATE) -> F.Column:
-    """``YYYY-MM``, ``YYYYQn``, ``YYYY-Sn`` or ``YYYY``."""
-    d = F.col(date)
+def period_key(grain: str, date=DATE) -> F.Column:
+    """``YYYY-MM``, ``YYYYQn``, ``YYYY-Sn`` or ``YYYY`` (name or Column)."""
+    d = F.col(date) if isinstance(date, str) else date
     if grain == "month":
         return F.date_format(d, "yyyy-MM")
     if grain == "quarter":
@@ -143,17 +143,21 @@ def signal_counts(df: DataFrame, signal: str = "signal_trading",
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def signal_share(df: DataFrame, key: str = KEY, signal: str = "signal_trading") -> DataFrame:
-    """Buy and sell counts (including the band signals) and their share (%)
-    of all non-null signals; an empty denominator counts as 1."""
+def signal_share_columns(signal: str = "signal_trading") -> list[F.Column]:
+    """G9 aggregate columns: buy and sell counts (the band signals included)
+    and their share (%) of all non-null signals; an empty denominator is 1."""
     s = F.col(signal)
     total = F.greatest(F.count(s), F.lit(1)).cast("double")
     buy = F.count_if(s.isin(SIGNAL_BUY, SIGNAL_BB_BUY))
     sell = F.count_if(s.isin(SIGNAL_SELL, SIGNAL_BB_SELL))
-    return df.groupBy(key).agg(
-        buy.alias("signaux_achat"), sell.alias("signaux_vente"),
-        (buy.cast("double") * 100 / total).alias("pct_achat"),
-        (sell.cast("double") * 100 / total).alias("pct_vente"))
+    return [buy.alias("signaux_achat"), sell.alias("signaux_vente"),
+            (buy.cast("double") * 100 / total).alias("pct_achat"),
+            (sell.cast("double") * 100 / total).alias("pct_vente")]
+
+
+def signal_share(df: DataFrame, key: str = KEY, signal: str = "signal_trading") -> DataFrame:
+    """Per symbol, see ``signal_share_columns``."""
+    return df.groupBy(key).agg(*signal_share_columns(signal))
 
 
 def pivot_close(df: DataFrame, symbols: list[str], key: str = KEY, date: str = DATE,

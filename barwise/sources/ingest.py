@@ -126,16 +126,23 @@ def _with_raw_columns(df: DataFrame) -> DataFrame:
     return df
 
 
-def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows in the raw schema, rejected rows with ``reject_reason``).
+def tag_rejects(df: DataFrame) -> DataFrame:
+    """Add the missing raw columns and ``reject_reason`` (NULL for a good row).
 
     Constraints come from the raw table: NOT NULL keys, text lengths and
     the decimal(10,4) range; a parse failure from S1 is kept as the reason.
-    Both outputs are filters of one tagged frame (no action here).
     """
     df = _with_raw_columns(df)
     earlier = F.col("reject_reason") if "reject_reason" in df.columns else F.lit(None)
-    tagged = df.withColumn("reject_reason", F.coalesce(earlier.cast("string"), reject_reason()))
+    return df.withColumn("reject_reason", F.coalesce(earlier.cast("string"), reject_reason()))
+
+
+def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows in the raw schema, rejected rows with ``reject_reason``).
+
+    Both outputs are filters of one tagged frame (no action here).
+    """
+    tagged = tag_rejects(df)
     good = tagged.where(F.col("reject_reason").isNull()).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_BARS.fields])
     rejects = tagged.where(F.col("reject_reason").isNotNull())
