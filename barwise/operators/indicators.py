@@ -23,7 +23,7 @@ from ..schemas import (MACD_DOWN, MACD_UP, NEUTRAL, RSI_HIGH, RSI_LOW, RSI_OVERB
                        RSI_OVERSOLD, SIGNAL_BB_BUY, SIGNAL_BB_SELL, SIGNAL_BUY, SIGNAL_SELL,
                        TREND_DOWN, TREND_UNKNOWN, TREND_UP)
 from .filters import DATE, KEY
-from .series import IDX, block_window, ema_columns, frame, on_series
+from .series import IDX, block_window, ema_columns, frame, geometric_columns, on_series
 
 CLOSE = "prix_fermeture"
 EMA_DIGITS = 4
@@ -141,18 +141,50 @@ def ema(df: DataFrame, col: str, span: float | None = None, alpha: float | None
     return on_series(df, key, order, 0, fn)
 
 
+def macd_terms(fast: int, slow: int, signal: int, price: str):
+    """Geometric-sum terms and output weights of the MACD line and signal.
+
+    Every EMA here is linear in the closes, and an EMA of an EMA is a sum of
+    two geometric kernels: with ``a = 2/(span+1)``, ``q = 1 - a`` and
+    ``G_q`` the geometric sum of the closes,
+    ``line = a_f G_f - a_s G_s`` and
+    ``signal = a_9 a_f (q_f G_f - q_9 G_9)/(q_f - q_9)
+             - a_9 a_s (q_s G_s - q_9 G_9)/(q_s - q_9)``.
+    Returns None when two spans coincide (the kernel is then not a plain
+    geometric sum).
+    """
+    if len({fast, slow, signal}) < 3:
+        return None
+    a = {n: 2.0 / (n + 1) for n in (fast, slow, signal)}
+    q = {n: 1.0 - a[n] for n in a}
+    af, as_, a9 = a[fast], a[slow], a[signal]
+    qf, qs, q9 = q[fast], q[slow], q[signal]
+    terms = {"_gf": (price, qf, 0), "_gs": (price, qs, 0), "_g9": (price, q9, 0)}
+    cf = a9 * af * qf / (qf - q9)
+    cs = -a9 * as_ * qs / (qs - q9)
+    c9 = -a9 * af * q9 / (qf - q9) + a9 * as_ * q9 / (qs - q9)
+    outputs = {"_line": [("_gf", af), ("_gs", -as_)],
+               "_sig": [("_gf", cf), ("_gs", cs), ("_g9", c9)]}
+    return terms, outputs
+
+
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9,
          price: str = CLOSE, key: str = KEY, order: str = DATE) -> DataFrame:
     """line = EMA(fast) - EMA(slow); signal = EMA(signal) of the line.
 
     Both EMAs start at the first row; the line is shown from row ``slow``,
     the signal from row ``slow + signal - 1``; both rounded to 4 places.
+    Line and signal come from one pass over three geometric sums.
     """
     def fn(d, k):
-        d = ema_columns(d, [(price, 2.0 / (fast + 1), "_ef", 0),
-                            (price, 2.0 / (slow + 1), "_es", 0)])
-        d = d.withColumn("_line", F.col("_ef") - F.col("_es")).drop("_ef", "_es")
-        d = ema_columns(d, [("_line", 2.0 / (signal + 1), "_sig", 0)])
+        plan = macd_terms(fast, slow, signal, price)
+        if plan is not None:
+            d = geometric_columns(d, *plan)
+        else:
+            d = ema_columns(d, [(price, 2.0 / (fast + 1), "_ef", 0),
+                                (price, 2.0 / (slow + 1), "_es", 0)])
+            d = d.withColumn("_line", F.col("_ef") - F.col("_es")).drop("_ef", "_es")
+            d = ema_columns(d, [("_line", 2.0 / (signal + 1), "_sig", 0)])
         return (d.withColumn("macd_line", F.when(
                     _full(slow), F.round("_line", EMA_DIGITS)))
                 .withColumn("macd_signal", F.when(

@@ -130,66 +130,90 @@ def frame(key: str, n: int) -> Window:
     return block_window(key).rowsBetween(-(n - 1), 0)
 
 
-def ema_columns(df: DataFrame, specs: list[tuple[str, float, str, int]]) -> DataFrame:
-    """Add exponential moving averages to a prepared frame.
-
-    Each spec is ``(value_column, alpha, out_column, first_index)``:
-    ``e_first = x_first``, ``e_t = alpha*x_t + (1-alpha)*e_(t-1)``; NULL before
-    ``first_index`` and on halo rows. Values must be non-null from
-    ``first_index`` on.
+def geometric_columns(df: DataFrame, terms: dict[str, tuple[str, float, int]],
+                      outputs: dict[str, list[tuple[str, float]]]) -> DataFrame:
+    """Add linear combinations of geometric sums to a prepared frame.
+
+    A term ``name: (value, q, first)`` is
+    ``G(t) = sum_{first<=k<=t} w_k x_k q^(t-k)`` with ``w_first = 1/(1-q)``
+    and ``w_k = 1`` after it: the sum over a series whose values before
+    ``first`` all equal ``x_first``. An EMA with smoothing ``a`` is
+    ``a * G`` for ``q = 1 - a``. Each output ``out: [(term, coef), ...]`` is
+    ``sum coef * G`` (NULL before the largest ``first`` used, and on halo
+    rows). All terms share one window pass, one per-block aggregate and one
+    join of the small carry table.
     """
     meta = series_meta(df)
     if meta is None:
-        raise ValueError("ema_columns needs a prepared series frame")
+        raise ValueError("geometric_columns needs a prepared series frame")
     key, block = meta["key"], meta["block"]
     idx, blk, halo = F.col(IDX), F.col(BLK), F.col(HALO)
     r = idx - blk * block
     running = block_window(key).rowsBetween(Window.unboundedPreceding, 0)
-    partial, lags = {}, {}
-    for value, alpha, out, first in specs:
-        if not 0 < alpha <= 1:
-            raise ValueError(f"alpha must be in (0, 1]: {alpha}")
-        q = 1.0 - alpha
+    partial, ends, lags = {}, {}, {}
+    for name, (value, q, first) in terms.items():
+        if not 0 <= q < 1:
+            raise ValueError(f"q must be in [0, 1): {q}")
+        live = ~halo & (idx >= first)
+        weight = F.when(idx == first, F.lit(1.0 / (1.0 - q))).otherwise(F.lit(1.0))
+        x = weight * F.col(value).cast("double")
         if q == 0.0:
+            partial[name] = F.when(live, x)
             continue
         decay = -math.log(q)
         if decay * block > _MAX_EXPONENT:
-            raise ValueError(f"alpha {alpha} needs blocks of at most "
-                             f"{int(_MAX_EXPONENT / decay)} rows")
-        lags[out] = max(1, math.ceil(-math.log(_EMA_TAIL) / (decay * block)))
-        weight = F.when(idx == first, F.lit(1.0)).otherwise(F.lit(alpha))
-        term = F.when(~halo & (idx >= first),
-                      weight * F.col(value).cast("double") * F.pow(F.lit(q), -r))
-        partial[out] = F.pow(F.lit(q), r) * F.sum(term).over(running)
-    out_df = df.select("*", *[c.alias(f"_p_{o}") for o, c in partial.items()])
-    if partial:
-        ends = (out_df.where(~halo)
-                .groupBy(key, BLK)
-                .agg(*[F.max_by(f"_p_{o}", IDX).alias(f"_e_{o}") for o in partial]))
+            raise ValueError(f"q {q} needs blocks of at most {int(_MAX_EXPONENT / decay)} rows")
+        lags[name] = max(1, math.ceil(-math.log(_EMA_TAIL) / (decay * block)))
+        partial[name] = F.pow(F.lit(q), r) * F.sum(
+            F.when(live, x * F.pow(F.lit(q), -r))).over(running)
+        # the in-block sum as seen from the block's last row
+        ends[name] = F.sum(F.when(live, x * F.pow(F.lit(q), (block - 1) - r)))
+    out_df = df.select("*", *[c.alias(f"_p_{n}") for n, c in partial.items()])
+    if ends:
+        per_block = (df.where(~halo).groupBy(key, BLK)
+                     .agg(*[c.alias(f"_e_{n}") for n, c in ends.items()]))
         by_block = Window.partitionBy(key).orderBy(BLK)
         carries = []
-        for value, alpha, out, first in specs:
-            if out not in partial:
-                continue
-            q = 1.0 - alpha
-            terms = [F.lit(q ** (block * (lag - 1)))
-                     * F.coalesce(F.lag(f"_e_{out}", lag).over(by_block), F.lit(0.0))
-                     for lag in range(1, lags[out] + 1)]
-            total = terms[0]
-            for t in terms[1:]:
-                total = total + t
-            carries.append(total.alias(f"_c_{out}"))
-        carry = ends.select(key, BLK, *carries)
-        out_df = out_df.join(carry, [key, BLK], "left")
-    cols = []
-    for value, alpha, out, first in specs:
-        live = ~halo & (idx >= first)
-        q = 1.0 - alpha
-        if out in partial:
-            val = F.col(f"_p_{out}") + F.pow(F.lit(q), r + 1) * F.col(f"_c_{out}")
+        for name in ends:
+            q = terms[name][1]
+            total = None
+            for lag in range(1, lags[name] + 1):
+                t = (F.lit(q ** (block * (lag - 1)))
+                     * F.coalesce(F.lag(f"_e_{name}", lag).over(by_block), F.lit(0.0)))
+                total = t if total is None else total + t
+            carries.append(total.alias(f"_c_{name}"))
+        out_df = out_df.join(per_block.select(key, BLK, *carries), [key, BLK], "left")
+    full = {}
+    for name, (value, q, first) in terms.items():
+        if name in ends:
+            full[name] = F.col(f"_p_{name}") + F.pow(F.lit(q), r + 1) * F.col(f"_c_{name}")
         else:
-            val = F.col(value).cast("double")
-        cols.append(F.when(live, val).alias(out))
+            full[name] = F.col(f"_p_{name}")
+    cols = []
+    for out, combo in outputs.items():
+        first = max(terms[t][2] for t, _ in combo)
+        val = None
+        for t, coef in combo:
+            part = F.lit(coef) * full[t]
+            val = part if val is None else val + part
+        cols.append(F.when(~halo & (idx >= first), val).alias(out))
     keep = [c for c in out_df.columns
-            if not c.startswith(("_p_", "_c_")) and c not in {s[2] for s in specs}]
+            if not c.startswith(("_p_", "_c_")) and c not in outputs]
     return out_df.select(*keep, *cols)
+
+
+def ema_columns(df: DataFrame, specs: list[tuple[str, float, str, int]]) -> DataFrame:
+    """Add exponential moving averages to a prepared frame.
+
+    Each spec is ``(value_column, alpha, out_column, first_index)``:
+    ``e_first = x_first``, ``e_t = alpha*x_t + (1-alpha)*e_(t-1)``; NULL before
+    ``first_index`` and on halo rows. Values must be non-null from
+    ``first_index`` on.
+    """
+    terms, outputs = {}, {}
+    for value, alpha, out, first in specs:
+        if not 0 < alpha <= 1:
+            raise ValueError(f"alpha must be in (0, 1]: {alpha}")
+        terms[f"g_{out}"] = (value, 1.0 - alpha, first)
+        outputs[out] = [(f"g_{out}", alpha)]
+    return geometric_columns(df, terms, outputs)

@@ -97,7 +97,7 @@ ind AS (SELECT ws.symbole, date_trading, CAST(o AS DOUBLE) AS prix_ouverture,
                CASE WHEN ws.i >= 33 THEN round(r.sig, 4) END AS macd_signal,
                CASE WHEN ws.i >= 19 THEN CAST(s20 AS DOUBLE) / 20 END AS bollinger_middle,
                CASE WHEN ws.i >= 19 THEN sqrt(CAST(CAST(20 AS DECIMAL(5,0)) * CAST(q20 AS DECIMAL(24,8))
-                    - CAST(s20 AS DECIMAL(14,4)) * CAST(s20 AS DECIMAL(14,4)) AS DOUBLE))
+                    - CAST(s20 AS DECIMAL(19,4)) * CAST(s20 AS DECIMAL(19,4)) AS DOUBLE))
                     / CAST(20 AS DOUBLE) END AS sd20
           FROM ws JOIN r ON ws.symbole = r.symbole AND ws.i = r.i),
 bands AS (SELECT ind.*, bollinger_middle + CAST(2 AS DOUBLE) * sd20 AS bollinger_upper,
