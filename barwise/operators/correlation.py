@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .aggregates import exact_mean
 from .filters import DATE, KEY, filter_symbols_in
 
@@ -52,7 +53,8 @@ def corr_matrix(df: DataFrame, symbols=None, key: str = KEY, date: str = DATE,
     if symbols is not None:
         df = filter_symbols_in(df, symbols, key)
     base = df.where(F.col(key).isNotNull() & F.col(close).isNotNull() & F.col(date).isNotNull())
-    daily = base.groupBy(key, date).agg(exact_mean(base, close).alias("x"))
+    daily = materialize(base.groupBy(key, date).agg(exact_mean(base, close).alias("x")),
+                        "corr_daily")
     centres = daily.groupBy(key).agg(F.avg("x").alias("_m"))
     centred = (daily.join(centres, key)
                .select(F.col(key).alias("s"), F.col(date).alias("d"),
@@ -68,7 +70,8 @@ def corr_matrix(df: DataFrame, symbols=None, key: str = KEY, date: str = DATE,
     var_b = n * F.col("sbb") - sb * sb
     denom = F.sqrt(var_a * var_b)
     r = F.when((n >= 2) & (var_a > 0) & (var_b > 0), (n * F.col("sab") - sa * sb) / denom)
-    r = F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0))
+    # clamp rounding overshoot; greatest/least skip NULLs, so guard them
+    r = F.when(r.isNotNull(), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
     if digits is not None:
         r = F.round(r, digits)
     return sums.select(F.col("symbol_a").alias(f"{key}_a"), F.col("symbol_b").alias(f"{key}_b"),

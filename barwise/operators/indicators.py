@@ -16,14 +16,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import (MACD_DOWN, MACD_UP, NEUTRAL, RSI_HIGH, RSI_LOW, RSI_OVERBOUGHT,
                        RSI_OVERSOLD, SIGNAL_BB_BUY, SIGNAL_BB_SELL, SIGNAL_BUY, SIGNAL_SELL,
                        TREND_DOWN, TREND_UNKNOWN, TREND_UP)
 from .filters import DATE, KEY
-from .series import IDX, block_window, ema_columns, frame, geometric_columns, on_series
+from .series import IDX, block_window, ema_columns, geometric_columns, on_series
 
 CLOSE = "prix_fermeture"
 EMA_DIGITS = 4
@@ -37,15 +37,35 @@ def _full(n: int) -> F.Column:
     return F.col(IDX) >= n - 1
 
 
+def trailing_sum(x: F.Column, n: int, key: str) -> F.Column:
+    """Sum of the last ``n`` values: running sum minus the running sum ``n``
+    rows back. O(1) per row (a sliding frame re-adds n values), and exact
+    for decimals; needs a halo of ``n`` rows."""
+    running = F.sum(x).over(block_window(key).rowsBetween(Window.unboundedPreceding, 0))
+    return running - F.coalesce(F.lag(running, n).over(block_window(key)), F.lit(0))
+
+
+def _trailing(d: DataFrame, cols: dict[str, tuple[F.Column, int]], key: str) -> DataFrame:
+    """Add trailing sums ``name: (expr, n)``; running sums first (one window
+    node), then the lagged differences (a second node on the same sort)."""
+    run = Window.unboundedPreceding
+    d = d.select("*", *[F.sum(x).over(block_window(key).rowsBetween(run, 0)).alias(f"_run_{name}")
+                        for name, (x, n) in cols.items()])
+    d = d.select("*", *[(F.col(f"_run_{name}") - F.coalesce(
+        F.lag(f"_run_{name}", n).over(block_window(key)), F.lit(0))).alias(name)
+        for name, (x, n) in cols.items()])
+    return d.drop(*[f"_run_{name}" for name in cols])
+
+
 def sma(df: DataFrame, n: int, price: str = CLOSE, out: str | None = None,
         key: str = KEY, order: str = DATE) -> DataFrame:
     """Mean of the last ``n`` prices."""
     out = out or f"sma_{n}"
 
     def fn(d, k):
-        return d.withColumn(out, F.when(
-            _full(n), F.sum(price).over(frame(k, n)).cast("double") / n))
-    return on_series(df, key, order, n - 1, fn)
+        d = _trailing(d, {"_sum": (F.col(price), n)}, k)
+        return d.withColumn(out, F.when(_full(n), F.col("_sum").cast("double") / n)).drop("_sum")
+    return on_series(df, key, order, n, fn)
 
 
 def bollinger(df: DataFrame, n: int = 20, k: float = 2, ddof: int = 0,
@@ -59,9 +79,9 @@ def bollinger(df: DataFrame, n: int = 20, k: float = 2, ddof: int = 0,
     exact = _decimal(df, price)
 
     def fn(d, key_):
-        w = frame(key_, n)
         x = F.col(price)
-        sx, sxx = F.sum(x).over(w), F.sum(x * x).over(w)
+        d = _trailing(d, {"_sx": (x, n), "_sxx": (x * x, n)}, key_)
+        sx, sxx = F.col("_sx"), F.col("_sxx")
         if exact:
             sx = sx.cast("decimal(14,4)")
             spread = F.lit(n).cast("decimal(5,0)") * sxx.cast("decimal(24,8)") - sx * sx
@@ -69,13 +89,13 @@ def bollinger(df: DataFrame, n: int = 20, k: float = 2, ddof: int = 0,
         else:
             spread = F.greatest(F.lit(n) * sxx - sx * sx, F.lit(0.0))
         sd = F.sqrt(spread) / math.sqrt(n * (n - ddof))
-        middle = F.sum(x).over(w).cast("double") / n
+        middle = F.col("_sx").cast("double") / n
         return d.select(
             "*",
             F.when(_full(n), middle).alias(f"{prefix}_middle"),
             F.when(_full(n), middle + F.lit(k) * sd).alias(f"{prefix}_upper"),
-            F.when(_full(n), middle - F.lit(k) * sd).alias(f"{prefix}_lower"))
-    return on_series(df, key, order, n - 1, fn)
+            F.when(_full(n), middle - F.lit(k) * sd).alias(f"{prefix}_lower")).drop("_sx", "_sxx")
+    return on_series(df, key, order, n, fn)
 
 
 def bollinger_percent(df: DataFrame, price: str = CLOSE, prefix: str = "bollinger") -> DataFrame:
@@ -116,14 +136,14 @@ def rsi(df: DataFrame, n: int = 14, method: str = "simple", price: str = CLOSE,
     def fn(d, k):
         d = _gain_loss(d, price, k)
         if method == "simple":
-            w = frame(k, n)
-            d = d.withColumn(out, _rsi_value(F.sum("_gain").over(w), F.sum("_loss").over(w), n))
+            d = _trailing(d, {"_g": (F.col("_gain"), n), "_l": (F.col("_loss"), n)}, k)
+            d = d.withColumn(out, _rsi_value(F.col("_g"), F.col("_l"), n)).drop("_g", "_l")
         else:
             d = ema_columns(d, [("_gain", 1.0 / n, "_g", 1), ("_loss", 1.0 / n, "_l", 1)])
             d = d.withColumn(out, F.round(_rsi_value(F.col("_g"), F.col("_l"), n), EMA_DIGITS))
             d = d.drop("_g", "_l")
         return d.drop("_gain", "_loss")
-    return on_series(df, key, order, n, fn)
+    return on_series(df, key, order, n + 1, fn)
 
 
 def ema(df: DataFrame, col: str, span: float | None = None, alpha: float | None = None,

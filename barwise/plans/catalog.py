@@ -282,7 +282,7 @@ def q_corr_matrix(spark, sf):
 # -- I: indicators ----------------------------------------------------------------------
 @query("sma")
 def q_sma(spark, sf):
-    p = prepare_series(served_walk(spark, sf), "symbole", "date_trading", halo=199)
+    p = prepare_series(served_walk(spark, sf), "symbole", "date_trading", halo=200)
     for n in (20, 50, 200):
         p = I.sma(p, n)
     return finish_series(p).select("symbole", "date_trading", "sma_20", "sma_50", "sma_200")

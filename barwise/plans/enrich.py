@@ -1,6 +1,7 @@
 """I13 ``enrich``: raw bars -> the 21-column enriched table.
 
-Plan: dedupe (aggregate on symbol, date) -> row position (small per-month
+Plan: dedupe (aggregate on symbol, date) -> clean bars written once to the
+checkpoint folder -> row position (small per-month
 table + groups of at most 31 rows) -> one shuffle on (symbol, block) with
 199 halo rows per block -> one sort shared by SMA 20/50/200, bands and RSI
 -> EMA 12/26 and the MACD signal from in-block running sums plus a small
@@ -19,9 +20,10 @@ from ..operators.indicators import (bollinger, bollinger_percent, macd, rsi, rsi
                                     trading_signal, trend)
 from ..operators.series import DEFAULT_BLOCK, finish_series, prepare_series
 from ..schemas import ENRICHED_COLUMNS, RAW_TO_SERVED
+from ..session import materialize
 from ..sources.ingest import dedupe_latest_batch
 
-HALO = 199  # the longest finite window (SMA 200) needs 199 earlier rows
+HALO = 200  # SMA 200 = running sum minus the running sum 200 rows back
 
 
 def to_served(bars: DataFrame) -> DataFrame:
@@ -52,6 +54,9 @@ def enrich(raw: DataFrame, run_ts: dt.datetime | None = None,
     """Raw bars (any batches) -> enriched bars in the contract's 21 columns."""
     bars = dedupe_latest_batch(raw) if "batch_id" in raw.columns else raw
     bars = bars.where(F.col("close").isNotNull())
+    # the series layout joins the bars back to small per-month and per-block
+    # tables; write the clean bars once so the raw input is read only once
+    bars = materialize(bars, "clean_bars")
     out = indicators(to_served(bars), block)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     prices = ("prix_ouverture", "prix_haut", "prix_bas", "prix_fermeture")

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every run of ours wants, whatever the size of the cluster.
 BASE_CONF = {
@@ -62,3 +63,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def local_cpus(default: int = 8) -> int:
     return int(os.environ.get("BENCH_CPUS", default))
+
+
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back.
+
+    Used where a plan fans out (a table joined back to an aggregate of
+    itself): without it each branch would recompute the whole upstream,
+    i.e. scan and aggregate the raw input again. The written copy also cuts
+    lineage (a lost executor re-reads files instead of recomputing), and
+    gives the planner exact sizes for its broadcast decisions.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/barwise/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

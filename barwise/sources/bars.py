@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.series import running_sums
+from ..session import materialize
 from ..schemas import PRICE
 
 
@@ -68,7 +69,9 @@ def walk_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = src.groupBy("symbol", "date").agg(
         F.max_by("s", "o_orderkey").alias("step"),
         F.count(F.lit(1)).alias("volume"))
-    walked = running_sums(days, "symbol", "date", {"walk": F.col("step")})
+    # the running sum joins days back to its monthly totals: write days once
+    walked = running_sums(materialize(days, "walk_days"), "symbol", "date",
+                          {"walk": F.col("step")})
     close = (F.lit(4000) + F.col("walk")).cast(PRICE)
     # open is the previous close: close minus today's step (4000 on day one)
     open_ = (F.lit(4000) + F.col("walk") - F.col("step")).cast(PRICE)
