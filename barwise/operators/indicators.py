@@ -45,16 +45,21 @@ def trailing_sum(x: F.Column, n: int, key: str) -> F.Column:
     return running - F.coalesce(F.lag(running, n).over(block_window(key)), F.lit(0))
 
 
-def _trailing(d: DataFrame, cols: dict[str, tuple[F.Column, int]], key: str) -> DataFrame:
-    """Add trailing sums ``name: (expr, n)``; running sums first (one window
-    node), then the lagged differences (a second node on the same sort)."""
-    run = Window.unboundedPreceding
-    d = d.select("*", *[F.sum(x).over(block_window(key).rowsBetween(run, 0)).alias(f"_run_{name}")
-                        for name, (x, n) in cols.items()])
-    d = d.select("*", *[(F.col(f"_run_{name}") - F.coalesce(
-        F.lag(f"_run_{name}", n).over(block_window(key)), F.lit(0))).alias(name)
-        for name, (x, n) in cols.items()])
-    return d.drop(*[f"_run_{name}" for name in cols])
+def _with_trailing(d: DataFrame, sums: dict[str, tuple[F.Column, int]], key: str,
+                   outputs) -> DataFrame:
+    """Add the columns ``outputs(trailing)`` where ``trailing[name]`` is the
+    sum of ``expr`` over the last ``n`` rows, for ``sums = {name: (expr, n)}``.
+
+    Two selects: the running sums (one window node), then the lagged
+    differences and the outputs (a second node on the same sort).
+    """
+    run = block_window(key).rowsBetween(Window.unboundedPreceding, 0)
+    base = d.columns
+    d = d.select("*", *[F.sum(x).over(run).alias(f"_run_{name}") for name, (x, n) in sums.items()])
+    trailing = {name: F.col(f"_run_{name}")
+                - F.coalesce(F.lag(f"_run_{name}", n).over(block_window(key)), F.lit(0))
+                for name, (x, n) in sums.items()}
+    return d.select(*base, *outputs(trailing))
 
 
 def sma(df: DataFrame, n: int, price: str = CLOSE, out: str | None = None,
@@ -63,8 +68,8 @@ def sma(df: DataFrame, n: int, price: str = CLOSE, out: str | None = None,
     out = out or f"sma_{n}"
 
     def fn(d, k):
-        d = _trailing(d, {"_sum": (F.col(price), n)}, k)
-        return d.withColumn(out, F.when(_full(n), F.col("_sum").cast("double") / n)).drop("_sum")
+        return _with_trailing(d, {"sum": (F.col(price), n)}, k, lambda t: [
+            F.when(_full(n), t["sum"].cast("double") / n).alias(out)])
     return on_series(df, key, order, n, fn)
 
 
@@ -78,23 +83,23 @@ def bollinger(df: DataFrame, n: int = 20, k: float = 2, ddof: int = 0,
     """
     exact = _decimal(df, price)
 
-    def fn(d, key_):
-        x = F.col(price)
-        d = _trailing(d, {"_sx": (x, n), "_sxx": (x * x, n)}, key_)
-        sx, sxx = F.col("_sx"), F.col("_sxx")
+    def bands(t):
+        sx, sxx = t["sx"], t["sxx"]
         if exact:
-            sx = sx.cast("decimal(14,4)")
-            spread = F.lit(n).cast("decimal(5,0)") * sxx.cast("decimal(24,8)") - sx * sx
-            spread = spread.cast("double")
+            sx4 = sx.cast("decimal(14,4)")
+            spread = (F.lit(n).cast("decimal(5,0)") * sxx.cast("decimal(24,8)")
+                      - sx4 * sx4).cast("double")
         else:
             spread = F.greatest(F.lit(n) * sxx - sx * sx, F.lit(0.0))
         sd = F.sqrt(spread) / math.sqrt(n * (n - ddof))
-        middle = F.col("_sx").cast("double") / n
-        return d.select(
-            "*",
-            F.when(_full(n), middle).alias(f"{prefix}_middle"),
-            F.when(_full(n), middle + F.lit(k) * sd).alias(f"{prefix}_upper"),
-            F.when(_full(n), middle - F.lit(k) * sd).alias(f"{prefix}_lower")).drop("_sx", "_sxx")
+        middle = sx.cast("double") / n
+        return [F.when(_full(n), middle).alias(f"{prefix}_middle"),
+                F.when(_full(n), middle + F.lit(k) * sd).alias(f"{prefix}_upper"),
+                F.when(_full(n), middle - F.lit(k) * sd).alias(f"{prefix}_lower")]
+
+    def fn(d, key_):
+        x = F.col(price)
+        return _with_trailing(d, {"sx": (x, n), "sxx": (x * x, n)}, key_, bands)
     return on_series(df, key, order, n, fn)
 
 
@@ -105,13 +110,19 @@ def bollinger_percent(df: DataFrame, price: str = CLOSE, prefix: str = "bollinge
         F.col(price).cast("double") - lower, upper - lower))
 
 
-def _gain_loss(d: DataFrame, price: str, key: str) -> DataFrame:
-    delta = F.col(price) - F.lag(price, 1).over(block_window(key))
-    d = d.withColumn("_delta", delta)
+def _with_delta(d: DataFrame, price: str, key: str) -> DataFrame:
+    """Add ``_delta`` = price - previous price (NULL on the first row)."""
+    return d.select("*", (F.col(price) - F.lag(price, 1).over(block_window(key))).alias("_delta"))
+
+
+def _gain() -> F.Column:
+    dl = F.col("_delta")
+    return F.when(dl > 0, dl).when(dl.isNotNull(), F.lit(0))
+
+
+def _loss() -> F.Column:
     dl = F.col("_delta")
-    return (d.withColumn("_gain", F.when(dl > 0, dl).when(dl.isNotNull(), F.lit(0)))
-            .withColumn("_loss", F.when(dl < 0, -dl).when(dl.isNotNull(), F.lit(0)))
-            .drop("_delta"))
+    return F.when(dl < 0, -dl).when(dl.isNotNull(), F.lit(0))
 
 
 def _rsi_value(g: F.Column, l: F.Column, n: int) -> F.Column:
@@ -134,15 +145,16 @@ def rsi(df: DataFrame, n: int = 14, method: str = "simple", price: str = CLOSE,
         raise ValueError(f"method must be 'simple' or 'wilder': {method}")
 
     def fn(d, k):
-        d = _gain_loss(d, price, k)
+        base = d.columns
+        d = _with_delta(d, price, k)
         if method == "simple":
-            d = _trailing(d, {"_g": (F.col("_gain"), n), "_l": (F.col("_loss"), n)}, k)
-            d = d.withColumn(out, _rsi_value(F.col("_g"), F.col("_l"), n)).drop("_g", "_l")
+            d = _with_trailing(d, {"g": (_gain(), n), "l": (_loss(), n)}, k, lambda t: [
+                _rsi_value(t["g"], t["l"], n).alias(out)])
         else:
+            d = d.select("*", _gain().alias("_gain"), _loss().alias("_loss"))
             d = ema_columns(d, [("_gain", 1.0 / n, "_g", 1), ("_loss", 1.0 / n, "_l", 1)])
             d = d.withColumn(out, F.round(_rsi_value(F.col("_g"), F.col("_l"), n), EMA_DIGITS))
-            d = d.drop("_g", "_l")
-        return d.drop("_gain", "_loss")
+        return d.select(*base, out)
     return on_series(df, key, order, n + 1, fn)
 
 

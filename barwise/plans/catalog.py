@@ -69,11 +69,6 @@ def served_walk(spark: SparkSession, sf: str) -> DataFrame:
     return E.to_served(B.walk_bars(spark, sf))
 
 
-def latest_raw_date(spark: SparkSession, sf: str):
-    """The latest bar date, as a scalar subquery over the cheap raw bars."""
-    return B.walk_bars(spark, sf).select(F.max("date")).scalar()
-
-
 # -- S: sources, sinks, table lifecycle ----------------------------------------------
 @query("parse_daily")
 def q_parse_daily(spark, sf):
@@ -388,8 +383,7 @@ def q_number_string_scalars(spark, sf):
 # -- V: serving views -------------------------------------------------------------------
 @query("view_candlestick")
 def q_view_candlestick(spark, sf):
-    return V.view_candlestick(enriched_walk(spark, sf), days=365,
-                              as_of=latest_raw_date(spark, sf))
+    return V.view_candlestick(enriched_walk(spark, sf), days=365)
 
 
 @query("view_candlestick_table")
@@ -399,7 +393,7 @@ def q_view_candlestick_table(spark, sf):
 
 @query("view_rsi")
 def q_view_rsi(spark, sf):
-    return V.view_rsi(enriched_walk(spark, sf), days=180, as_of=latest_raw_date(spark, sf))
+    return V.view_rsi(enriched_walk(spark, sf), days=180)
 
 
 @query("view_rsi_latest")
@@ -409,7 +403,7 @@ def q_view_rsi_latest(spark, sf):
 
 @query("view_macd")
 def q_view_macd(spark, sf):
-    return V.view_macd(enriched_walk(spark, sf), days=90, as_of=latest_raw_date(spark, sf))
+    return V.view_macd(enriched_walk(spark, sf), days=90)
 
 
 @query("view_macd_latest")

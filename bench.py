@@ -37,8 +37,11 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    # sf0.1 bars are a few MB: with the default 1 MB floor AQE would coalesce
+    # every shuffle into one task and leave 7 of 8 cores idle
     spark = build_session(f"local[{cpus}]", app="barwise-bench", shuffle_partitions=2 * cpus,
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g",
+                                 "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"})
     run(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
     timings = {}
 
