@@ -4,18 +4,20 @@ pandas' ``pivot_table(...).corr()`` semantics: the mean close per (symbol,
 date), then for every pair of symbols the correlation over the dates where
 both have a value. Constant series and single common dates give NULL.
 
-No per-date pair rows are made. Dates are cut into blocks of
-``block_days``; inside each block one pandas task forms the dense
-date x symbol matrix and its masked Gram sums (n, sum x, sum y, sum x^2,
+No per-date pair rows are made. This is a blocked matrix product: dates
+are cut into blocks of ``block_days`` and symbols into tiles; one pandas
+task per (date block, tile pair) forms the dense date x symbol matrices of
+the two tiles and their masked Gram sums (n, sum x, sum y, sum x^2,
 sum y^2, sum xy for every pair), one row per pair and block. Spark then
 adds these partial sums per pair (partial aggregation before the shuffle).
 Values are centred per symbol first, which keeps the sums well conditioned.
-The result has one row per pair of symbols, so it is meant for a bounded
-symbol list (``symbols``) or a modest universe.
+The output itself has one row per pair of symbols.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,39 +32,68 @@ _PARTIAL_SCHEMA = ("symbol_a string, symbol_b string, n double, sa double, sb do
 
 
 def _gram(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Masked Gram sums between the symbols of tile ``_ta`` and tile ``_tb``
+    over the dates of one block (one row per ordered pair)."""
     wide = pdf.pivot(index="d", columns="s", values="x")
     names = np.asarray(wide.columns)
     x = wide.to_numpy(dtype=float)
     present = ~np.isnan(x)
     m = present.astype(float)
     x0 = np.where(present, x, 0.0)
-    n = m.T @ m
-    sx = x0.T @ m          # sx[a, b] = sum of a over dates where b is present
-    sxx = (x0 * x0).T @ m
-    sxy = x0.T @ x0
-    a, b = np.nonzero(n)
-    return pd.DataFrame({"symbol_a": names[a], "symbol_b": names[b], "n": n[a, b],
-                         "sa": sx[a, b], "sb": sx[b, a], "saa": sxx[a, b], "sbb": sxx[b, a],
-                         "sab": sxy[a, b]})
+    tiles = pdf.drop_duplicates("s").set_index("s")["_t"].reindex(names).to_numpy()
+    ta, tb = pdf["_ta"].iloc[0], pdf["_tb"].iloc[0]
+    left = np.flatnonzero(tiles == ta)
+    right = np.flatnonzero(tiles == tb)
+    xl, ml, xr, mr = x0[:, left], m[:, left], x0[:, right], m[:, right]
+    n = ml.T @ mr
+    sa = xl.T @ mr          # sum of a over dates where b is present
+    sb = ml.T @ xr          # sum of b over dates where a is present
+    saa = (xl * xl).T @ mr
+    sbb = ml.T @ (xr * xr)
+    sab = xl.T @ xr
+    i, j = np.nonzero(n)
+    a_names, b_names = names[left][i], names[right][j]
+    out = pd.DataFrame({"symbol_a": a_names, "symbol_b": b_names, "n": n[i, j],
+                        "sa": sa[i, j], "sb": sb[i, j], "saa": saa[i, j], "sbb": sbb[i, j],
+                        "sab": sab[i, j]})
+    if ta != tb:  # the mirrored pairs of an off-diagonal tile
+        mirror = out.rename(columns={"symbol_a": "symbol_b", "symbol_b": "symbol_a",
+                                     "sa": "sb", "sb": "sa", "saa": "sbb", "sbb": "saa"})
+        out = pd.concat([out, mirror[out.columns]], ignore_index=True)
+    return out
 
 
 def corr_matrix(df: DataFrame, symbols=None, key: str = KEY, date: str = DATE,
                 close: str = "prix_fermeture", digits: int | None = 2,
-                block_days: int = 64) -> DataFrame:
-    """``(symbol_a, symbol_b, correlation)`` for every pair with a common date."""
+                block_days: int = 64, symbols_per_tile: int = 256) -> DataFrame:
+    """``(symbol_a, symbol_b, correlation)`` for every pair with a common date.
+
+    Work is cut into (date block, symbol tile pair) groups: each holds at
+    most ``block_days`` dates of two tiles of about ``symbols_per_tile``
+    symbols, whatever the size of the universe. Each daily value is sent to
+    the tile pairs its symbol belongs to (as many copies as there are tiles).
+    """
     if symbols is not None:
         df = filter_symbols_in(df, symbols, key)
     base = df.where(F.col(key).isNotNull() & F.col(close).isNotNull() & F.col(date).isNotNull())
     daily = materialize(base.groupBy(key, date).agg(exact_mean(base, close).alias("x")),
                         "corr_daily")
     centres = daily.groupBy(key).agg(F.avg("x").alias("_m"))
+    # one number to the driver: how many tiles the symbol axis needs
+    n_symbols = daily.select(F.countDistinct(key)).first()[0] or 0
+    tiles = max(1, math.ceil(n_symbols / symbols_per_tile))
+    tile = F.pmod(F.xxhash64(F.col(key)), F.lit(tiles))
+    other = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("_o")
     centred = (daily.join(centres, key)
                .select(F.col(key).alias("s"), F.col(date).alias("d"),
-                       (F.col("x") - F.col("_m")).alias("x"),
+                       (F.col("x") - F.col("_m")).alias("x"), tile.alias("_t"),
                        F.floor(F.datediff(F.col(date), F.lit("1970-01-01").cast("date"))
                                / block_days).alias("_db")))
-    partial = centred.groupBy("_db").applyInPandas(
-        lambda pdf: _gram(pdf.drop(columns="_db")), _PARTIAL_SCHEMA)
+    spread = (centred.select("*", other)
+              .select("s", "d", "x", "_t", "_db",
+                      F.least("_t", "_o").alias("_ta"), F.greatest("_t", "_o").alias("_tb")))
+    partial = spread.groupBy("_db", "_ta", "_tb").applyInPandas(
+        lambda pdf: _gram(pdf), _PARTIAL_SCHEMA)
     sums = partial.groupBy("symbol_a", "symbol_b").agg(
         *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
     n, sa, sb = F.col("n"), F.col("sa"), F.col("sb")

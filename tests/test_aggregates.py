@@ -76,9 +76,11 @@ def test_corr_matches_pandas_pairwise(spark):
     df = spark.createDataFrame(rows, "symbole string, date_trading date, prix_fermeture double")
     want = pd.DataFrame(rows, columns=["s", "d", "x"]).pivot_table(
         values="x", index="d", columns="s").corr()
-    got = corr_matrix(df, digits=None, block_days=16).collect()
-    for r in got:
-        assert r.correlation == pytest.approx(want.loc[r.symbole_a, r.symbole_b], abs=1e-12)
+    for per_tile in (256, 2, 1):  # one tile; several tiles, so off-diagonal tile pairs
+        got = corr_matrix(df, digits=None, block_days=16, symbols_per_tile=per_tile).collect()
+        assert len(got) == 9
+        for r in got:
+            assert r.correlation == pytest.approx(want.loc[r.symbole_a, r.symbole_b], abs=1e-12)
 
 
 def test_trailing_days_excludes_day_exactly_n_back(spark):
