@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..schemas import (PRICE, REPLY_CLOSE, REPLY_HIGH, REPLY_LOW, REPLY_OPEN, REPLY_SERIES_KEY,
                        REPLY_VOLUME)
 from .bars import _orders_by_segment
+from ..session import materialize
 from .ingest import stamp_batch
 
 FIRST_BATCH = "BATCH_20200101_2100"
@@ -28,6 +29,7 @@ def two_batch_raw(bars: DataFrame) -> DataFrame:
     The 30 latest dates are a top-k (no global window); that 30-row table is
     the only broadcast side.
     """
+    bars = materialize(bars, "two_batch_bars")  # used by both batches
     first = stamp_batch(bars, FIRST_BATCH, "PRIMARY", dt.datetime(2020, 1, 1, 21, 0), "KEY0000001")
     recent = bars.select("date").distinct().orderBy(F.col("date").desc()).limit(RESENT_DAYS)
     resent = (bars.join(F.broadcast(recent), "date", "left_semi")

@@ -129,3 +129,34 @@ def test_enriched_scan_round_trip(spark, scratch):
     out.toDF(*[c.upper() for c in out.columns]).write.parquet(path)
     back = T.enriched_scan(spark, path)
     assert back.columns == out.columns and back.count() == 25
+
+
+def test_reference_two_row_aggregate(spark):
+    # the one Spark query of the reference, on its two literal rows
+    from barwise.operators.aggregates import avg_price_volume
+    df = spark.createDataFrame(
+        [("AAPL", "2024-01-01", 185.5, 187.0, 184.0, 186.2, 1000000),
+         ("MSFT", "2024-01-01", 370.2, 372.5, 369.0, 371.0, 800000)],
+        "symbol string, date string, open double, high double, low double, close double, "
+        "volume bigint")
+    got = {r.symbol: (r.avg_price, r.total_volume) for r in avg_price_volume(df).collect()}
+    assert got == {"AAPL": (186.2, 1000000), "MSFT": (371.0, 800000)}
+
+
+def test_create_insert_select_drop_round_trip(spark, scratch):
+    from pyspark.sql import types as Ty
+    schema = Ty.StructType([Ty.StructField("id", Ty.IntegerType()),
+                            Ty.StructField("test_name", Ty.StringType()),
+                            Ty.StructField("created_at", Ty.TimestampNTZType())])
+    T.create_table(spark, "scratch_t", schema, path=os.path.join(scratch, "scratch_t"))
+    rows = [(i, f"test_{i}", dt.datetime(2024, 1, 1, 0, 0, i)) for i in (1, 2, 3)]
+    spark.createDataFrame(rows, schema).write.insertInto("scratch_t")
+    assert sorted(r.id for r in T.read_table(spark, "scratch_t").collect()) == [1, 2, 3]
+    T.drop_table(spark, "scratch_t")
+    assert not spark.catalog.tableExists("scratch_t")
+
+
+def test_table_options_come_from_conf(spark):
+    spark.sparkContext._conf.set("spark.barwise.source.url", "jdbc:example://host/db")
+    opts = T.table_options(spark, name="RAW", schema="S1")
+    assert opts["dbtable"] == "RAW" and opts["schema"] == "S1"
