@@ -15,6 +15,14 @@ from pyspark.sql import functions as F
 KEY = "symbole"
 DATE = "date_trading"
 
+# --- fixed values: the dashboard's period choices ----------------------------
+# trailing calendar days (P6); None keeps everything
+TRAILING_DAY_PRESETS = {"1 mois": 30, "3 mois": 90, "6 mois": 180, "1 an": 365,
+                        "Toutes les données": None}
+# chart range buttons (P7): (count, unit); None keeps everything
+RANGE_BUTTONS = {"1w": (7, "day"), "1m": (1, "month"), "3m": (3, "month"),
+                 "6m": (6, "month"), "all": None}
+
 
 def lowercase_columns(df: DataFrame) -> DataFrame:
     """Every column name in lower case."""
@@ -71,6 +79,15 @@ def trailing_months(df: DataFrame, n: int | None, as_of=None, date: str = DATE,
     return df.where(F.col(date) >= start)
 
 
+def range_button(df: DataFrame, button: str, as_of=None, date: str = DATE) -> DataFrame:
+    """P7 by button name (``1w``, ``1m``, ``3m``, ``6m``, ``all``)."""
+    spec = RANGE_BUTTONS[button]
+    if spec is None:
+        return df
+    n, unit = spec
+    return trailing_months(df, n, as_of, date, unit=unit)
+
+
 def filter_symbols_in(df: DataFrame, symbols, key: str = KEY) -> DataFrame:
     """Rows whose symbol is in ``symbols``; an empty list gives no rows.
 

@@ -77,6 +77,16 @@ def q_parse_daily(spark, sf):
     return parsed.select("symbol", "date", "open", "high", "low", "close", "volume")
 
 
+@query("parse_quote")
+def q_parse_quote(spark, sf):
+    return S.parse_quote(D.quotes_from_bars(B.walk_bars(spark, sf)))
+
+
+@query("range_button_1w")
+def q_range_button_1w(spark, sf):
+    return doubles(P.range_button(served_orders(spark, sf), "1w"))
+
+
 @query("latest_30_bars")
 def q_latest_30_bars(spark, sf):
     return doubles(S.latest_n(B.order_bars(spark, sf), 30))

@@ -30,6 +30,12 @@ SQL["parse_daily"] = on(WALK_BARS, f"""
 SELECT symbol, date, {_dbl(['open', 'high', 'low', 'close'])}, CAST(volume AS BIGINT) AS volume
   FROM bars""")
 
+SQL["parse_quote"] = on(WALK_BARS, """
+SELECT symbol, CAST(max_by(close, date) AS DOUBLE) AS price FROM bars GROUP BY symbol""")
+
+SQL["range_button_1w"] = on(SOD, """SELECT * FROM bars
+ WHERE date_trading >= (SELECT max(date_trading) FROM bars) - 7""")
+
 SQL["latest_30_bars"] = on(ORDER_BARS, f"""
 SELECT symbol, date, {_dbl(['open', 'high', 'low', 'close'])}, volume FROM bars
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) <= 30""")

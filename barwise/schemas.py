@@ -55,6 +55,8 @@ REPLY_HIGH = "2. high"
 REPLY_LOW = "3. low"
 REPLY_CLOSE = "4. close"
 REPLY_VOLUME = "5. volume"
+QUOTE_KEY = "Global Quote"
+QUOTE_PRICE = "05. price"
 BATCH_PREFIX = "BATCH_"
 BATCH_TIME_FORMAT = "yyyyMMdd_HHmm"
 FALLBACK_SOURCE = "FALLBACK"

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import (PRICE, REPLY_CLOSE, REPLY_HIGH, REPLY_LOW, REPLY_OPEN, REPLY_SERIES_KEY,
+from ..schemas import (PRICE, QUOTE_KEY, QUOTE_PRICE, REPLY_CLOSE, REPLY_HIGH, REPLY_LOW, REPLY_OPEN, REPLY_SERIES_KEY,
                        REPLY_VOLUME)
 from .bars import _orders_by_segment
 from ..session import materialize
@@ -64,3 +64,11 @@ def order_candidates(spark: SparkSession, sf_dir: str, scale: float = 2.5) -> Da
                       p.alias("close"), F.lit(1).cast("bigint").alias("volume"),
                       F.lit("BATCH_ORDERS").alias("batch_id"),
                       F.lit("PRIMARY").alias("data_source"))
+
+
+def quotes_from_bars(bars: DataFrame) -> DataFrame:
+    """Latest-price replies ``(symbol, body)``: each symbol's latest close."""
+    latest = bars.groupBy("symbol").agg(F.max_by("close", "date").alias("close"))
+    body = F.to_json(F.struct(F.create_map(
+        F.lit(QUOTE_PRICE), F.col("close").cast("string")).alias(QUOTE_KEY)))
+    return latest.select("symbol", body.alias("body"))

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import (BATCH_PREFIX, PRICE, RAW_BARS, RAW_STRING_LIMITS, REPLY_CLOSE,
-                       REPLY_HIGH, REPLY_LOW, REPLY_OPEN, REPLY_SERIES_KEY, REPLY_VOLUME)
+from ..schemas import (BATCH_PREFIX, PRICE, QUOTE_KEY, QUOTE_PRICE, RAW_BARS, RAW_STRING_LIMITS,
+                       REPLY_CLOSE, REPLY_HIGH, REPLY_LOW, REPLY_OPEN, REPLY_SERIES_KEY,
+                       REPLY_VOLUME)
 
 PRICES = ("open", "high", "low", "close")
 # largest absolute value a decimal(10,4) holds, plus one unit
@@ -62,6 +63,20 @@ def parse_daily(df: DataFrame, batch_id: str, source: str) -> DataFrame:
                F.lit("BAD_NUMBER")).alias("reject_reason"))
 
 
+_QUOTE = T.StructType([T.StructField(
+    QUOTE_KEY, T.MapType(T.StringType(), T.StringType()))])
+
+
+def parse_quote(df: DataFrame) -> DataFrame:
+    """Latest-price replies ``(symbol, body)`` -> ``(symbol, price)``.
+
+    A reply without the quote object gives no row; a price that is not a
+    number gives NULL."""
+    quote = F.from_json(F.col("body"), _QUOTE).getField(QUOTE_KEY)
+    return (df.select("symbol", quote.alias("_q")).where(F.col("_q").isNotNull())
+            .select("symbol", F.col("_q").getItem(QUOTE_PRICE).try_cast("double").alias("price")))
+
+
 def latest_n(df: DataFrame, n: int = 30, key: str = "symbol", date: str = "date") -> DataFrame:
     """The ``n`` most recent days of every symbol (a per-key top-n:
     each map task keeps its n newest rows per symbol before the shuffle)."""
