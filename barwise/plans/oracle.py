@@ -4,6 +4,9 @@ Each query of ``catalog.py`` has a SQL twin here with the same output
 columns. The SQL follows the textbook definitions: plain windows over whole
 symbols, and the EMA as a recursive CTE (``e_t = a*x_t + (1-a)*e_(t-1)``),
 so it checks the blocked Spark kernels rather than repeating them.
+Signed values rounded in SQL get ``+ 0.0``: DuckDB's ``round`` keeps the
+sign of a tiny negative (``-0.0``), Spark's rounds through a decimal and
+gives ``0.0``; zero has no sign in this data model.
 Tables ``orders``, ``customer`` ... are the driver's views.
 """
 
@@ -93,8 +96,8 @@ ind AS (SELECT ws.symbole, date_trading, CAST(o AS DOUBLE) AS prix_ouverture,
                CASE WHEN ws.i >= 14 THEN CASE WHEN g14 + l14 = 0 THEN CAST(50 AS DOUBLE)
                     ELSE CAST(100 AS DOUBLE) * CAST(g14 AS DOUBLE) / CAST(g14 + l14 AS DOUBLE) END
                END AS rsi_14,
-               CASE WHEN ws.i >= 25 THEN round(r.e12 - r.e26, 4) END AS macd_line,
-               CASE WHEN ws.i >= 33 THEN round(r.sig, 4) END AS macd_signal,
+               CASE WHEN ws.i >= 25 THEN (round(r.e12 - r.e26, 4) + CAST(0 AS DOUBLE)) END AS macd_line,
+               CASE WHEN ws.i >= 33 THEN (round(r.sig, 4) + CAST(0 AS DOUBLE)) END AS macd_signal,
                CASE WHEN ws.i >= 19 THEN CAST(s20 AS DOUBLE) / 20 END AS bollinger_middle,
                CASE WHEN ws.i >= 19 THEN sqrt(CAST(CAST(20 AS DECIMAL(5,0)) * CAST(q20 AS DECIMAL(24,8))
                     - CAST(s20 AS DECIMAL(19,4)) * CAST(s20 AS DECIMAL(19,4)) AS DOUBLE))

@@ -182,7 +182,7 @@ SQL["corr_matrix"] = on(SW, """
 , daily AS (SELECT symbole, date_trading, CAST(sum(prix_fermeture) AS DOUBLE) / count(prix_fermeture) AS x
               FROM bars WHERE symbole IS NOT NULL AND prix_fermeture IS NOT NULL GROUP BY 1, 2)
 SELECT a.symbole AS symbole_a, b.symbole AS symbole_b,
-       round(covar_samp(a.x, b.x) / nullif(stddev_samp(a.x) * stddev_samp(b.x), 0), 2) AS correlation
+       (round(covar_samp(a.x, b.x) / nullif(stddev_samp(a.x) * stddev_samp(b.x), 0), 2) + CAST(0 AS DOUBLE)) AS correlation
   FROM daily a JOIN daily b ON a.date_trading = b.date_trading
  GROUP BY 1, 2""")
 
@@ -195,14 +195,14 @@ SQL["rsi_level"] = on_enriched("SELECT symbole, date_trading, rsi_14, niveau_rsi
 SQL["macd"] = on_enriched("SELECT symbole, date_trading, macd_line, macd_signal FROM enriched")
 SQL["macd_histogram"] = on_enriched("""
 SELECT symbole, date_trading, macd_line, macd_signal,
-       round(macd_line - macd_signal, 4) AS macd_histogram,
+       (round(macd_line - macd_signal, 4) + CAST(0 AS DOUBLE)) AS macd_histogram,
        coalesce(round(macd_line - macd_signal, 4) >= 0, false) AS histogram_positive
   FROM enriched""")
 SQL["macd_direction"] = on_enriched("""
 SELECT symbole, date_trading, macd_line, macd_signal,
        CASE WHEN coalesce(macd_line > macd_signal, false) THEN 'HAUSSE' ELSE 'BAISSE' END
            AS macd_direction,
-       round(macd_line - macd_signal, 4) AS macd_gap
+       (round(macd_line - macd_signal, 4) + CAST(0 AS DOUBLE)) AS macd_gap
   FROM enriched""")
 SQL["bollinger"] = on_enriched("""
 SELECT symbole, date_trading, bollinger_middle, bollinger_upper, bollinger_lower FROM enriched""")
@@ -294,14 +294,14 @@ SELECT symbole, date_trading, rsi_14, niveau_rsi FROM enriched
 QUALIFY row_number() OVER (PARTITION BY symbole ORDER BY date_trading DESC) = 1""")
 SQL["view_macd"] = on_enriched(f"""
 SELECT symbole, date_trading, macd_line, macd_signal,
-       round(macd_line - macd_signal, 4) AS macd_histogram,
+       (round(macd_line - macd_signal, 4) + CAST(0 AS DOUBLE)) AS macd_histogram,
        coalesce(round(macd_line - macd_signal, 4) >= 0, false) AS histogram_positive
   FROM enriched WHERE date_trading > {_LATEST_DATE} - 90""")
 SQL["view_macd_latest"] = on_enriched("""
 SELECT symbole, date_trading, macd_line, macd_signal,
        CASE WHEN coalesce(macd_line > macd_signal, false) THEN 'HAUSSE' ELSE 'BAISSE' END
            AS macd_direction,
-       round(macd_line - macd_signal, 4) AS macd_gap
+       (round(macd_line - macd_signal, 4) + CAST(0 AS DOUBLE)) AS macd_gap
   FROM enriched
 QUALIFY row_number() OVER (PARTITION BY symbole ORDER BY date_trading DESC) = 1""")
 SQL["view_signal_board"] = on_enriched(f"""
