@@ -32,6 +32,10 @@ def make_batch_id(now: dt.datetime | None = None) -> str:
     return BATCH_PREFIX + now.strftime("%Y%m%d_%H%M")
 
 
+def _finite(x: F.Column) -> F.Column:
+    return F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)
+
+
 def parse_daily(df: DataFrame, batch_id: str, source: str) -> DataFrame:
     """Explode landed replies ``(symbol, body)`` into one row per day.
 
@@ -44,7 +48,9 @@ def parse_daily(df: DataFrame, batch_id: str, source: str) -> DataFrame:
     fields = {"open": REPLY_OPEN, "high": REPLY_HIGH, "low": REPLY_LOW, "close": REPLY_CLOSE}
     text = {name: F.col("v").getItem(k) for name, k in fields.items()}
     text["volume"] = F.col("v").getItem(REPLY_VOLUME)
-    parsed = {name: t.try_cast("double") for name, t in text.items() if name != "volume"}
+    # NaN and infinities are not prices: NULL, so the day is flagged below
+    # (NaN would otherwise compare greater than every threshold)
+    parsed = {name: _finite(t.try_cast("double")) for name, t in text.items() if name != "volume"}
     parsed["volume"] = text["volume"].try_cast("bigint")
     bad = None
     for name, t in text.items():

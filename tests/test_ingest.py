@@ -22,13 +22,15 @@ def _reply(days):
 
 def test_parse_daily_keeps_good_days_and_flags_bad_ones(spark):
     replies = spark.createDataFrame([
-        ("AAA", _reply([("2024-01-02", "10.5", "100"), ("2024-01-03", "oops", "100")])),
+        ("AAA", _reply([("2024-01-02", "10.5", "100"), ("2024-01-03", "oops", "100"),
+                        ("2024-01-04", "NaN", "100"), ("2024-01-05", "Infinity", "100")])),
         ("BBB", json.dumps({"Note": "rate limited"})),
     ], "symbol string, body string")
     rows = {r.date.isoformat(): r for r in S.parse_daily(replies, "B1", "SRC").collect()}
-    assert set(rows) == {"2024-01-02", "2024-01-03"}
+    assert set(rows) == {"2024-01-02", "2024-01-03", "2024-01-04", "2024-01-05"}
     assert rows["2024-01-02"].close == 10.5 and rows["2024-01-02"].reject_reason is None
-    assert rows["2024-01-03"].reject_reason == "BAD_NUMBER"
+    for day in ("2024-01-03", "2024-01-04", "2024-01-05"):
+        assert rows[day].reject_reason == "BAD_NUMBER" and rows[day].close is None
 
 
 def test_split_valid_reasons(spark):
