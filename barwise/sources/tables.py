@@ -89,6 +89,14 @@ def scan_enriched(df: DataFrame) -> DataFrame:
         "symbole", "date_trading")
 
 
+def write_enriched(df: DataFrame, path: str) -> None:
+    """Store the enriched table partitioned by year of ``date_trading``, so a
+    served date filter prunes whole years; re-written years are replaced."""
+    (df.withColumn("annee", F.year("date_trading"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("annee").parquet(path))
+
+
 def enriched_scan(spark: SparkSession, path: str) -> DataFrame:
     """Read the stored enriched table (only the named columns are read)."""
     return scan_enriched(spark.read.parquet(path))
@@ -172,5 +180,5 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 __all__ = ["PRICES", "append_raw", "verify_batch", "run_log", "write_with_backup",
-           "scan_enriched", "enriched_scan", "table_options", "create_table", "read_table", "drop_table",
+           "scan_enriched", "write_enriched", "enriched_scan", "table_options", "create_table", "read_table", "drop_table",
            "table_profile", "table_sample", "read_or_empty"]

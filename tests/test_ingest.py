@@ -162,3 +162,19 @@ def test_table_options_come_from_conf(spark):
     spark.sparkContext._conf.set("spark.barwise.source.url", "jdbc:example://host/db")
     opts = T.table_options(spark, name="RAW", schema="S1")
     assert opts["dbtable"] == "RAW" and opts["schema"] == "S1"
+
+
+def test_refresh_enriched_end_to_end(spark, scratch):
+    from barwise.plans.refresh import refresh_enriched
+    raw_path, out = os.path.join(scratch, "raw"), os.path.join(scratch, "enriched")
+    for i, bid in enumerate(["BATCH_20240101_2100", "BATCH_20240102_2100"]):
+        closes = [100.0 + k + i for k in range(60)]  # the second batch re-sends every day, +1
+        batch = S.stamp_batch(bars(spark, closes, raw=True), bid, "P",
+                              dt.datetime(2024, 1, 1 + i, 21))
+        T.append_raw(S.split_valid(batch)[0], raw_path)
+    refresh_enriched(spark, raw_path, out, dt.datetime(2024, 3, 1))
+    back = T.enriched_scan(spark, out)
+    rows = back.collect()
+    assert len(rows) == 60 and back.columns[-1] == "horodatage_calcul"
+    assert rows[0].prix_fermeture == 101.0  # latest batch won
+    assert os.path.isdir(os.path.join(out, "annee=2024"))
