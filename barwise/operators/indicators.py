@@ -37,14 +37,6 @@ def _full(n: int) -> F.Column:
     return F.col(IDX) >= n - 1
 
 
-def trailing_sum(x: F.Column, n: int, key: str) -> F.Column:
-    """Sum of the last ``n`` values: running sum minus the running sum ``n``
-    rows back. O(1) per row (a sliding frame re-adds n values), and exact
-    for decimals; needs a halo of ``n`` rows."""
-    running = F.sum(x).over(block_window(key).rowsBetween(Window.unboundedPreceding, 0))
-    return running - F.coalesce(F.lag(running, n).over(block_window(key)), F.lit(0))
-
-
 def _with_trailing(d: DataFrame, sums: dict[str, tuple[F.Column, int]], key: str,
                    outputs) -> DataFrame:
     """Add the columns ``outputs(trailing)`` where ``trailing[name]`` is the

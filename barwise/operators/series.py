@@ -125,11 +125,6 @@ def block_window(key: str) -> Window:
     return Window.partitionBy(key, BLK).orderBy(IDX)
 
 
-def frame(key: str, n: int) -> Window:
-    """The last ``n`` rows up to the current one."""
-    return block_window(key).rowsBetween(-(n - 1), 0)
-
-
 def geometric_columns(df: DataFrame, terms: dict[str, tuple[str, float, int]],
                       outputs: dict[str, list[tuple[str, float]]]) -> DataFrame:
     """Add linear combinations of geometric sums to a prepared frame.

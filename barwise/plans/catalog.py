@@ -23,6 +23,7 @@ from ..sources import bars as B
 from ..sources import derived as D
 from ..sources import ingest as S
 from ..sources import tables as T
+from ..schemas import FALLBACK_SOURCE
 from . import enrich as E
 from . import views as V
 
@@ -108,13 +109,13 @@ def q_fallback_source(spark, sf):
     ob = B.order_bars(spark, sf)
     newer = ob.where(F.col("date") > ob.select(F.max("date")).scalar())
     return S.with_fallback(_tagged(newer, "PRIMARY"),
-                           _tagged(B.walk_bars(spark, sf), "FALLBACK"))
+                           _tagged(B.walk_bars(spark, sf), FALLBACK_SOURCE))
 
 
 @query("fallback_unused")
 def q_fallback_unused(spark, sf):
     return S.with_fallback(_tagged(B.order_bars(spark, sf), "PRIMARY"),
-                           _tagged(B.walk_bars(spark, sf), "FALLBACK"))
+                           _tagged(B.walk_bars(spark, sf), FALLBACK_SOURCE))
 
 
 @query("reject_rows")

@@ -58,7 +58,6 @@ REPLY_VOLUME = "5. volume"
 QUOTE_KEY = "Global Quote"
 QUOTE_PRICE = "05. price"
 BATCH_PREFIX = "BATCH_"
-BATCH_TIME_FORMAT = "yyyyMMdd_HHmm"
 FALLBACK_SOURCE = "FALLBACK"
 
 # --- schemas -----------------------------------------------------------------

@@ -113,3 +113,19 @@ def test_block_size_does_not_change_results(spark):
     a = indicators(served, block=2048).orderBy("symbole", "date_trading").collect()
     b = indicators(served, block=256).orderBy("symbole", "date_trading").collect()
     assert a == b
+
+
+def test_hot_symbol_is_spread_over_blocks(spark):
+    """A symbol holding most rows is cut into many (symbol, block) groups,
+    none larger than a block plus its halo."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from barwise.operators.series import BLK, prepare_series
+    hot = bars(spark, [100 + (i % 17) for i in range(3000)], symbol="HOT",
+               start=dt.date(2000, 1, 1))
+    cold = bars(spark, [50.0] * 40, symbol="COLD")
+    p = prepare_series(hot.unionByName(cold), "symbole", "date_trading", halo=20, block=256)
+    sizes = {(r.symbole, r[BLK]): r["n"] for r in
+             p.groupBy("symbole", BLK).agg(F.count("*").alias("n")).collect()}
+    assert sum(1 for s, _ in sizes if s == "HOT") == 12
+    assert max(sizes.values()) <= 256 + 20
