@@ -10,13 +10,16 @@ series is instead cut into fixed blocks of rows:
   unique.
 * ``prepare_series``: row position ``_i``, block ``_blk = _i div B`` and a
   copy of the last ``halo`` rows of every block in the next block
-  (``_halo = true``). A frame of up to ``halo + 1`` rows is then exact inside
-  ``PARTITION BY key, _blk``; ``finish_series`` drops the copies.
-* ``ema_columns``: exponential averages without recursion. Inside a block,
-  ``P_t = q^r * sum_{k<=r} w_k x_k q^-k`` is a running sum; the value carried
-  in from earlier blocks is ``sum_l q^(B(l-1)) P_end(b-l)`` over the few
-  blocks whose weight is still above 1e-17, taken from a small per-block
-  table and joined back on (key, _blk).
+  (``_halo = true``). Any lag or trailing sum reaching back up to ``halo``
+  rows is then exact inside ``PARTITION BY key, _blk``; ``finish_series``
+  drops the copies.
+* ``geometric_columns`` (and ``ema_columns`` on top of it): exponential sums
+  without recursion. Inside a block, ``P_t = q^r * sum_{k<=r} w_k x_k q^-k``
+  is a running sum. What earlier blocks carry in is
+  ``sum_l q^(B(l-1)) E(b-l)`` over the few blocks whose weight is still
+  above 1e-17, where ``E(b)`` is block b's sum seen from its last row (a
+  plain per-block SUM). That small per-block table is joined back on
+  (key, _blk).
 
 No Python runs per row and no group grows with the length of a series.
 """
@@ -32,7 +35,7 @@ IDX = "_i"
 BLK = "_blk"
 HALO = "_halo"
 DEFAULT_BLOCK = 2048
-DEFAULT_HALO = 199
+DEFAULT_HALO = 200
 _BKT = "_bkt"
 # weights below this share of the newest one are dropped from an EMA
 _EMA_TAIL = 1e-17
