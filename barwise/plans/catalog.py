@@ -88,6 +88,23 @@ def q_range_button_1w(spark, sf):
     return doubles(P.range_button(served_orders(spark, sf), "1w"))
 
 
+@query("streamed_ingest")
+def q_streamed_ingest(spark, sf):
+    """Land replies (one JSON-lines file set) under the shared checkpoint
+    folder, run the incremental ingest once, return the stored raw bars."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..streaming import ingest_landed
+    base = f"{checkpoint_dir(spark).rstrip('/')}/barwise/stream-{uuid.uuid4().hex}"
+    D.replies_from_bars(B.walk_bars(spark, sf)).write.json(f"{base}/landing")
+    run = ingest_landed(spark, f"{base}/landing", f"{base}/raw", f"{base}/rejects",
+                        f"{base}/log", f"{base}/checkpoint")
+    run.awaitTermination()
+    stored = spark.read.parquet(f"{base}/raw")
+    return doubles(stored.select("symbol", "date", "open", "high", "low", "close", "volume"))
+
+
 @query("latest_30_bars")
 def q_latest_30_bars(spark, sf):
     return doubles(S.latest_n(B.order_bars(spark, sf), 30))

@@ -30,6 +30,9 @@ SQL["parse_daily"] = on(WALK_BARS, f"""
 SELECT symbol, date, {_dbl(['open', 'high', 'low', 'close'])}, CAST(volume AS BIGINT) AS volume
   FROM bars""")
 
+SQL["streamed_ingest"] = on(WALK_BARS, f"""
+SELECT symbol, date, {_dbl(['open', 'high', 'low', 'close'])}, volume FROM bars""")
+
 SQL["parse_quote"] = on(WALK_BARS, """
 SELECT symbol, CAST(max_by(close, date) AS DOUBLE) AS price FROM bars GROUP BY symbol""")
 
