@@ -54,6 +54,11 @@ def _with_trailing(d: DataFrame, sums: dict[str, tuple[F.Column, int]], key: str
     return d.select(*base, *outputs(trailing))
 
 
+def sma_value(total: F.Column, n: int) -> F.Column:
+    """SMA from the trailing sum of the last ``n`` prices."""
+    return F.when(_full(n), total.cast("double") / n)
+
+
 def sma(df: DataFrame, n: int, price: str = CLOSE, out: str | None = None,
         key: str = KEY, order: str = DATE) -> DataFrame:
     """Mean of the last ``n`` prices."""
@@ -61,10 +66,26 @@ def sma(df: DataFrame, n: int, price: str = CLOSE, out: str | None = None,
 
     def fn(d, k):
         return _with_trailing(d, {"sum": (F.col(price), n)}, k, lambda t: [
-            F.when(_full(n), t["sum"].cast("double") / n).alias(out)])
+            sma_value(t["sum"], n).alias(out)])
     return on_series(df, key, order, n, fn)
 
 
+def band_values(sx: F.Column, sxx: F.Column, n: int, k: float = 2, ddof: int = 0,
+                exact: bool = True, prefix: str = "bollinger") -> list[F.Column]:
+    """Middle, upper and lower band from the trailing sums of x and x^2."""
+    if exact:
+        sx4 = sx.cast("decimal(14,4)")
+        spread = (F.lit(n).cast("decimal(5,0)") * sxx.cast("decimal(24,8)")
+                  - sx4 * sx4).cast("double")
+    else:
+        spread = F.greatest(F.lit(n) * sxx - sx * sx, F.lit(0.0))
+    sd = F.sqrt(spread) / math.sqrt(n * (n - ddof))
+    middle = sx.cast("double") / n
+    return [F.when(_full(n), middle).alias(f"{prefix}_middle"),
+            F.when(_full(n), middle + F.lit(k) * sd).alias(f"{prefix}_upper"),
+            F.when(_full(n), middle - F.lit(k) * sd).alias(f"{prefix}_lower")]
+
+
 def bollinger(df: DataFrame, n: int = 20, k: float = 2, ddof: int = 0,
               price: str = CLOSE, prefix: str = "bollinger",
               key: str = KEY, order: str = DATE) -> DataFrame:
@@ -75,31 +96,21 @@ def bollinger(df: DataFrame, n: int = 20, k: float = 2, ddof: int = 0,
     """
     exact = _decimal(df, price)
 
-    def bands(t):
-        sx, sxx = t["sx"], t["sxx"]
-        if exact:
-            sx4 = sx.cast("decimal(14,4)")
-            spread = (F.lit(n).cast("decimal(5,0)") * sxx.cast("decimal(24,8)")
-                      - sx4 * sx4).cast("double")
-        else:
-            spread = F.greatest(F.lit(n) * sxx - sx * sx, F.lit(0.0))
-        sd = F.sqrt(spread) / math.sqrt(n * (n - ddof))
-        middle = sx.cast("double") / n
-        return [F.when(_full(n), middle).alias(f"{prefix}_middle"),
-                F.when(_full(n), middle + F.lit(k) * sd).alias(f"{prefix}_upper"),
-                F.when(_full(n), middle - F.lit(k) * sd).alias(f"{prefix}_lower")]
-
     def fn(d, key_):
         x = F.col(price)
-        return _with_trailing(d, {"sx": (x, n), "sxx": (x * x, n)}, key_, bands)
+        return _with_trailing(d, {"sx": (x, n), "sxx": (x * x, n)}, key_,
+                              lambda t: band_values(t["sx"], t["sxx"], n, k, ddof, exact, prefix))
     return on_series(df, key, order, n, fn)
 
 
+def bollinger_percent_value(price: str = CLOSE, prefix: str = "bollinger") -> F.Column:
+    lower, upper = F.col(f"{prefix}_lower"), F.col(f"{prefix}_upper")
+    return F.try_divide(F.col(price).cast("double") - lower, upper - lower)
+
+
 def bollinger_percent(df: DataFrame, price: str = CLOSE, prefix: str = "bollinger") -> DataFrame:
     """(close - lower) / (upper - lower) as a 0-1 fraction; flat band -> NULL."""
-    lower, upper = F.col(f"{prefix}_lower"), F.col(f"{prefix}_upper")
-    return df.withColumn(f"{prefix}_percent", F.try_divide(
-        F.col(price).cast("double") - lower, upper - lower))
+    return df.withColumn(f"{prefix}_percent", bollinger_percent_value(price, prefix))
 
 
 def _with_delta(d: DataFrame, price: str, key: str) -> DataFrame:
@@ -209,11 +220,11 @@ def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9,
                                 (price, 2.0 / (slow + 1), "_es", 0)])
             d = d.withColumn("_line", F.col("_ef") - F.col("_es")).drop("_ef", "_es")
             d = ema_columns(d, [("_line", 2.0 / (signal + 1), "_sig", 0)])
-        return (d.withColumn("macd_line", F.when(
-                    _full(slow), F.round("_line", EMA_DIGITS)))
-                .withColumn("macd_signal", F.when(
-                    _full(slow + signal - 1), F.round("_sig", EMA_DIGITS)))
-                .drop("_line", "_sig"))
+        keep = [c for c in d.columns if c not in ("_line", "_sig")]
+        return d.select(*keep,
+                        F.when(_full(slow), F.round("_line", EMA_DIGITS)).alias("macd_line"),
+                        F.when(_full(slow + signal - 1),
+                               F.round("_sig", EMA_DIGITS)).alias("macd_signal"))
     return on_series(df, key, order, 0, fn)
 
 
@@ -231,24 +242,46 @@ def macd_direction(df: DataFrame) -> DataFrame:
             .withColumn("macd_gap", F.round(F.col("macd_line") - F.col("macd_signal"), EMA_DIGITS)))
 
 
+def rsi_level_value(hi: float = RSI_HIGH, lo: float = RSI_LOW, col: str = "rsi_14") -> F.Column:
+    r = F.col(col)
+    return (F.when(r > hi, F.lit(RSI_OVERBOUGHT)).when(r < lo, F.lit(RSI_OVERSOLD))
+            .when(r.isNotNull(), F.lit(NEUTRAL)))
+
+
 def rsi_level(df: DataFrame, hi: float = RSI_HIGH, lo: float = RSI_LOW,
               col: str = "rsi_14", out: str = "niveau_rsi") -> DataFrame:
     """SURACHAT above ``hi``, SURVENTE below ``lo``, else NEUTRE; NULL stays NULL."""
-    r = F.col(col)
-    return df.withColumn(out, F.when(r > hi, F.lit(RSI_OVERBOUGHT))
-                         .when(r < lo, F.lit(RSI_OVERSOLD))
-                         .when(r.isNotNull(), F.lit(NEUTRAL)))
+    return df.withColumn(out, rsi_level_value(hi, lo, col))
+
+
+def trend_value(price: str = CLOSE, mid: str = "moyenne_mobile_50j",
+                long: str = "moyenne_mobile_200j") -> F.Column:
+    c, m, lg = F.col(price).cast("double"), F.col(mid), F.col(long)
+    return (F.when(c.isNull() | m.isNull() | lg.isNull(), F.lit(TREND_UNKNOWN))
+            .when((c > m) & (m > lg), F.lit(TREND_UP))
+            .when((c < m) & (m < lg), F.lit(TREND_DOWN))
+            .otherwise(F.lit(NEUTRAL)))
 
 
 def trend(df: DataFrame, price: str = CLOSE, mid: str = "moyenne_mobile_50j",
           long: str = "moyenne_mobile_200j", out: str = "tendance_globale") -> DataFrame:
     """Close > SMA50 > SMA200 up, close < SMA50 < SMA200 down, else
     neutral; unknown while any of the three is NULL."""
-    c, m, lg = F.col(price).cast("double"), F.col(mid), F.col(long)
-    return df.withColumn(out, F.when(c.isNull() | m.isNull() | lg.isNull(), F.lit(TREND_UNKNOWN))
-                         .when((c > m) & (m > lg), F.lit(TREND_UP))
-                         .when((c < m) & (m < lg), F.lit(TREND_DOWN))
-                         .otherwise(F.lit(NEUTRAL)))
+    return df.withColumn(out, trend_value(price, mid, long))
+
+
+def trading_signal_value(price: str = CLOSE, rsi_col: str = "rsi_14", hi: float = RSI_HIGH,
+                         lo: float = RSI_LOW, prefix: str = "bollinger") -> F.Column:
+    r, line, sig = F.col(rsi_col), F.col("macd_line"), F.col("macd_signal")
+    c = F.col(price).cast("double")
+
+    def true(cond):
+        return F.coalesce(cond, F.lit(False))
+    return (F.when(true((r < lo) & (line > sig)), F.lit(SIGNAL_BUY))
+            .when(true((r > hi) & (line < sig)), F.lit(SIGNAL_SELL))
+            .when(true(c < F.col(f"{prefix}_lower")), F.lit(SIGNAL_BB_BUY))
+            .when(true(c > F.col(f"{prefix}_upper")), F.lit(SIGNAL_BB_SELL))
+            .otherwise(F.lit(NEUTRAL)))
 
 
 def trading_signal(df: DataFrame, price: str = CLOSE, rsi_col: str = "rsi_14",
@@ -257,13 +290,4 @@ def trading_signal(df: DataFrame, price: str = CLOSE, rsi_col: str = "rsi_14",
     """First match of: RSI < lo and line > signal -> buy; RSI > hi and
     line < signal -> sell; close < lower band -> band buy; close > upper band
     -> band sell; otherwise neutral."""
-    r, line, sig = F.col(rsi_col), F.col("macd_line"), F.col("macd_signal")
-    c = F.col(price).cast("double")
-
-    def true(cond):
-        return F.coalesce(cond, F.lit(False))
-    return df.withColumn(out, F.when(true((r < lo) & (line > sig)), F.lit(SIGNAL_BUY))
-                         .when(true((r > hi) & (line < sig)), F.lit(SIGNAL_SELL))
-                         .when(true(c < F.col(f"{prefix}_lower")), F.lit(SIGNAL_BB_BUY))
-                         .when(true(c > F.col(f"{prefix}_upper")), F.lit(SIGNAL_BB_SELL))
-                         .otherwise(F.lit(NEUTRAL)))
+    return df.withColumn(out, trading_signal_value(price, rsi_col, hi, lo, prefix))

@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.filters import DATE, KEY
-from ..operators.indicators import (bollinger, bollinger_percent, macd, rsi, rsi_level, sma,
-                                    trading_signal, trend)
+from ..operators.indicators import (CLOSE, _gain, _loss, _rsi_value, _with_delta,
+                                    _with_trailing, band_values, bollinger_percent_value, macd,
+                                    rsi_level_value, sma_value, trading_signal_value, trend_value)
 from ..operators.series import DEFAULT_BLOCK, finish_series, prepare_series
 from ..schemas import ENRICHED_COLUMNS, RAW_TO_SERVED
 from ..session import materialize
@@ -34,19 +35,35 @@ def to_served(bars: DataFrame) -> DataFrame:
 
 def indicators(served: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
     """All indicator and label columns on served bars (decimal prices give
-    exact finite windows)."""
+    exact finite windows).
+
+    The same formulas as the standalone operators, fused: one lag for the
+    deltas, one trailing-sum pass for SMA 20/50/200, the bands and RSI, one
+    geometric pass for MACD, and one select for the four labels.
+    """
     p = prepare_series(served, KEY, DATE, halo=HALO, block=block)
-    p = sma(p, 20, out="moyenne_mobile_20j")
-    p = sma(p, 50, out="moyenne_mobile_50j")
-    p = sma(p, 200, out="moyenne_mobile_200j")
-    p = bollinger(p, 20, 2)
-    p = rsi(p, 14, out="rsi_14")
+    base = p.columns
+    x = F.col(CLOSE)
+    exact = dict(p.dtypes)[CLOSE].startswith("decimal")
+    p = _with_delta(p, CLOSE, KEY)
+    sums = {"s20": (x, 20), "s50": (x, 50), "s200": (x, 200), "q20": (x * x, 20),
+            "g14": (_gain(), 14), "l14": (_loss(), 14)}
+
+    def outputs(t):
+        return [sma_value(t["s20"], 20).alias("moyenne_mobile_20j"),
+                sma_value(t["s50"], 50).alias("moyenne_mobile_50j"),
+                sma_value(t["s200"], 200).alias("moyenne_mobile_200j"),
+                *band_values(t["s20"], t["q20"], 20, 2, 0, exact),
+                _rsi_value(t["g14"], t["l14"], 14).alias("rsi_14")]
+    p = _with_trailing(p, sums, KEY, outputs)
     p = macd(p)
-    out = finish_series(p)
-    out = bollinger_percent(out)
-    out = trend(out)
-    out = rsi_level(out)
-    return trading_signal(out)
+    out = finish_series(p.drop("_delta"))
+    keep = [c for c in out.columns if c not in base or c in served.columns]
+    return out.select(*keep,
+                      bollinger_percent_value().alias("bollinger_percent"),
+                      trend_value().alias("tendance_globale"),
+                      rsi_level_value().alias("niveau_rsi"),
+                      trading_signal_value().alias("signal_trading"))
 
 
 def enrich(raw: DataFrame, run_ts: dt.datetime | None = None,
