@@ -70,7 +70,9 @@ def enrich(raw: DataFrame, run_ts: dt.datetime | None = None,
            block: int = DEFAULT_BLOCK) -> DataFrame:
     """Raw bars (any batches) -> enriched bars in the contract's 21 columns."""
     bars = dedupe_latest_batch(raw) if "batch_id" in raw.columns else raw
-    bars = bars.where(F.col("close").isNotNull())
+    # keys are NOT NULL in the raw table; a bar without a close has no indicators
+    bars = bars.where(F.col("symbol").isNotNull() & F.col("date").isNotNull()
+                      & F.col("close").isNotNull())
     # the series layout joins the bars back to small per-month and per-block
     # tables; write the clean bars once so the raw input is read only once
     bars = materialize(bars, "clean_bars")

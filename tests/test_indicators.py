@@ -90,6 +90,15 @@ def test_null_close_dropped_before_windows(spark):
     assert out.count() == 4
 
 
+def test_null_keys_dropped_before_windows(spark):
+    from pyspark.sql import functions as F
+    raw = bars(spark, [10, 11, 12, 13], raw=True)
+    raw = raw.withColumn("symbol", F.when(F.col("date") == "2024-01-02", None)
+                         .otherwise(F.col("symbol")))
+    raw = raw.withColumn("date", F.when(F.col("close") == 13, None).otherwise(F.col("date")))
+    assert enrich(raw).count() == 2
+
+
 def test_all_five_signals_occur_on_walk_bars(spark):
     from barwise.sources.bars import walk_bars
     out = enrich(walk_bars(spark, "/root/testdata/sf0.01"))
