@@ -37,7 +37,7 @@ def _full(n: int) -> F.Column:
     return F.col(IDX) >= n - 1
 
 
-def _with_trailing(d: DataFrame, sums: dict[str, tuple[F.Column, int]], key: str,
+def with_trailing(d: DataFrame, sums: dict[str, tuple[F.Column, int]], key: str,
                    outputs) -> DataFrame:
     """Add the columns ``outputs(trailing)`` where ``trailing[name]`` is the
     sum of ``expr`` over the last ``n`` rows, for ``sums = {name: (expr, n)}``.
@@ -65,7 +65,7 @@ def sma(df: DataFrame, n: int, price: str = CLOSE, out: str | None = None,
     out = out or f"sma_{n}"
 
     def fn(d, k):
-        return _with_trailing(d, {"sum": (F.col(price), n)}, k, lambda t: [
+        return with_trailing(d, {"sum": (F.col(price), n)}, k, lambda t: [
             sma_value(t["sum"], n).alias(out)])
     return on_series(df, key, order, n, fn)
 
@@ -98,7 +98,7 @@ def bollinger(df: DataFrame, n: int = 20, k: float = 2, ddof: int = 0,
 
     def fn(d, key_):
         x = F.col(price)
-        return _with_trailing(d, {"sx": (x, n), "sxx": (x * x, n)}, key_,
+        return with_trailing(d, {"sx": (x, n), "sxx": (x * x, n)}, key_,
                               lambda t: band_values(t["sx"], t["sxx"], n, k, ddof, exact, prefix))
     return on_series(df, key, order, n, fn)
 
@@ -113,22 +113,22 @@ def bollinger_percent(df: DataFrame, price: str = CLOSE, prefix: str = "bollinge
     return df.withColumn(f"{prefix}_percent", bollinger_percent_value(price, prefix))
 
 
-def _with_delta(d: DataFrame, price: str, key: str) -> DataFrame:
+def with_delta(d: DataFrame, price: str, key: str) -> DataFrame:
     """Add ``_delta`` = price - previous price (NULL on the first row)."""
     return d.select("*", (F.col(price) - F.lag(price, 1).over(block_window(key))).alias("_delta"))
 
 
-def _gain() -> F.Column:
+def gain_value() -> F.Column:
     dl = F.col("_delta")
     return F.when(dl > 0, dl).when(dl.isNotNull(), F.lit(0))
 
 
-def _loss() -> F.Column:
+def loss_value() -> F.Column:
     dl = F.col("_delta")
     return F.when(dl < 0, -dl).when(dl.isNotNull(), F.lit(0))
 
 
-def _rsi_value(g: F.Column, l: F.Column, n: int) -> F.Column:
+def rsi_value(g: F.Column, l: F.Column, n: int) -> F.Column:
     total = g + l
     value = F.when(total == 0, F.lit(50.0)).otherwise(
         F.lit(100.0) * g.cast("double") / total.cast("double"))
@@ -149,14 +149,14 @@ def rsi(df: DataFrame, n: int = 14, method: str = "simple", price: str = CLOSE,
 
     def fn(d, k):
         base = d.columns
-        d = _with_delta(d, price, k)
+        d = with_delta(d, price, k)
         if method == "simple":
-            d = _with_trailing(d, {"g": (_gain(), n), "l": (_loss(), n)}, k, lambda t: [
-                _rsi_value(t["g"], t["l"], n).alias(out)])
+            d = with_trailing(d, {"g": (gain_value(), n), "l": (loss_value(), n)}, k, lambda t: [
+                rsi_value(t["g"], t["l"], n).alias(out)])
         else:
-            d = d.select("*", _gain().alias("_gain"), _loss().alias("_loss"))
-            d = ema_columns(d, [("_gain", 1.0 / n, "_g", 1), ("_loss", 1.0 / n, "_l", 1)])
-            d = d.withColumn(out, F.round(_rsi_value(F.col("_g"), F.col("_l"), n), EMA_DIGITS))
+            d = d.select("*", gain_value().alias("gain_value"), loss_value().alias("loss_value"))
+            d = ema_columns(d, [("gain_value", 1.0 / n, "_g", 1), ("loss_value", 1.0 / n, "_l", 1)])
+            d = d.withColumn(out, F.round(rsi_value(F.col("_g"), F.col("_l"), n), EMA_DIGITS))
         return d.select(*base, out)
     return on_series(df, key, order, n + 1, fn)
 

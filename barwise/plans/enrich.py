@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.filters import DATE, KEY
-from ..operators.indicators import (CLOSE, _gain, _loss, _rsi_value, _with_delta,
-                                    _with_trailing, band_values, bollinger_percent_value, macd,
-                                    rsi_level_value, sma_value, trading_signal_value, trend_value)
+from ..operators.indicators import (CLOSE, band_values, bollinger_percent_value, gain_value,
+                                    loss_value, macd, rsi_level_value, rsi_value, sma_value,
+                                    trading_signal_value, trend_value, with_delta, with_trailing)
 from ..operators.series import DEFAULT_BLOCK, finish_series, prepare_series
 from ..schemas import ENRICHED_COLUMNS, RAW_TO_SERVED
 from ..session import materialize
@@ -45,17 +45,17 @@ def indicators(served: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
     base = p.columns
     x = F.col(CLOSE)
     exact = dict(p.dtypes)[CLOSE].startswith("decimal")
-    p = _with_delta(p, CLOSE, KEY)
+    p = with_delta(p, CLOSE, KEY)
     sums = {"s20": (x, 20), "s50": (x, 50), "s200": (x, 200), "q20": (x * x, 20),
-            "g14": (_gain(), 14), "l14": (_loss(), 14)}
+            "g14": (gain_value(), 14), "l14": (loss_value(), 14)}
 
     def outputs(t):
         return [sma_value(t["s20"], 20).alias("moyenne_mobile_20j"),
                 sma_value(t["s50"], 50).alias("moyenne_mobile_50j"),
                 sma_value(t["s200"], 200).alias("moyenne_mobile_200j"),
                 *band_values(t["s20"], t["q20"], 20, 2, 0, exact),
-                _rsi_value(t["g14"], t["l14"], 14).alias("rsi_14")]
-    p = _with_trailing(p, sums, KEY, outputs)
+                rsi_value(t["g14"], t["l14"], 14).alias("rsi_14")]
+    p = with_trailing(p, sums, KEY, outputs)
     p = macd(p)
     out = finish_series(p.drop("_delta"))
     keep = [c for c in out.columns if c not in base or c in served.columns]
