@@ -50,3 +50,16 @@ def test_symbol_filter_before_enrich_reaches_the_raw_scan(spark):
     df = enrich(raw)
     assert df.count() > 0
     assert set(r.symbole for r in df.select("symbole").distinct().collect()) == {"BUILDING"}
+
+
+FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython")
+
+
+def test_no_query_uses_cross_joins_or_row_python(spark):
+    """Every registered query plans without nested-loop or Cartesian joins
+    and without row-at-a-time Python UDFs."""
+    import __spark_entry__ as entry
+    for name, fn in sorted(entry.queries().items()):
+        plan = _plan(fn(spark, SF))
+        found = [op for op in FORBIDDEN if op in plan]
+        assert not found, f"{name}: {found}"
