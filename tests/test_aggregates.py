@@ -111,3 +111,11 @@ def test_permuting_rows_changes_nothing(spark):
     shuffled = wb.repartition(7).orderBy("volume", "close")
     b = enrich(shuffled, dt.datetime(2024, 1, 1)).orderBy("symbole", "date_trading").collect()
     assert a == b
+
+
+def test_is_empty_and_global_order(spark):
+    df = bars(spark, [3.0, 1.0, 2.0], symbol="B").unionByName(bars(spark, [5.0], symbol="A"))
+    assert not P.is_empty(df) and P.is_empty(df.where("false"))
+    got = [(r.symbole, r.date_trading) for r in P.order_symbol_date(df.repartition(3)).collect()]
+    assert got == sorted(got)
+    assert [r.symbole for r in P.distinct_symbols(df).collect()] == ["A", "B"]
