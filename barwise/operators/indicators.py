@@ -23,7 +23,7 @@ from ..schemas import (MACD_DOWN, MACD_UP, NEUTRAL, RSI_HIGH, RSI_LOW, RSI_OVERB
                        RSI_OVERSOLD, SIGNAL_BB_BUY, SIGNAL_BB_SELL, SIGNAL_BUY, SIGNAL_SELL,
                        TREND_DOWN, TREND_UNKNOWN, TREND_UP)
 from .filters import DATE, KEY
-from .series import IDX, block_window, ema_columns, geometric_columns, on_series
+from .series import IDX, block_window, ema_columns, geometric_columns, geometric_halo, on_series
 
 CLOSE = "prix_fermeture"
 EMA_DIGITS = 4
@@ -158,7 +158,8 @@ def rsi(df: DataFrame, n: int = 14, method: str = "simple", price: str = CLOSE,
             d = ema_columns(d, [("gain_value", 1.0 / n, "_g", 1), ("loss_value", 1.0 / n, "_l", 1)])
             d = d.withColumn(out, F.round(rsi_value(F.col("_g"), F.col("_l"), n), EMA_DIGITS))
         return d.select(*base, out)
-    return on_series(df, key, order, n + 1, fn)
+    want = geometric_halo(1.0 - 1.0 / n) + 1 if method == "wilder" else 0
+    return on_series(df, key, order, n + 1, fn, want=want)
 
 
 def ema(df: DataFrame, col: str, span: float | None = None, alpha: float | None = None,
@@ -173,7 +174,7 @@ def ema(df: DataFrame, col: str, span: float | None = None, alpha: float | None
     def fn(d, k):
         d = ema_columns(d, [(col, alpha, out, 0)])
         return d.withColumn(out, F.round(out, digits)) if digits is not None else d
-    return on_series(df, key, order, 0, fn)
+    return on_series(df, key, order, 0, fn, want=geometric_halo(1.0 - alpha))
 
 
 def macd_terms(fast: int, slow: int, signal: int, price: str):
@@ -203,6 +204,11 @@ def macd_terms(fast: int, slow: int, signal: int, price: str):
     return terms, outputs
 
 
+def macd_halo(fast: int = 12, slow: int = 26, signal: int = 9) -> int:
+    """Halo rows for an in-partition MACD (the slowest kernel decides)."""
+    return max(geometric_halo(1.0 - 2.0 / (n + 1)) for n in (fast, slow, signal))
+
+
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9,
          price: str = CLOSE, key: str = KEY, order: str = DATE) -> DataFrame:
     """line = EMA(fast) - EMA(slow); signal = EMA(signal) of the line.
@@ -225,7 +231,7 @@ def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9,
                         F.when(_full(slow), F.round("_line", EMA_DIGITS)).alias("macd_line"),
                         F.when(_full(slow + signal - 1),
                                F.round("_sig", EMA_DIGITS)).alias("macd_signal"))
-    return on_series(df, key, order, 0, fn)
+    return on_series(df, key, order, 0, fn, want=macd_halo(fast, slow, signal))
 
 
 def macd_histogram(df: DataFrame) -> DataFrame:

@@ -80,21 +80,21 @@ def with_row_index(df: DataFrame, key: str, order: str, out: str = IDX) -> DataF
 
 def prepare_series(df: DataFrame, key: str, order: str,
                    halo: int = DEFAULT_HALO, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Index rows and lay them out in halo blocks (see module docstring)."""
-    if not 0 <= halo < block:
-        raise ValueError(f"halo must be in [0, block): halo={halo}, block={block}")
-    if block & (block - 1):
+    """Index rows and lay them out in halo blocks (see module docstring).
+
+    A row is copied into every later block whose first ``halo`` preceding
+    rows include it (one block when ``halo < block``).
+    """
+    if halo < 0:
+        raise ValueError(f"halo must be >= 0: {halo}")
+    if block < 1 or block & (block - 1):
         raise ValueError("block must be a power of two")
     indexed = with_row_index(df, key, order)
     own = F.floor(F.col(IDX) / block)
-    if halo:
-        blocks = F.when(F.col(IDX) % block >= block - halo,
-                        F.array(own, own + 1)).otherwise(F.array(own))
-    else:
-        blocks = F.array(own)
+    last = F.floor((F.col(IDX) + halo) / block)
     meta = {"barwise": {"key": key, "order": order, "halo": halo, "block": block}}
     return (indexed
-            .withColumn(BLK, F.explode(blocks))
+            .withColumn(BLK, F.explode(F.sequence(own, last)))
             .withMetadata(BLK, meta)
             .withColumn(HALO, F.col(BLK) != own))
 
@@ -109,18 +109,19 @@ def finish_series(df: DataFrame) -> DataFrame:
     return df.where(~F.col(HALO)).drop(IDX, BLK, HALO)
 
 
-def on_series(df: DataFrame, key: str, order: str, need: int, fn) -> DataFrame:
+def on_series(df: DataFrame, key: str, order: str, need: int, fn, want: int = 0) -> DataFrame:
     """Run ``fn`` on a prepared frame whose halo covers ``need`` rows.
 
     A frame that is already prepared is used as is (composition shares one
-    layout); otherwise it is prepared and finished around ``fn``.
+    layout); otherwise it is prepared with a halo of ``max(need, want)`` rows
+    and finished around ``fn``.
     """
     meta = series_meta(df)
     if meta is not None:
         if meta["halo"] < need:
             raise ValueError(f"prepared halo {meta['halo']} < {need} rows needed")
         return fn(df, meta["key"])
-    prepared = prepare_series(df, key, order, halo=max(need, 0))
+    prepared = prepare_series(df, key, order, halo=max(need, want, 0))
     return finish_series(fn(prepared, key))
 
 
@@ -128,6 +129,13 @@ def block_window(key: str) -> Window:
     return Window.partitionBy(key, BLK).orderBy(IDX)
 
 
+def geometric_halo(q: float) -> int:
+    """Rows after which a geometric weight ``q^k`` is below 1e-17 (0 for q=0)."""
+    if q <= 0.0:
+        return 0
+    return math.ceil(-math.log(_EMA_TAIL) / -math.log(q))
+
+
 def geometric_columns(df: DataFrame, terms: dict[str, tuple[str, float, int]],
                       outputs: dict[str, list[tuple[str, float]]]) -> DataFrame:
     """Add linear combinations of geometric sums to a prepared frame.
@@ -138,34 +146,46 @@ def geometric_columns(df: DataFrame, terms: dict[str, tuple[str, float, int]],
     ``first`` all equal ``x_first``. An EMA with smoothing ``a`` is
     ``a * G`` for ``q = 1 - a``. Each output ``out: [(term, coef), ...]`` is
     ``sum coef * G`` (NULL before the largest ``first`` used, and on halo
-    rows). All terms share one window pass, one per-block aggregate and one
-    join of the small carry table.
+    rows).
+
+    When the frame's halo holds ``geometric_halo(q)`` rows for every term,
+    older rows weigh less than 1e-17 and each sum is finished inside its
+    (key, block) partition: a running sum over the halo and block rows, no
+    join. Otherwise what earlier blocks carry in comes from one per-block
+    aggregate and one join of that small table. Either way all terms share
+    one window pass.
     """
     meta = series_meta(df)
     if meta is None:
         raise ValueError("geometric_columns needs a prepared series frame")
-    key, block = meta["key"], meta["block"]
+    key, block, halo_rows = meta["key"], meta["block"], meta["halo"]
     idx, blk, halo = F.col(IDX), F.col(BLK), F.col(HALO)
-    r = idx - blk * block
     running = block_window(key).rowsBetween(Window.unboundedPreceding, 0)
+    local = all(geometric_halo(q) <= halo_rows for _, q, _ in terms.values())
+    # position inside the partition: halo rows first, from 0
+    r = idx - blk * block + (halo_rows if local else 0)
+    span = block + (halo_rows if local else 0)
     partial, ends, lags = {}, {}, {}
     for name, (value, q, first) in terms.items():
         if not 0 <= q < 1:
             raise ValueError(f"q must be in [0, 1): {q}")
-        live = ~halo & (idx >= first)
+        # with the local form the halo rows are real history and count
+        live = (idx >= first) if local else (~halo & (idx >= first))
         weight = F.when(idx == first, F.lit(1.0 / (1.0 - q))).otherwise(F.lit(1.0))
         x = weight * F.col(value).cast("double")
         if q == 0.0:
             partial[name] = F.when(live, x)
             continue
         decay = -math.log(q)
-        if decay * block > _MAX_EXPONENT:
-            raise ValueError(f"q {q} needs blocks of at most {int(_MAX_EXPONENT / decay)} rows")
-        lags[name] = max(1, math.ceil(-math.log(_EMA_TAIL) / (decay * block)))
+        if decay * span > _MAX_EXPONENT:
+            raise ValueError(f"q {q} needs blocks of at most "
+                             f"{int(_MAX_EXPONENT / decay) - (span - block)} rows")
         partial[name] = F.pow(F.lit(q), r) * F.sum(
             F.when(live, x * F.pow(F.lit(q), -r))).over(running)
-        # the in-block sum as seen from the block's last row
-        ends[name] = F.sum(F.when(live, x * F.pow(F.lit(q), (block - 1) - r)))
+        if not local:
+            lags[name] = max(1, math.ceil(-math.log(_EMA_TAIL) / (decay * block)))
+            # the in-block sum as seen from the block's last row
+            ends[name] = F.sum(F.when(live, x * F.pow(F.lit(q), (block - 1) - r)))
     out_df = df.select("*", *[c.alias(f"_p_{n}") for n, c in partial.items()])
     if ends:
         per_block = (df.where(~halo).groupBy(key, BLK)
