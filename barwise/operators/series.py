@@ -14,12 +14,12 @@ series is instead cut into fixed blocks of rows:
   rows is then exact inside ``PARTITION BY key, _blk``; ``finish_series``
   drops the copies.
 * ``geometric_columns`` (and ``ema_columns`` on top of it): exponential sums
-  without recursion. Inside a block, ``P_t = q^r * sum_{k<=r} w_k x_k q^-k``
-  is a running sum. What earlier blocks carry in is
-  ``sum_l q^(B(l-1)) E(b-l)`` over the few blocks whose weight is still
-  above 1e-17, where ``E(b)`` is block b's sum seen from its last row (a
-  plain per-block SUM). That small per-block table is joined back on
-  (key, _blk).
+  without recursion, ``G_t = q^u * sum_{k<=u} w_k x_k q^-k`` as a running
+  sum over the partition. When the halo covers ``geometric_halo(q)`` rows
+  (older weights below 1e-17) that is the whole answer: no join. With a
+  shorter halo, what earlier blocks carry in is ``sum_l q^(B(l-1)) E(b-l)``,
+  where ``E(b)`` is block b's sum seen from its last row (a plain per-block
+  SUM), from a small per-block table joined back on (key, _blk).
 
 No Python runs per row and no group grows with the length of a series.
 """
