@@ -56,14 +56,17 @@ def _pandas_macd(closes):
 
 
 def test_macd_matches_pandas_across_many_blocks(spark):
-    closes = [round(100 + 10 * math.sin(i / 7.0) + (i % 5), 4) for i in range(300)]
+    closes = [round(100 + 10 * math.sin(i / 7.0) + (i % 5), 4) for i in range(700)]
     from barwise.operators.series import finish_series, prepare_series
-    p = prepare_series(bars(spark, closes), "symbole", "date_trading", halo=0, block=64)
-    got = finish_series(I.macd(p)).orderBy("date_trading").toPandas()
     line, sig = _pandas_macd(closes)
-    assert got.macd_line[25:].round(4).tolist() == line[25:].round(4).tolist()
-    assert got.macd_signal[33:].round(4).tolist() == sig[33:].round(4).tolist()
-    assert got.macd_line[:25].isna().all() and got.macd_signal[:33].isna().all()
+    # halo 0: carry-table join; halo 509 over 64-row blocks: in-partition sums
+    for halo in (0, I.macd_halo()):
+        p = prepare_series(bars(spark, closes), "symbole", "date_trading", halo=halo, block=64)
+        got = finish_series(I.macd(p)).orderBy("date_trading").toPandas()
+        assert len(got) == len(closes)
+        assert got.macd_line[25:].round(4).tolist() == line[25:].round(4).tolist()
+        assert got.macd_signal[33:].round(4).tolist() == sig[33:].round(4).tolist()
+        assert got.macd_line[:25].isna().all() and got.macd_signal[:33].isna().all()
 
 
 def test_ema_of_constant_is_constant(spark):
