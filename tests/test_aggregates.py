@@ -119,3 +119,13 @@ def test_is_empty_and_global_order(spark):
     got = [(r.symbole, r.date_trading) for r in P.order_symbol_date(df.repartition(3)).collect()]
     assert got == sorted(got)
     assert [r.symbole for r in P.distinct_symbols(df).collect()] == ["A", "B"]
+
+
+def test_trailing_months_clamps_to_month_end(spark):
+    df = spark.createDataFrame(
+        [(dt.date(2024, 2, 28),), (dt.date(2024, 2, 29),), (dt.date(2024, 3, 31),)],
+        "date_trading date")
+    got = sorted(r.date_trading.day for r in P.trailing_months(df, 1).collect())
+    assert got == [29, 31]  # 31 Mar minus one month is 29 Feb, kept (>=)
+    assert P.range_button(df, "1w").count() == 1
+    assert P.range_button(df, "all").count() == 3

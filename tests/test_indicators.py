@@ -141,3 +141,11 @@ def test_hot_symbol_is_spread_over_blocks(spark):
              p.groupBy("symbole", BLK).agg(F.count("*").alias("n")).collect()}
     assert sum(1 for s, _ in sizes if s == "HOT") == 12
     assert max(sizes.values()) <= 256 + 20
+
+
+def test_windows_count_rows_across_a_date_gap(spark):
+    import datetime as dt
+    a = bars(spark, [10.0, 11.0], start=dt.date(2024, 1, 1))
+    b = bars(spark, [12.0, 13.0], start=dt.date(2024, 3, 1))  # two months later
+    got = by_date(I.sma(a.unionByName(b), 3), "sma_3")
+    assert got == [None, None, 11.0, 12.0]
