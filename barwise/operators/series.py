@@ -53,9 +53,8 @@ def running_sums(df: DataFrame, key: str, order: str,
 
     ``order`` is a date, unique within ``key``. Sums of decimals stay exact.
     """
-    b = df.withColumn(_BKT, _month_bucket(order))
-    for name, expr in values.items():
-        b = b.withColumn(f"_v_{name}", expr)
+    b = df.select("*", _month_bucket(order).alias(_BKT),
+                  *[expr.alias(f"_v_{name}") for name, expr in values.items()])
     totals = b.groupBy(key, _BKT).agg(
         *[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
     before = Window.partitionBy(key).orderBy(_BKT).rowsBetween(
