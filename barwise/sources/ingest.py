@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import (BATCH_PREFIX, PRICE, QUOTE_KEY, QUOTE_PRICE, RAW_BARS, RAW_STRING_LIMITS,
+from ..schemas import (BATCH_PREFIX, QUOTE_KEY, QUOTE_PRICE, RAW_BARS, RAW_STRING_LIMITS,
                        REPLY_CLOSE, REPLY_HIGH, REPLY_LOW, REPLY_OPEN, REPLY_SERIES_KEY,
                        REPLY_VOLUME)
 

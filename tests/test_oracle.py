@@ -1,7 +1,6 @@
 """Every registered query against its DuckDB twin, on the sf0.001 tables."""
 
 import math
-import os
 
 import duckdb
 import pytest

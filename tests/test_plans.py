@@ -45,7 +45,6 @@ def test_symbol_filter_goes_through_the_indicator_windows(spark):
 
 
 def test_symbol_filter_before_enrich_reaches_the_raw_scan(spark):
-    from barwise.sources.bars import _orders_by_segment  # noqa: F401
     raw = order_bars(spark, SF).where(F.col("symbol") == "BUILDING")
     df = enrich(raw)
     assert df.count() > 0
