@@ -32,7 +32,8 @@ def con():
 QUICK = ["avg_price_volume", "enrich", "corr_matrix", "perf_price_quarter", "perf_volatility",
          "dedupe_latest_batch", "parse_daily", "run_log", "reject_rows", "pivot_close",
          "rsi_14_wilder", "ema_12", "view_signal_board", "date_scalars", "number_string_scalars",
-         "table_profile", "fallback_source", "trailing_months", "last_row"]
+         "table_profile", "fallback_source", "trailing_months", "last_row", "parse_quote",
+         "range_button_1w"]
 
 
 @pytest.mark.parametrize("name", QUICK)
