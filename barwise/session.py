@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,8 +48,9 @@ def build_session(master: str | None = None, app: str = "barwise",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
-    ``spark.checkpoint.dir`` comes from the cluster. Only when it is unset
-    (local tests) do we make a scratch folder of our own.
+    ``spark.checkpoint.dir`` comes from the cluster. Only where it is unset
+    and the master is local (tests) do we make a scratch folder of our own;
+    on a cluster a machine-local folder would lose data, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,11 +58,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="barwise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors (once per context).
+
+    Functions that run in Python workers are looked up by module name there,
+    so the package must be importable on every machine, wherever the job
+    was started from.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_barwise_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="barwise-src-"), "barwise.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._barwise_shipped = True
+
+
 def local_cpus(default: int = 8) -> int:
     return int(os.environ.get("BENCH_CPUS", default))
 
