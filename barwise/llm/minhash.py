@@ -222,8 +222,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = (scored(stars).withColumn("k", F.row_number().over(best)).where("k <= 2")
             .select("x", "y", F.col("y").alias("hub")))
     links = materialize(_confirm(star, docs, threshold, words), "links")
-    done = links
-
+    labels = None
     for last in (False, True):
         labels = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
         own = (members.join(labels, members["rep"] == labels["node"], "left")
@@ -251,10 +250,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = materialize(_confirm(near, docs, threshold, words), "links")
         if more.isEmpty() and last:
             break
-        links = materialize(links.unionByName(more), "links")
-        done = None
-    labels = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))) \
-        if done is None else labels
+        links, labels = materialize(links.unionByName(more), "links"), None
+    if labels is None:
+        labels = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     named = (ids.join(labels, ids["rep"] == labels["node"], "left")
              .select("h1", "h2", "n_shingles", F.coalesce("root", "rep").alias("component_id")))
     out = (all_sketches.select("doc_id", "n_shingles", "h1", "h2")
@@ -264,5 +262,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       (F.col("component_id") == F.col("doc_id")).alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``docs`` with one document of each component, all columns as they were.
+
+    Rows without an id stay. Of rows that repeat an id the one of the
+    smallest text stays.
+    """
+    found = near_duplicates(docs, id_col, text_col, **how)
+    gone = materialize(found.where("not kept").select(F.col("doc_id").alias("_gone")), "gone")
+    out = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    again = (docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1"))
+    if not again.isEmpty():
+        first = Window.partitionBy(id_col).orderBy(text_col)
+        out = (out.withColumn("_k", F.row_number().over(first))
+               .where((F.col("_k") == 1) | F.col(id_col).isNull()).drop("_k"))
+    return out
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
