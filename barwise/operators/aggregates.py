@@ -42,17 +42,19 @@ def exact_sample_std(df: DataFrame, col: str) -> F.Column:
     """Sample standard deviation; NULL for fewer than two rows.
 
     For decimals: ``sqrt(n*sum(x^2) - sum(x)^2) / sqrt(n*(n-1))`` with the
-    numerator in exact decimal arithmetic (n < 1e8, sum(x) < 1e13).
+    numerator in exact decimal arithmetic, which holds 1e7 rows a group of
+    decimal(10,4); larger groups and wider decimals take the double form.
     """
-    if not _is_decimal(df, col):
-        return F.stddev_samp(col)
+    t = df.schema[col].dataType
+    if not _is_decimal(df, col) or t.scale > 4 or t.precision - t.scale > 6:
+        return F.stddev_samp(F.col(col).cast("double"))
     x = F.col(col)
     n = F.count(col)
-    sx = F.sum(x).cast("decimal(17,4)")
-    sxx = F.sum(x * x).cast("decimal(28,8)")
-    spread = n.cast("decimal(8,0)") * sxx - sx * sx
-    return F.when(n > 1, F.sqrt(spread.cast("double"))
-                  / F.sqrt((n * (n - 1)).cast("double")))
+    sx = F.sum(x).try_cast("decimal(17,4)")
+    sxx = F.sum(x * x).try_cast("decimal(28,8)")
+    spread = n.try_cast("decimal(8,0)") * sxx - sx * sx
+    return F.when((n > 1) & (n < 10_000_000), F.sqrt(spread.cast("double"))
+                  / F.sqrt((n * (n - 1)).cast("double"))).otherwise(F.stddev_samp(x.cast("double")))
 
 
 def avg_price_volume(df: DataFrame, key: str = "symbol", price: str = "close",
@@ -93,7 +95,7 @@ def with_period(df: DataFrame, grain: str, date: str = DATE, out: str = "periode
 def _by_period(df: DataFrame, grain: str, symbols, key: str, date: str):
     if symbols is not None:
         df = filter_symbols_in(df, symbols, key)
-    return with_period(df.where(F.col(key).isNotNull()), grain, date)
+    return with_period(df.where(F.col(key).isNotNull() & F.col(date).isNotNull()), grain, date)
 
 
 def perf_price(df: DataFrame, grain: str, symbols=None, key: str = KEY,

@@ -6,10 +6,13 @@ many tasks, and every indicator of ``enrich`` shares one shuffle and one
 sort. Called on a plain frame, an indicator lays it out and cleans up itself.
 
 Rules shared by all: rows are ordered by date within the symbol; a value is
-NULL until its window is full (position ``_i >= n - 1``). With decimal
-prices, finite windows use exact decimal sums, so SMA, bands and simple RSI
-are bit-identical whatever the partitioning; EMA-based outputs are doubles
-rounded to 4 places before any comparison.
+NULL until its window is full (position ``_i >= n - 1``). Rows without a key,
+a date or a finite price are left out before the windows. With decimal
+prices (up to decimal(10,4)), finite windows use exact decimal sums, so SMA,
+bands and simple RSI are bit-identical whatever the partitioning. Other
+prices use sliding frames, as differences of running double sums would
+cancel. EMA-based outputs are doubles rounded to 4 places before any
+comparison.
 """
 
 from __future__ import annotations
@@ -18,19 +21,26 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..schemas import (MACD_DOWN, MACD_UP, NEUTRAL, RSI_HIGH, RSI_LOW, RSI_OVERBOUGHT,
                        RSI_OVERSOLD, SIGNAL_BB_BUY, SIGNAL_BB_SELL, SIGNAL_BUY, SIGNAL_SELL,
                        TREND_DOWN, TREND_UNKNOWN, TREND_UP)
 from .filters import DATE, KEY
-from .series import IDX, block_window, ema_columns, geometric_columns, geometric_halo, on_series
+from .series import IDX, block_window, ema_columns, geometric_columns, geometric_halo, geometric_layout, on_series
 
 CLOSE = "prix_fermeture"
 EMA_DIGITS = 4
 
 
-def _decimal(df: DataFrame, col: str) -> bool:
-    return dict(df.dtypes)[col].startswith("decimal")
+def exact_prices(df: DataFrame, col: str) -> bool:
+    """Whether a column's window sums are exact: decimal(10,4) or narrower."""
+    t = df.schema[col].dataType
+    return isinstance(t, DecimalType) and t.scale <= 4 and t.precision - t.scale <= 6
+
+
+def sliding(key: str, n: int):
+    return block_window(key).rowsBetween(1 - n, 0)
 
 
 def _full(n: int) -> F.Column:
@@ -38,13 +48,19 @@ def _full(n: int) -> F.Column:
 
 
 def with_trailing(d: DataFrame, sums: dict[str, tuple[F.Column, int]], key: str,
-                   outputs) -> DataFrame:
+                  outputs, exact: bool = True) -> DataFrame:
     """Add the columns ``outputs(trailing)`` where ``trailing[name]`` is the
     sum of ``expr`` over the last ``n`` rows, for ``sums = {name: (expr, n)}``.
 
-    Two selects: the running sums (one window node), then the lagged
-    differences and the outputs (a second node on the same sort).
+    Exact values: two selects, the running sums (one window node), then the
+    lagged differences and the outputs (a second node on the same sort).
+    Others: sliding frames, which add the n values anew.
     """
+    if not exact:
+        base = d.columns
+        d = d.select("*", *[F.sum(x.cast("double")).over(sliding(key, n)).alias(f"_sum_{name}")
+                            for name, (x, n) in sums.items()])
+        return d.select(*base, *outputs({name: F.col(f"_sum_{name}") for name in sums}))
     run = block_window(key).rowsBetween(Window.unboundedPreceding, 0)
     base = d.columns
     d = d.select("*", *[F.sum(x).over(run).alias(f"_run_{name}") for name, (x, n) in sums.items()])
@@ -63,24 +79,41 @@ def sma(df: DataFrame, n: int, price: str = CLOSE, out: str | None = None,
         key: str = KEY, order: str = DATE) -> DataFrame:
     """Mean of the last ``n`` prices."""
     out = out or f"sma_{n}"
+    exact = exact_prices(df, price)
 
     def fn(d, k):
         return with_trailing(d, {"sum": (F.col(price), n)}, k, lambda t: [
-            sma_value(t["sum"], n).alias(out)])
-    return on_series(df, key, order, n, fn)
+            sma_value(t["sum"], n).alias(out)], exact)
+    return on_series(df, key, order, n, fn, value=price)
 
 
 def band_values(sx: F.Column, sxx: F.Column, n: int, k: float = 2, ddof: int = 0,
-                exact: bool = True, prefix: str = "bollinger") -> list[F.Column]:
-    """Middle, upper and lower band from the trailing sums of x and x^2."""
-    if exact:
-        sx4 = sx.cast("decimal(14,4)")
-        spread = (F.lit(n).cast("decimal(5,0)") * sxx.cast("decimal(24,8)")
-                  - sx4 * sx4).cast("double")
-    else:
-        spread = F.greatest(F.lit(n) * sxx - sx * sx, F.lit(0.0))
+                prefix: str = "bollinger") -> list[F.Column]:
+    """Middle, upper and lower band from exact trailing sums of x and x^2."""
+    sx4 = sx.cast("decimal(14,4)")
+    spread = (F.lit(n).cast("decimal(5,0)") * sxx.cast("decimal(24,8)")
+              - sx4 * sx4).cast("double")
     sd = F.sqrt(spread) / math.sqrt(n * (n - ddof))
-    middle = sx.cast("double") / n
+    return _bands(sx.cast("double") / n, sd, n, k, prefix)
+
+
+def sliding_bands(d: DataFrame, key: str, n: int, k: float = 2, ddof: int = 0, price: str = CLOSE,
+                  prefix: str = "bollinger") -> DataFrame:
+    """The bands of prices without exact sums: mean and deviation of each
+    frame itself, so a flat stretch has a flat band."""
+    x = F.col(price).cast("double")
+    frame = sliding(key, n)
+    base = d.columns
+    spread = F.stddev_pop(x) if ddof == 0 else F.stddev_samp(x)
+    # a flat frame's own value: the mean of equal doubles may be off in the last place
+    flat = F.min(x).over(frame) == F.max(x).over(frame)
+    d = d.select("*", F.when(flat, x).otherwise(F.avg(x).over(frame)).alias("_mid"),
+                 F.when(flat, F.lit(0.0)).otherwise(spread.over(frame)).alias("_sd"))
+    scale = math.sqrt((n - 1) / (n - ddof)) if ddof > 1 else 1.0
+    return d.select(*base, *_bands(F.col("_mid"), F.col("_sd") * scale, n, k, prefix))
+
+
+def _bands(middle: F.Column, sd: F.Column, n: int, k: float, prefix: str) -> list[F.Column]:
     return [F.when(_full(n), middle).alias(f"{prefix}_middle"),
             F.when(_full(n), middle + F.lit(k) * sd).alias(f"{prefix}_upper"),
             F.when(_full(n), middle - F.lit(k) * sd).alias(f"{prefix}_lower")]
@@ -94,13 +127,15 @@ def bollinger(df: DataFrame, n: int = 20, k: float = 2, ddof: int = 0,
     The deviation is ``sqrt(n*sum(x^2) - sum(x)^2) / sqrt(n*(n-ddof))``
     (population for ddof=0); for decimals the numerator is exact.
     """
-    exact = _decimal(df, price)
+    exact = exact_prices(df, price)
 
     def fn(d, key_):
         x = F.col(price)
+        if not exact:
+            return sliding_bands(d, key_, n, k, ddof, price, prefix)
         return with_trailing(d, {"sx": (x, n), "sxx": (x * x, n)}, key_,
-                              lambda t: band_values(t["sx"], t["sxx"], n, k, ddof, exact, prefix))
-    return on_series(df, key, order, n, fn)
+                             lambda t: band_values(t["sx"], t["sxx"], n, k, ddof, prefix))
+    return on_series(df, key, order, n, fn, value=price)
 
 
 def bollinger_percent_value(price: str = CLOSE, prefix: str = "bollinger") -> F.Column:
@@ -146,20 +181,24 @@ def rsi(df: DataFrame, n: int = 14, method: str = "simple", price: str = CLOSE,
     out = out or f"rsi_{n}"
     if method not in ("simple", "wilder"):
         raise ValueError(f"method must be 'simple' or 'wilder': {method}")
+    exact = exact_prices(df, price)
 
     def fn(d, k):
         base = d.columns
         d = with_delta(d, price, k)
         if method == "simple":
             d = with_trailing(d, {"g": (gain_value(), n), "l": (loss_value(), n)}, k, lambda t: [
-                rsi_value(t["g"], t["l"], n).alias(out)])
+                rsi_value(t["g"], t["l"], n).alias(out)], exact)
         else:
             d = d.select("*", gain_value().alias("gain_value"), loss_value().alias("loss_value"))
             d = ema_columns(d, [("gain_value", 1.0 / n, "_g", 1), ("loss_value", 1.0 / n, "_l", 1)])
             d = d.withColumn(out, F.round(rsi_value(F.col("_g"), F.col("_l"), n), EMA_DIGITS))
         return d.select(*base, out)
-    want = geometric_halo(1.0 - 1.0 / n) + 1 if method == "wilder" else 0
-    return on_series(df, key, order, n + 1, fn, want=want)
+    if method == "simple":
+        return on_series(df, key, order, n + 1, fn, value=price)
+    # the first delta needs one earlier row
+    block, halo = geometric_layout([1.0 - 1.0 / n])
+    return on_series(df, key, order, 1, fn, want=halo + 1 if halo else 1, block=block, value=price)
 
 
 def ema(df: DataFrame, col: str, span: float | None = None, alpha: float | None = None,
@@ -174,7 +213,8 @@ def ema(df: DataFrame, col: str, span: float | None = None, alpha: float | None
     def fn(d, k):
         d = ema_columns(d, [(col, alpha, out, 0)])
         return d.withColumn(out, F.round(out, digits)) if digits is not None else d
-    return on_series(df, key, order, 0, fn, want=geometric_halo(1.0 - alpha))
+    block, halo = geometric_layout([1.0 - alpha])
+    return on_series(df, key, order, 0, fn, want=halo, block=block, value=col)
 
 
 def macd_terms(fast: int, slow: int, signal: int, price: str):
@@ -231,7 +271,10 @@ def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9,
                         F.when(_full(slow), F.round("_line", EMA_DIGITS)).alias("macd_line"),
                         F.when(_full(slow + signal - 1),
                                F.round("_sig", EMA_DIGITS)).alias("macd_signal"))
-    return on_series(df, key, order, 0, fn, want=macd_halo(fast, slow, signal))
+    block, halo = geometric_layout([1.0 - 2.0 / (n + 1) for n in (fast, slow, signal)])
+    if macd_terms(fast, slow, signal, price) is None:
+        halo = 0  # the second average needs the first on every row: carried, not copied
+    return on_series(df, key, order, 0, fn, want=halo, block=block, value=price)
 
 
 def macd_histogram(df: DataFrame) -> DataFrame:

@@ -37,8 +37,12 @@ HALO = "_halo"
 DEFAULT_BLOCK = 2048
 DEFAULT_HALO = 200
 _BKT = "_bkt"
-# weights below this share of the newest one are dropped from an EMA
+# A fixed value of the data model: weights below this share of the newest one
+# are left out of an EMA. It is a tenth of what a double can still tell apart
+# from 1, so no result on finite prices shows it.
 _EMA_TAIL = 1e-17
+# the halo may add this share of copied rows; beyond it, sums are carried
+_MAX_COPIES = 0.25
 # largest exponent kept inside a block, far from double overflow (~709)
 _MAX_EXPONENT = 700.0
 
@@ -108,19 +112,50 @@ def finish_series(df: DataFrame) -> DataFrame:
     return df.where(~F.col(HALO)).drop(IDX, BLK, HALO)
 
 
-def on_series(df: DataFrame, key: str, order: str, need: int, fn, want: int = 0) -> DataFrame:
+def usable(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """The rows that take part in a series: key, date and value are there and
+    the value is a number. The others are left out before any window, so a
+    gap never counts as a row or a zero."""
+    ok = F.col(key).isNotNull() & F.col(order).isNotNull() & F.col(value).isNotNull()
+    if dict(df.dtypes)[value] in ("double", "float"):
+        ok = ok & ~F.isnan(value) & (F.abs(value) != float("inf"))
+    return df.where(ok)
+
+
+def geometric_layout(ratios: list[float]) -> tuple[int, int]:
+    """(block, halo) for geometric sums with these ratios.
+
+    The block is the largest that keeps all powers within a double's range.
+    The halo covers the slowest ratio if that copies a quarter of the rows at
+    most; otherwise it is 0 and earlier blocks are carried in by a join.
+    """
+    halo = max((geometric_halo(q) for q in ratios), default=0)
+    steep = max((-math.log(q) for q in ratios if q > 0), default=0.0)
+    block = DEFAULT_BLOCK
+    while True:
+        copies = halo if halo <= _MAX_COPIES * block else 0
+        if block == 1 or steep * (block + copies) <= _MAX_EXPONENT:
+            return block, copies
+        block //= 2
+
+
+def on_series(df: DataFrame, key: str, order: str, need: int, fn, want: int = 0,
+              block: int = DEFAULT_BLOCK, value: str | None = None) -> DataFrame:
     """Run ``fn`` on a prepared frame whose halo covers ``need`` rows.
 
     A frame that is already prepared is used as is (composition shares one
-    layout); otherwise it is prepared with a halo of ``max(need, want)`` rows
-    and finished around ``fn``.
+    layout); otherwise rows without a usable ``value`` are left out, the rest
+    is prepared with a halo of ``max(need, want)`` rows and finished around
+    ``fn``.
     """
     meta = series_meta(df)
     if meta is not None:
         if meta["halo"] < need:
             raise ValueError(f"prepared halo {meta['halo']} < {need} rows needed")
         return fn(df, meta["key"])
-    prepared = prepare_series(df, key, order, halo=max(need, want, 0))
+    if value is not None:
+        df = usable(df, key, order, value)
+    prepared = prepare_series(df, key, order, halo=max(need, want, 0), block=block)
     return finish_series(fn(prepared, key))
 
 

@@ -1,11 +1,10 @@
 """I13 ``enrich``: raw bars -> the 21-column enriched table.
 
 Plan: dedupe (aggregate on symbol, date) -> clean bars written once to the
-checkpoint folder -> row position (small per-month
-table + groups of at most 31 rows) -> one shuffle on (symbol, block) with
-199 halo rows per block -> one sort shared by SMA 20/50/200, bands and RSI
--> EMA 12/26 and the MACD signal from in-block running sums plus a small
-per-block carry table joined on (symbol, block) -> labels (narrow).
+checkpoint folder -> row position (small per-month table + groups of at most
+31 rows) -> one shuffle on (symbol, block) with 509 halo rows per block -> one
+sort shared by SMA 20/50/200, bands, RSI and MACD, all finished inside their
+partition -> labels (narrow).
 """
 
 from __future__ import annotations
@@ -16,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.filters import DATE, KEY
-from ..operators.indicators import (CLOSE, band_values, bollinger_percent_value, gain_value,
-                                    loss_value, macd, macd_halo, rsi_level_value, rsi_value,
-                                    sma_value,
+from ..operators.indicators import (CLOSE, band_values, bollinger_percent_value, exact_prices,
+                                    gain_value, loss_value, macd, macd_halo, rsi_level_value,
+                                    rsi_value, sliding_bands, sma_value,
                                     trading_signal_value, trend_value, with_delta, with_trailing)
-from ..operators.series import DEFAULT_BLOCK, finish_series, prepare_series
+from ..operators.series import DEFAULT_BLOCK, finish_series, prepare_series, usable
 from ..schemas import ENRICHED_COLUMNS, RAW_TO_SERVED
 from ..session import materialize
 from ..sources.ingest import dedupe_latest_batch
@@ -48,7 +47,7 @@ def indicators(served: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
     p = prepare_series(served, KEY, DATE, halo=HALO, block=block)
     base = p.columns
     x = F.col(CLOSE)
-    exact = dict(p.dtypes)[CLOSE].startswith("decimal")
+    exact = exact_prices(p, CLOSE)
     p = with_delta(p, CLOSE, KEY)
     sums = {"s20": (x, 20), "s50": (x, 50), "s200": (x, 200), "q20": (x * x, 20),
             "g14": (gain_value(), 14), "l14": (loss_value(), 14)}
@@ -57,9 +56,11 @@ def indicators(served: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
         return [sma_value(t["s20"], 20).alias("moyenne_mobile_20j"),
                 sma_value(t["s50"], 50).alias("moyenne_mobile_50j"),
                 sma_value(t["s200"], 200).alias("moyenne_mobile_200j"),
-                *band_values(t["s20"], t["q20"], 20, 2, 0, exact),
+                *(band_values(t["s20"], t["q20"], 20, 2, 0) if exact else []),
                 rsi_value(t["g14"], t["l14"], 14).alias("rsi_14")]
-    p = with_trailing(p, sums, KEY, outputs)
+    p = with_trailing(p, sums, KEY, outputs, exact)
+    if not exact:
+        p = sliding_bands(p, KEY, 20)
     p = macd(p)
     out = finish_series(p.drop("_delta"))
     keep = [c for c in out.columns if c not in base or c in served.columns]
@@ -72,11 +73,11 @@ def indicators(served: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
 
 def enrich(raw: DataFrame, run_ts: dt.datetime | None = None,
            block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Raw bars (any batches) -> enriched bars in the contract's 21 columns."""
-    bars = dedupe_latest_batch(raw) if "batch_id" in raw.columns else raw
+    """Raw bars (any batches, or none) -> enriched bars in the contract's 21
+    columns, one row per (symbol, date). Rows without a key are left out, and
+    so are those without a finite close: they have no indicators."""
     # keys are NOT NULL in the raw table; a bar without a close has no indicators
-    bars = bars.where(F.col("symbol").isNotNull() & F.col("date").isNotNull()
-                      & F.col("close").isNotNull())
+    bars = usable(dedupe_latest_batch(raw), "symbol", "date", "close")
     # the series layout joins the bars back to small per-month and per-block
     # tables; write the clean bars once so the raw input is read only once
     bars = materialize(bars, "clean_bars")

@@ -92,6 +92,26 @@ SELECT 'daily_bars' AS pipeline_name, '{BATCH2}' AS batch_id, 'PRIMARY' AS data_
        'Inserted: ' || count(*) || ', Errors: 0, Verified: ' || count(*) AS details
   FROM raw WHERE batch_id = '{BATCH2}'"""
 
+_RUNS = f"""WITH raw AS (
+  SELECT symbol, date, CAST(close AS DOUBLE) AS close, 21 AS load_hour
+    FROM ({ORDER_BARS}) a
+  UNION ALL
+  SELECT symbol, date, CAST(CAST(close + 1 AS DECIMAL(10,4)) AS DOUBLE), 22
+    FROM ({ORDER_BARS}) b)
+"""
+SQL["append_two_runs"] = _RUNS + "SELECT symbol, date, close, CAST(load_hour AS INTEGER) AS load_hour FROM raw"
+SQL["dedupe_mixed_batches"] = _RUNS + """
+SELECT symbol, date, close, 'BATCH_20200101_210005_00000000' AS batch_id FROM raw
+ WHERE load_hour = 22"""
+SQL["dedupe_same_batch"] = on(ORDER_BARS, """
+SELECT symbol, date, CAST(CAST(close - 1 AS DECIMAL(10,4)) AS DOUBLE) AS close FROM bars""")
+SQL["daily_ingest"] = on(WALK_BARS, """, kept AS (
+  SELECT * FROM bars QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) <= 30),
+n AS (SELECT (SELECT count(*) FROM kept) AS good, (SELECT count(DISTINCT symbol) FROM bars) AS lost)
+SELECT 'daily_bars' AS pipeline_name, 'BATCH_20240102_210000_daily' AS batch_id, 'PRIMARY' AS data_source,
+       good AS rows_processed, CASE WHEN lost = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS status,
+       'Inserted: ' || good || ', Errors: ' || lost || ', Verified: ' || good AS details FROM n""")
+
 SQL["enriched_scan"] = on_enriched(f"SELECT {ENRICHED_DATA_COLUMNS} FROM enriched")
 
 _PROFILE_COLS = ["symbol", "date", "open", "high", "low", "close", "volume"]
@@ -140,10 +160,6 @@ SELECT symbole, {_expr} AS periode,
        CAST(round_even(min(prix_bas), 2) AS DOUBLE) AS prix_bas
   FROM bars WHERE symbole IS NOT NULL GROUP BY 1, 2""")
 
-SQL["perf_volume"] = on(SO, f"""
-SELECT symbole, {PERIOD['month']} AS periode, CAST(coalesce(sum(volume), 0) AS BIGINT) AS volume
-  FROM bars WHERE symbole IS NOT NULL GROUP BY 1, 2""")
-
 _VOL = """CASE WHEN count(prix_fermeture) > 1 THEN
        sqrt(CAST(CAST(count(prix_fermeture) AS DECIMAL(8,0))
                  * CAST(sum(prix_fermeture * prix_fermeture) AS DECIMAL(28,8))
@@ -151,17 +167,27 @@ _VOL = """CASE WHEN count(prix_fermeture) > 1 THEN
                  AS DOUBLE))
        / sqrt(CAST(count(prix_fermeture) * (count(prix_fermeture) - 1) AS DOUBLE)) END
      / nullif(CAST(sum(prix_fermeture) AS DOUBLE) / count(prix_fermeture), 0) * 100"""
-SQL["perf_volatility"] = on(SO, f"""
-SELECT symbole, {PERIOD['month']} AS periode, {_VOL} AS volatilite_pourcent
-  FROM bars WHERE symbole IS NOT NULL GROUP BY 1, 2""")
-SQL["perf_volatility_year"] = on(SO, f"""
-SELECT symbole, {PERIOD['year']} AS periode, {_VOL} AS volatilite_pourcent
-  FROM bars WHERE symbole IN ('AUTOMOBILE', 'HOUSEHOLD') GROUP BY 1, 2""")
+_PLAIN = {"perf_volume": "month", "perf_buy_signals": "quarter", "perf_volatility": "month"}
+
 
-SQL["perf_buy_signals"] = on_enriched(f"""
-SELECT symbole, {PERIOD['quarter']} AS periode,
+def _grain(metric: str, g: str) -> str:
+    return metric if _PLAIN[metric] == g else f"{metric}_{g}"
+
+
+for _g, _expr in PERIOD.items():
+    SQL[_grain("perf_volume", _g)] = on(SO, f"""
+SELECT symbole, {_expr} AS periode, CAST(coalesce(sum(volume), 0) AS BIGINT) AS volume
+  FROM bars WHERE symbole IS NOT NULL GROUP BY 1, 2""")
+    SQL[_grain("perf_volatility", _g)] = on(SO, f"""
+SELECT symbole, {_expr} AS periode, {_VOL} AS volatilite_pourcent
+  FROM bars WHERE symbole IS NOT NULL GROUP BY 1, 2""")
+    SQL[_grain("perf_buy_signals", _g)] = on_enriched(f"""
+SELECT symbole, {_expr} AS periode,
        count(*) FILTER (WHERE signal_trading = 'SIGNAL_ACHAT') AS signaux_achat
   FROM enriched WHERE symbole IS NOT NULL GROUP BY 1, 2""")
+SQL["perf_volatility_symbols"] = on(SO, f"""
+SELECT symbole, {PERIOD['year']} AS periode, {_VOL} AS volatilite_pourcent
+  FROM bars WHERE symbole IN ('AUTOMOBILE', 'HOUSEHOLD') GROUP BY 1, 2""")
 
 SQL["signal_counts"] = on_enriched("""
 SELECT symbole, signal_trading, count(*) AS n FROM enriched
@@ -189,6 +215,22 @@ SELECT a.symbole AS symbole_a, b.symbole AS symbole_b,
   FROM daily a JOIN daily b ON a.date_trading = b.date_trading
  GROUP BY 1, 2""")
 
+BRAND_BARS = """SELECT symbol, date, CAST(close AS DECIMAL(10,4)) AS close
+  FROM (SELECT p.p_brand AS symbol, CAST(l.l_shipdate AS DATE) AS date,
+               arg_max(l.l_extendedprice / l.l_quantity,
+                       (l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice)) AS close
+          FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1, 2) t"""
+# centred closes keep the sums small; pairs that do not move on common dates give NULL
+SQL["corr_matrix_brands"] = f"""WITH bars AS ({BRAND_BARS}),
+daily AS (SELECT symbol, date, CAST(close AS DOUBLE)
+                 - avg(CAST(close AS DOUBLE)) OVER (PARTITION BY symbol) AS x
+            FROM bars WHERE symbol IS NOT NULL AND close IS NOT NULL)
+SELECT a.symbol AS symbole_a, b.symbol AS symbole_b,
+       CASE WHEN count(*) >= 2 AND max(a.x) > min(a.x) AND max(b.x) > min(b.x)
+            THEN round_even(least(1, greatest(-1, covar_samp(a.x, b.x)
+                 / (stddev_samp(a.x) * stddev_samp(b.x)))), 6) + CAST(0 AS DOUBLE) END AS correlation
+  FROM daily a JOIN daily b ON a.date = b.date GROUP BY 1, 2"""
+
 # -- I ----------------------------------------------------------------------------------
 SQL["sma"] = on_enriched("""
 SELECT symbole, date_trading, moyenne_mobile_20j AS sma_20, moyenne_mobile_50j AS sma_50,
@@ -218,22 +260,24 @@ SQL["trading_signal"] = on_enriched("SELECT symbole, date_trading, signal_tradin
 def _d(x: float) -> str:
     return f"CAST('{x!r}' AS DOUBLE)"
 
-
-_A12, _Q12 = _d(2.0 / 13), _d(1.0 - 2.0 / 13)
-SQL["ema_12"] = f"""WITH RECURSIVE
-b AS (SELECT symbole, date_trading, CAST(prix_fermeture AS DOUBLE) AS x,
+def _ema_sql(span: int, x: str = "CAST(prix_fermeture AS DOUBLE)") -> str:
+    a, q = _d(2.0 / (span + 1)), _d(1.0 - 2.0 / (span + 1))
+    return f"""WITH RECURSIVE
+b AS (SELECT symbole, date_trading, {x} AS x,
              row_number() OVER (PARTITION BY symbole ORDER BY date_trading) - 1 AS i
         FROM ({SW}) s WHERE prix_fermeture IS NOT NULL),
 r(symbole, i, e) AS (
     SELECT symbole, i, x FROM b WHERE i = 0
     UNION ALL
-    SELECT b.symbole, b.i, {_A12} * b.x + {_Q12} * r.e
+    SELECT b.symbole, b.i, {a} * b.x + {q} * r.e
       FROM r JOIN b ON b.symbole = r.symbole AND b.i = r.i + 1)
-SELECT b.symbole, b.date_trading, round(r.e, 4) AS ema_12
+SELECT b.symbole, b.date_trading, round(r.e, 4) AS ema_{span}
   FROM b JOIN r ON b.symbole = r.symbole AND b.i = r.i"""
 
-_AW, _QW = _d(1.0 / 14), _d(1.0 - 1.0 / 14)
-SQL["rsi_14_wilder"] = f"""WITH RECURSIVE
+
+def _wilder_sql(n: int) -> str:
+    a, q = _d(1.0 / n), _d(1.0 - 1.0 / n)
+    return f"""WITH RECURSIVE
 b0 AS (SELECT symbole, date_trading, prix_fermeture AS c,
               row_number() OVER (PARTITION BY symbole ORDER BY date_trading) - 1 AS i
          FROM ({SW}) s WHERE prix_fermeture IS NOT NULL),
@@ -245,13 +289,52 @@ gl AS (SELECT symbole, date_trading, i,
 r(symbole, i, g, l) AS (
     SELECT symbole, i, gain, loss FROM gl WHERE i = 1
     UNION ALL
-    SELECT gl.symbole, gl.i, {_AW} * gl.gain + {_QW} * r.g, {_AW} * gl.loss + {_QW} * r.l
+    SELECT gl.symbole, gl.i, {a} * gl.gain + {q} * r.g, {a} * gl.loss + {q} * r.l
       FROM r JOIN gl ON gl.symbole = r.symbole AND gl.i = r.i + 1)
 SELECT b0.symbole, b0.date_trading,
-       CASE WHEN b0.i >= 14 THEN round(CASE WHEN r.g + r.l = 0 THEN CAST(50 AS DOUBLE)
-            ELSE CAST(100 AS DOUBLE) * r.g / (r.g + r.l) END, 4) END AS rsi_14
+       CASE WHEN b0.i >= {n} THEN round(CASE WHEN r.g + r.l = 0 THEN CAST(50 AS DOUBLE)
+            ELSE CAST(100 AS DOUBLE) * r.g / (r.g + r.l) END, 4) END AS rsi_{n}
   FROM b0 LEFT JOIN r ON b0.symbole = r.symbole AND b0.i = r.i"""
 
+
+SQL["ema_12"], SQL["ema_3"] = _ema_sql(12), _ema_sql(3, "CAST(prix_fermeture AS DOUBLE) / 3")
+SQL["rsi_14_wilder"], SQL["rsi_3_wilder"] = _wilder_sql(14), _wilder_sql(3)
+
+_F, _S, _N = (2.0 / (span + 1) for span in (6, 13, 5))
+SQL["macd_6_13_5"] = f"""WITH RECURSIVE
+b AS (SELECT symbole, date_trading, CAST(prix_fermeture AS DOUBLE) AS x,
+             row_number() OVER (PARTITION BY symbole ORDER BY date_trading) - 1 AS i
+        FROM ({SW}) s WHERE prix_fermeture IS NOT NULL),
+r(symbole, i, f, s, g) AS (
+    SELECT symbole, i, x, x, CAST(0 AS DOUBLE) FROM b WHERE i = 0
+    UNION ALL
+    SELECT b.symbole, b.i, {_d(_F)} * b.x + {_d(1 - _F)} * r.f, {_d(_S)} * b.x + {_d(1 - _S)} * r.s,
+           {_d(_N)} * (({_d(_F)} * b.x + {_d(1 - _F)} * r.f) - ({_d(_S)} * b.x + {_d(1 - _S)} * r.s))
+           + {_d(1 - _N)} * r.g
+      FROM r JOIN b ON b.symbole = r.symbole AND b.i = r.i + 1)
+SELECT b.symbole, b.date_trading,
+       CASE WHEN b.i >= 12 THEN round(r.f - r.s, 4) + CAST(0 AS DOUBLE) END AS macd_line,
+       CASE WHEN b.i >= 16 THEN round(r.g, 4) + CAST(0 AS DOUBLE) END AS macd_signal
+  FROM b JOIN r ON b.symbole = r.symbole AND b.i = r.i"""
+
+SQL["sma_with_gaps"] = f"""
+SELECT symbole, date_trading,
+       CASE WHEN count(*) OVER w = 20 THEN CAST(sum(prix_fermeture) OVER w AS DOUBLE) / 20 END AS sma_20
+  FROM ({SW}) s WHERE day(date_trading) % 7 <> 0 AND prix_fermeture IS NOT NULL
+WINDOW w AS (PARTITION BY symbole ORDER BY date_trading ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""
+
+SQL["bollinger_double"] = f"""WITH b AS (
+  SELECT symbole, date_trading, floor(CAST(prix_fermeture AS DOUBLE) / 100) * 100 AS c FROM ({SW}) s),
+w AS (SELECT b.*, count(*) OVER win AS n, avg(c) OVER win AS m, stddev_pop(c) OVER win AS sd FROM b
+      WINDOW win AS (PARTITION BY symbole ORDER BY date_trading ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)),
+o AS (SELECT *, CASE WHEN n = 20 THEN m END AS mid, CASE WHEN n = 20 THEN m + 2 * sd END AS up,
+             CASE WHEN n = 20 THEN m - 2 * sd END AS low FROM w)
+SELECT symbole, date_trading, round(mid, 6) AS bollinger_middle, round(up, 6) AS bollinger_upper,
+       round(low, 6) AS bollinger_lower,
+       round((c - low) / nullif(up - low, 0), 6) + CAST(0 AS DOUBLE) AS bollinger_percent FROM o"""
+
+SQL["enrich_duplicates"] = SQL["enrich"]
+
 # -- F ----------------------------------------------------------------------------------
 SQL["date_scalars"] = """
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS jour,

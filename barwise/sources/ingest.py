@@ -9,27 +9,31 @@ driver and added as literals, so a re-run of a task gives the same rows.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import (BATCH_PREFIX, QUOTE_KEY, QUOTE_PRICE, RAW_BARS, RAW_STRING_LIMITS,
+from ..schemas import (BATCH_PREFIX, PRICE, QUOTE_KEY, QUOTE_PRICE, RAW_BARS, RAW_STRING_LIMITS,
                        REPLY_CLOSE, REPLY_HIGH, REPLY_LOW, REPLY_OPEN, REPLY_SERIES_KEY,
                        REPLY_VOLUME)
 
 PRICES = ("open", "high", "low", "close")
-# largest absolute value a decimal(10,4) holds, plus one unit
-PRICE_LIMIT = 10 ** 6
+# where a row came from, if known: they order copies inside one batch
+LANDED_COLUMNS = ("landed_at", "landed_file")
 
 _REPLY = T.StructType([T.StructField(
     REPLY_SERIES_KEY, T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))])
 
 
-def make_batch_id(now: dt.datetime | None = None) -> str:
-    """S3: ``BATCH_yyyyMMdd_HHmm`` (minute resolution), made on the driver."""
+def make_batch_id(now: dt.datetime | None = None, suffix: str | None = None) -> str:
+    """S3: ``BATCH_yyyyMMdd_HHmmss_<suffix>``, made on the driver.
+
+    The suffix (random unless given) keeps the ids of runs in the same
+    second apart: an id names one batch only."""
     now = now or dt.datetime.now(dt.timezone.utc)
-    return BATCH_PREFIX + now.strftime("%Y%m%d_%H%M")
+    return f"{BATCH_PREFIX}{now.strftime('%Y%m%d_%H%M%S')}_{suffix or uuid.uuid4().hex[:8]}"
 
 
 def _finite(x: F.Column) -> F.Column:
@@ -39,12 +43,15 @@ def _finite(x: F.Column) -> F.Column:
 def parse_daily(df: DataFrame, batch_id: str, source: str) -> DataFrame:
     """Explode landed replies ``(symbol, body)`` into one row per day.
 
-    A reply without the daily series gives no rows. Values are parsed with
-    ``try_cast``; a value that is present but not a number sets
-    ``reject_reason = 'BAD_NUMBER'`` (S6 keeps the other days).
+    A reply without the daily series gives no rows (``lost_replies`` lists
+    them). Values are parsed with ``try_cast``. ``reject_reason`` is
+    ``BAD_DATE`` for a day that is no date, ``BAD_NUMBER`` for a value that is
+    present but not a number, ``MISSING_VALUE`` for a field that is not there
+    (S6 keeps the other days). Columns of ``LANDED_COLUMNS`` pass through.
     """
     series = F.from_json(F.col("body"), _REPLY).getField(REPLY_SERIES_KEY)
-    days = df.select("symbol", F.explode(series).alias("day", "v"))
+    landed = [c for c in LANDED_COLUMNS if c in df.columns]
+    days = df.select("symbol", *landed, F.explode(series).alias("day", "v"))
     fields = {"open": REPLY_OPEN, "high": REPLY_HIGH, "low": REPLY_LOW, "close": REPLY_CLOSE}
     text = {name: F.col("v").getItem(k) for name, k in fields.items()}
     text["volume"] = F.col("v").getItem(REPLY_VOLUME)
@@ -52,10 +59,10 @@ def parse_daily(df: DataFrame, batch_id: str, source: str) -> DataFrame:
     # (NaN would otherwise compare greater than every threshold)
     parsed = {name: _finite(t.try_cast("double")) for name, t in text.items() if name != "volume"}
     parsed["volume"] = text["volume"].try_cast("bigint")
-    bad = None
+    bad, missing = F.lit(False), F.lit(False)
     for name, t in text.items():
-        cond = t.isNotNull() & parsed[name].isNull()
-        bad = cond if bad is None else bad | cond
+        bad = bad | (t.isNotNull() & parsed[name].isNull())
+        missing = missing | t.isNull()
     return days.select(
         "symbol",
         F.col("day").try_cast("date").alias("date"),
@@ -65,8 +72,24 @@ def parse_daily(df: DataFrame, batch_id: str, source: str) -> DataFrame:
         F.lit(0.0).alias("stock_splits"),
         F.lit(batch_id).alias("batch_id"),
         F.lit(source).alias("data_source"),
-        F.when(bad | F.col("day").try_cast("date").isNull() & F.col("day").isNotNull(),
-               F.lit("BAD_NUMBER")).alias("reject_reason"))
+        F.when(F.col("day").try_cast("date").isNull(), F.lit("BAD_DATE"))
+         .when(bad, F.lit("BAD_NUMBER"))
+         .when(missing, F.lit("MISSING_VALUE")).alias("reject_reason"),
+        *landed)
+
+
+def lost_replies(df: DataFrame, batch_id: str, source: str) -> DataFrame:
+    """Replies without the daily series (an error or rate-limit notice), as
+    rejected rows ``NO_SERIES`` without a day, so that a run log counts them."""
+    series = F.from_json(F.col("body"), _REPLY).getField(REPLY_SERIES_KEY)
+    landed = [c for c in LANDED_COLUMNS if c in df.columns]
+    return df.where(series.isNull()).select(
+        "symbol", F.lit(None).cast("date").alias("date"),
+        *[F.lit(None).cast("double").alias(c) for c in PRICES],
+        F.lit(None).cast("bigint").alias("volume"),
+        F.lit(0.0).alias("dividends"), F.lit(0.0).alias("stock_splits"),
+        F.lit(batch_id).alias("batch_id"), F.lit(source).alias("data_source"),
+        F.lit("NO_SERIES").alias("reject_reason"), *landed)
 
 
 _QUOTE = T.StructType([T.StructField(
@@ -123,7 +146,8 @@ def reject_reason() -> F.Column:
     """The first raw-table constraint a row breaks, or NULL."""
     price_bad = None
     for c in PRICES + ("dividends", "stock_splits"):
-        cond = F.abs(F.col(c)) >= PRICE_LIMIT
+        # the cast itself decides: it rounds to 4 places first
+        cond = F.col(c).isNotNull() & F.col(c).try_cast(PRICE).isNull()
         price_bad = cond if price_bad is None else price_bad | cond
     long_text = None
     for c, limit in RAW_STRING_LIMITS.items():
@@ -171,8 +195,13 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dedupe_latest_batch(df: DataFrame, key=("symbol", "date"),
-                        order=("batch_id", "load_timestamp")) -> DataFrame:
-    """One row per (symbol, date), from the latest batch.
+                        order=("load_timestamp", "batch_id", *LANDED_COLUMNS)) -> DataFrame:
+    """One row per (symbol, date), from the batch loaded last.
+
+    Copies are ordered by load time, then batch id, then the landed file's
+    time and name, then all their values: the winner never depends on the
+    order of the input. Columns that are not there are left out, so a frame
+    without batches is brought to one row a key as well.
 
     An aggregate (max_by over a struct), not a window: each map task keeps
     its own latest copy per key before the shuffle, so a key with many
@@ -180,5 +209,6 @@ def dedupe_latest_batch(df: DataFrame, key=("symbol", "date"),
     """
     others = [c for c in df.columns if c not in key]
     order_cols = [c for c in order if c in df.columns]
-    latest = F.max_by(F.struct(*others), F.struct(*order_cols)).alias("_row")
+    rest = [c for c in others if c not in order_cols]
+    latest = F.max_by(F.struct(*others), F.struct(*order_cols, *rest)).alias("_row")
     return df.groupBy(*key).agg(latest).select(*key, "_row.*")

@@ -1,10 +1,9 @@
 """Table lifecycle, sinks and checks.
 
 Writes go through the DataFrame writer only (no SQL text built from
-values). The raw table is Parquet partitioned by ``batch_id``; a batch is
-written with dynamic partition overwrite, so a retried or re-run batch
-replaces its own partition instead of adding a second copy, and the job
-commit is atomic per batch.
+values). The raw table is Parquet partitioned by ``batch_id``. A new batch is
+appended and must bring an id that the table does not have; a retry of a
+batch (the same id, on purpose) replaces its own partition.
 """
 
 from __future__ import annotations
@@ -22,13 +21,22 @@ from .ingest import PRICES
 CONF_PREFIX = "spark.barwise.source."
 
 
-def append_raw(df: DataFrame, path: str) -> None:
-    """Write a batch into the raw table (one partition per batch id)."""
-    (df.select(*[f.name for f in RAW_BARS.fields])
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id")
-       .parquet(path))
+def append_raw(df: DataFrame, path: str, retry: bool = False) -> None:
+    """Append a batch to the raw table (one partition per batch id).
+
+    An id that the table already has is an error, unless ``retry`` says that
+    this is the same batch again: its partition is then replaced.
+    """
+    rows = df.select(*[f.name for f in RAW_BARS.fields])
+    if retry:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        ids = [r[0] for r in rows.select("batch_id").distinct().limit(1000).collect()]
+        stored = read_or_empty(df.sparkSession, path, RAW_BARS)
+        if ids and not stored.where(F.col("batch_id").isin(ids)).isEmpty():
+            raise ValueError(f"{path} already has a batch of {ids}; a retry must say so")
+        writer = rows.write.mode("append")
+    writer.partitionBy("batch_id").parquet(path)
 
 
 def verify_batch(source, batch_id: str, spark: SparkSession | None = None) -> DataFrame:
@@ -37,7 +45,7 @@ def verify_batch(source, batch_id: str, spark: SparkSession | None = None) -> Da
     ``source`` is a DataFrame or a table path; on a path the filter prunes
     to the batch's partition.
     """
-    df = spark.read.parquet(source) if isinstance(source, str) else source
+    df = read_or_empty(spark, source, RAW_BARS) if isinstance(source, str) else source
     return (df.where(F.col("batch_id") == F.lit(batch_id))
             .agg(F.count(F.lit(1)).alias("verified"))
             .select(F.lit(batch_id).alias("batch_id"), "verified"))
@@ -72,12 +80,16 @@ def run_log(good: DataFrame, rejects: DataFrame, verified: DataFrame, batch_id:
     return out
 
 
-def write_with_backup(df: DataFrame, path: str, backup: str) -> None:
-    """Write the batch; on failure dump it as JSON to ``backup`` and re-raise."""
+def write_with_backup(df: DataFrame, path: str, backup: str, retry: bool = False) -> None:
+    """Write the batch; on failure dump it as JSON to ``backup`` and
+    re-raise. If the dump fails too, both errors are raised together."""
     try:
-        append_raw(df, path)
-    except Exception:
-        df.write.mode("overwrite").json(backup)
+        append_raw(df, path, retry)
+    except Exception as first:
+        try:
+            df.write.mode("overwrite").json(backup)
+        except Exception as second:
+            raise ExceptionGroup("the batch and its backup could not be written", [first, second])
         raise
 
 
@@ -97,14 +109,35 @@ def write_enriched(df: DataFrame, path: str) -> None:
        .partitionBy("annee").parquet(path))
 
 
+def serve_enriched(spark: SparkSession, path: str, days: int | None = None) -> DataFrame:
+    """The stored enriched table for a view: with ``days``, only the year
+    partitions that the last ``days`` days reach are read. The latest date
+    comes from the newest year partition alone."""
+    table = spark.read.parquet(path)
+    if days is not None:
+        last = as_of(spark, path)
+        if last is not None:
+            table = table.where(F.col("annee") >= (last - dt.timedelta(days=days)).year)
+    return table.drop("annee")
+
+
+def as_of(spark: SparkSession, path: str):
+    """The latest ``date_trading`` of a stored enriched table, or None."""
+    table = spark.read.parquet(path)
+    year = table.select(F.max("annee")).first()[0]  # partition values, no data column
+    return None if year is None else table.where(F.col("annee") == year).select(
+        F.max("date_trading")).first()[0]
+
+
 def enriched_scan(spark: SparkSession, path: str) -> DataFrame:
     """Read the stored enriched table (only the named columns are read)."""
     return scan_enriched(spark.read.parquet(path))
 
 
 def table_options(spark: SparkSession, name: str | None = None,
-                  schema: str | None = None) -> dict:
-    """reader/writer options of the configured source.
+                  schema: str | None = None, schema_key: str = "sfSchema") -> dict:
+    """reader/writer options of the configured source; ``schema``
+    overrides the option named ``schema_key``.
 
     Base options come from Spark conf keys ``spark.barwise.source.<opt>``
     (set by the deployment, never in code); ``name`` becomes ``dbtable``.
@@ -114,7 +147,7 @@ def table_options(spark: SparkSession, name: str | None = None,
         if k.startswith(CONF_PREFIX):
             opts[k[len(CONF_PREFIX):]] = v
     if schema:
-        opts["schema"] = schema
+        opts[schema_key] = schema
     if name:
         opts["dbtable"] = name
     return opts
@@ -123,8 +156,7 @@ def table_options(spark: SparkSession, name: str | None = None,
 def create_table(spark: SparkSession, name: str, schema: T.StructType = RAW_BARS,
                  path: str | None = None, partition_by: list[str] | None = None) -> None:
     """Create (or replace) a Parquet table from a StructType."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = spark.createDataFrame([], schema).write.format("parquet")
+    writer = spark.createDataFrame([], schema).write.format("parquet").mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path:
@@ -138,8 +170,9 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    """S15."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """S15. The name is quoted part by part, never taken as SQL."""
+    quoted = ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+    spark.sql(f"DROP TABLE IF EXISTS {quoted}")
 
 
 def table_profile(df: DataFrame) -> DataFrame:
@@ -180,5 +213,5 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 __all__ = ["PRICES", "append_raw", "verify_batch", "run_log", "write_with_backup",
-           "scan_enriched", "write_enriched", "enriched_scan", "table_options", "create_table", "read_table", "drop_table",
+           "scan_enriched", "write_enriched", "serve_enriched", "as_of", "enriched_scan", "table_options", "create_table", "read_table", "drop_table",
            "table_profile", "table_sample", "read_or_empty"]

@@ -1,5 +1,5 @@
 """Structured Streaming entry points."""
 
-from .landed import epoch_batch_id, ingest_batch, ingest_landed
+from .landed import epoch_batch_id, ingest_batch, ingest_landed, stream_id
 
-__all__ = ["epoch_batch_id", "ingest_batch", "ingest_landed"]
+__all__ = ["epoch_batch_id", "ingest_batch", "ingest_landed", "stream_id"]

@@ -8,63 +8,114 @@ append (S7) -> verify (S8) -> run log (S10).
 
 ``trigger(availableNow=True)`` processes everything landed so far and
 stops, which is the scheduled-run behaviour; a processing-time trigger
-keeps it running. The batch id is derived from the micro-batch's epoch, so
-a retried micro-batch rewrites its own partition instead of adding a
-second copy.
+keeps it running. A batch id is made of the stream's own id, which is kept in
+its checkpoint folder, and the micro-batch's epoch: a retried micro-batch
+rewrites its own partition, and no other stream or later checkpoint folder
+makes the same id. The checkpoint folder must be named by the caller and stay
+the same from run to run: without it a restart would begin anew.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import BATCH_PREFIX, REPLIES
-from ..session import checkpoint_dir
-from ..sources.ingest import parse_daily, split_valid, stamp_batch
-from ..sources.tables import append_raw, run_log, verify_batch
+from ..schemas import BATCH_PREFIX, RAW_BARS, REPLIES
+from ..sources.ingest import (dedupe_latest_batch, latest_n, lost_replies, parse_daily, stamp_batch,
+                              tag_rejects, with_fallback)
+from ..sources.tables import read_or_empty, run_log, verify_batch, write_with_backup
 
 
-def epoch_batch_id(epoch_id: int) -> str:
-    return f"{BATCH_PREFIX}EPOCH_{epoch_id:08d}"
+def epoch_batch_id(stream_id: str, epoch_id: int) -> str:
+    return f"{BATCH_PREFIX}{stream_id}_{epoch_id:08d}"
+
+
+def stream_id(spark: SparkSession, checkpoint_location: str) -> str:
+    """The id of the stream that owns a checkpoint folder, made on first use."""
+    path = f"{checkpoint_location.rstrip('/')}/barwise_stream"
+    try:
+        rows = spark.read.schema("value string").text(path).collect()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        rows = []
+    if rows:
+        return rows[0][0]
+    new = uuid.uuid4().hex[:12]
+    spark.createDataFrame([(new,)], "value string").coalesce(1).write.text(path)
+    return new
 
 
 def ingest_batch(replies: DataFrame, raw_path: str, rejects_path: str, log_path: str,
                  batch_id: str, source: str = "PRIMARY",
-                 load_ts: dt.datetime | None = None) -> None:
-    """One ingest run over a frame of replies ``(symbol, body)``."""
+                 load_ts: dt.datetime | None = None, keep_days: int | None = None,
+                 fallback: DataFrame | None = None, api_key: str | None = None,
+                 backup_path: str | None = None, retry: bool = False) -> None:
+    """One complete ingest run over a frame of replies ``(symbol, body)``.
+
+    Parse (S1), keep the latest ``keep_days`` days of each symbol (S2), take
+    ``fallback`` rows if no reply has any (S5), stamp (S3, with the key masked,
+    S4), reject (S6; replies without a series are rejects too), one row a day
+    and symbol, append (S7, S11: with ``backup_path`` a batch that can't be
+    stored is dumped there), verify (S8) and log (S10).
+
+    The parsed rows are kept for the run, so replies are parsed once.
+    """
     spark = replies.sparkSession
-    parsed = parse_daily(replies, batch_id, source)
-    stamped = stamp_batch(parsed.drop("batch_id", "data_source"), batch_id, source, load_ts)
-    good, rejects = split_valid(stamped)
-    append_raw(good, raw_path)
-    (rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(rejects_path))
-    stored = spark.read.parquet(raw_path)
-    log = run_log(good, rejects, verify_batch(stored, batch_id), batch_id,
-                  logged_at=load_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-    (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(log_path))
+    load_ts = load_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = parse_daily(replies, batch_id, source)
+    if keep_days is not None:
+        rows = latest_n(rows, keep_days)
+    if fallback is not None:
+        rows = with_fallback(rows, fallback)
+    rows = rows.unionByName(lost_replies(replies, batch_id, source), allowMissingColumns=True)
+    sources = F.col("data_source")  # stamping would name the fallback rows like the others
+    stamped = stamp_batch(rows.withColumn("_source", sources), batch_id, source, load_ts, api_key)
+    tagged = tag_rejects(stamped.withColumn("data_source", F.coalesce("_source", F.lit(source))).drop("_source"))
+    tagged = tagged.persist()
+    try:
+        good = dedupe_latest_batch(tagged.where(F.col("reject_reason").isNull()).drop("reject_reason"))
+        good = good.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_BARS.fields])
+        rejects = tagged.where(F.col("reject_reason").isNotNull())
+        write_with_backup(good, raw_path, backup_path or f"{rejects_path}-backup", retry)
+        (rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(rejects_path))
+        stored = read_or_empty(spark, raw_path, RAW_BARS)
+        log = run_log(good, rejects, verify_batch(stored, batch_id), batch_id, logged_at=load_ts)
+        (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(log_path))
+    finally:
+        tagged.unpersist()
 
 
 def ingest_landed(spark: SparkSession, landing_dir: str, raw_path: str, rejects_path: str,
-                  log_path: str, checkpoint_location: str | None = None,
+                  log_path: str, checkpoint_location: str,
                   source: str = "PRIMARY", available_now: bool = True,
-                  processing_time: str | None = None) -> StreamingQuery:
+                  processing_time: str | None = None, **how) -> StreamingQuery:
     """Start the incremental ingest of JSON-lines reply files in ``landing_dir``.
 
-    Each line is ``{"symbol": ..., "body": "<reply JSON text>"}``. The stream
-    checkpoint defaults to a folder under the shared ``spark.checkpoint.dir``.
+    Each line is ``{"symbol": ..., "body": "<reply JSON text>"}``.
+    ``checkpoint_location`` is a shared folder of this stream's own; further
+    arguments go to ``ingest_batch``.
     """
-    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/landed-ingest"
-    stream = spark.readStream.schema(REPLIES).json(landing_dir)
+    if not checkpoint_location:
+        raise ValueError("a stream needs a checkpoint folder that outlives its runs")
+    own = stream_id(spark, checkpoint_location)
+    stream = spark.readStream.schema(REPLIES).json(landing_dir).select(
+        "symbol", "body", F.col("_metadata.file_modification_time").alias("landed_at"),
+        F.col("_metadata.file_path").alias("landed_file"))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        ingest_batch(batch, raw_path, rejects_path, log_path, epoch_batch_id(epoch_id), source)
+        ingest_batch(batch, raw_path, rejects_path, log_path, epoch_batch_id(own, epoch_id), source,
+                     retry=True, **how)
 
     writer = (stream.writeStream.foreachBatch(per_batch)
-              .option("checkpointLocation", location))
+              .option("checkpointLocation", checkpoint_location))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

@@ -129,3 +129,27 @@ def test_trailing_months_clamps_to_month_end(spark):
     assert got == [29, 31]  # 31 Mar minus one month is 29 Feb, kept (>=)
     assert P.range_button(df, "1w").count() == 1
     assert P.range_button(df, "all").count() == 3
+
+
+def test_correlation_is_null_where_a_series_is_flat_on_common_dates(spark):
+    import datetime as dt
+    import math
+    from barwise.operators.correlation import corr_matrix
+    rows = []
+    for i in range(120):
+        day = dt.date(2024, 1, 1) + dt.timedelta(days=i)
+        rows.append(("MOVES", day, 100 + math.sin(i)))
+        # flat on the first 60 days, where FLAT2 is missing afterwards
+        rows.append(("FLAT", day, 33.3 if i < 60 else 33.3 + i))
+        if i < 60:
+            rows.append(("SHORT", day, 10 + (i % 7) * 0.1))
+    df = spark.createDataFrame(rows, "symbole string, date_trading date, prix_fermeture double")
+    got = {(r.symbole_a, r.symbole_b): r.correlation for r in corr_matrix(df, symbols_per_tile=1).collect()}
+    assert got["FLAT", "SHORT"] is None and got["SHORT", "FLAT"] is None
+    assert got["FLAT", "MOVES"] is not None and got["SHORT", "SHORT"] == 1.0
+
+
+def test_periods_leave_out_null_dates(spark):
+    from barwise.operators.aggregates import perf_volume
+    df = spark.createDataFrame([("A", None, 5)], "symbole string, date_trading date, volume bigint")
+    assert perf_volume(df, "month").count() == 0

@@ -149,3 +149,56 @@ def test_windows_count_rows_across_a_date_gap(spark):
     b = bars(spark, [12.0, 13.0], start=dt.date(2024, 3, 1))  # two months later
     got = by_date(I.sma(a.unionByName(b), 3), "sma_3")
     assert got == [None, None, 11.0, 12.0]
+
+
+@pytest.mark.parametrize("span", [2, 3, 5, 300])
+def test_ema_of_any_span_matches_pandas(spark, span):
+    closes = [round(100 + 10 * math.sin(i / 7.0) + (i % 5), 4) for i in range(1500)]
+    got = by_date(I.ema(bars(spark, closes), "prix_fermeture", span=span, out="e"), "e")
+    want = pd.Series(closes).ewm(span=span, adjust=False).mean().tolist()
+    assert got == pytest.approx(want, abs=1e-8)
+
+
+@pytest.mark.parametrize("spans", [(6, 13, 5), (3, 8, 3), (2, 200, 9)])
+def test_macd_of_any_spans_matches_pandas(spark, spans):
+    fast, slow, signal = spans
+    closes = [round(100 + 10 * math.sin(i / 7.0) + (i % 5), 4) for i in range(900)]
+    s = pd.Series(closes)
+    line = s.ewm(span=fast, adjust=False).mean() - s.ewm(span=slow, adjust=False).mean()
+    sig = line.ewm(span=signal, adjust=False).mean()
+    got = I.macd(bars(spark, closes), *spans).orderBy("date_trading").toPandas()
+    assert got.macd_line[slow - 1:].tolist() == pytest.approx(line[slow - 1:].tolist(), abs=1e-4)
+    start = slow + signal - 2
+    assert got.macd_signal[start:].tolist() == pytest.approx(sig[start:].tolist(), abs=1e-4)
+
+
+def test_wilder_of_three(spark):
+    vals = by_date(I.rsi(bars(spark, [100 + ((i * 37) % 11) for i in range(40)]), 3, method="wilder"), "rsi_3")
+    assert vals[:3] == [None] * 3 and all(0 <= v <= 100 for v in vals[3:])
+
+
+def test_null_and_nan_prices_are_left_out_of_every_indicator(spark):
+    from pyspark.sql import functions as F
+    df = bars(spark, [10.0] * 30).withColumn("prix_fermeture", F.col("prix_fermeture").cast("double"))
+    day = F.dayofmonth("date_trading")
+    df = df.withColumn("prix_fermeture", F.when(day == 12, F.lit(float("nan")))
+                       .when(day != 15, F.col("prix_fermeture")))
+    for got, col in ((I.sma(df, 20), "sma_20"), (I.ema(df, "prix_fermeture", span=12, out="e"), "e"),
+                     (I.bollinger(df), "bollinger_upper"), (I.rsi(df, 14), "rsi_14")):
+        values = by_date(got, col)
+        assert len(values) == 28
+        assert set(values) <= {None, 10.0, 50.0} or max(abs(v - 10) for v in values if v) < 1e-9
+
+
+def test_flat_stretch_of_doubles_has_a_flat_band(spark):
+    from pyspark.sql import functions as F
+    closes = [100 + 7.3 * math.sin(i) for i in range(80)] + [123.4567] * 60
+    df = bars(spark, closes).withColumn("prix_fermeture", F.col("prix_fermeture").cast("double"))
+    rows = I.bollinger_percent(I.bollinger(df)).orderBy("date_trading").collect()
+    for r in rows[-40:]:
+        assert r.bollinger_upper == r.bollinger_lower == 123.4567 and r.bollinger_percent is None
+
+
+def test_enrich_without_batches_keeps_one_row_a_day(spark):
+    raw = bars(spark, [10 + i for i in range(25)], raw=True)
+    assert enrich(raw.unionByName(raw)).count() == 25

@@ -67,7 +67,9 @@ def test_fallback_only_when_primary_empty(spark):
 def test_mask_and_batch_id(spark):
     df = spark.createDataFrame([("ABCDEFGHIJ",), (None,)], "k string")
     assert [r.k for r in S.mask_column(df, "k").collect()] == ["...IJ", None]
-    assert S.make_batch_id(dt.datetime(2024, 5, 6, 21, 7)) == "BATCH_20240506_2107"
+    now = dt.datetime(2024, 5, 6, 21, 7, 3)
+    assert S.make_batch_id(now, "x") == "BATCH_20240506_210703_x"
+    assert S.make_batch_id(now) != S.make_batch_id(now)
 
 
 def test_latest_n(spark):
@@ -82,7 +84,9 @@ def test_append_verify_is_idempotent_and_logged(spark, scratch):
                         dt.datetime(2024, 1, 1), "SECRETKEY1")
     good, rejects = S.split_valid(raw)
     T.append_raw(good, path)
-    T.append_raw(good, path)  # a retried batch replaces its own partition
+    with pytest.raises(ValueError):
+        T.append_raw(good, path)  # an id names one batch
+    T.append_raw(good, path, retry=True)  # a retried batch replaces its own partition
     other = S.stamp_batch(bars(spark, [5.0], raw=True), "BATCH_B", "P", dt.datetime(2024, 1, 2))
     T.append_raw(S.split_valid(other)[0], path)
     verified = T.verify_batch(path, "BATCH_A", spark)
@@ -133,16 +137,99 @@ def test_enriched_scan_round_trip(spark, scratch):
     assert back.columns == out.columns and back.count() == 25
 
 
-def test_reference_two_row_aggregate(spark):
-    # the one Spark query of the reference, on its two literal rows
+def test_average_price_and_volume_by_hand(spark):
     from barwise.operators.aggregates import avg_price_volume
-    df = spark.createDataFrame(
-        [("AAPL", "2024-01-01", 185.5, 187.0, 184.0, 186.2, 1000000),
-         ("MSFT", "2024-01-01", 370.2, 372.5, 369.0, 371.0, 800000)],
-        "symbol string, date string, open double, high double, low double, close double, "
-        "volume bigint")
+    df = spark.createDataFrame([("X", 2.0, 30), ("X", 4.0, 50), ("X", 6.0, None), ("Y", 7.5, 8)],
+                               "symbol string, close double, volume bigint")
     got = {r.symbol: (r.avg_price, r.total_volume) for r in avg_price_volume(df).collect()}
-    assert got == {"AAPL": (186.2, 1000000), "MSFT": (371.0, 800000)}
+    assert got == {"X": (4.0, 80), "Y": (7.5, 8)}
+
+
+def test_missing_fields_and_bad_dates_are_rejects(spark):
+    body = json.dumps({"Time Series (Daily)": {
+        "2024-01-02": {"1. open": "1", "2. high": "1", "3. low": "1", "5. volume": "1"},
+        "soon": {"1. open": "1", "2. high": "1", "3. low": "1", "4. close": "1", "5. volume": "1"}}})
+    replies = spark.createDataFrame([("A", body), ("B", "{}"), ("C", "no json"), ("D", None)],
+                                    "symbol string, body string")
+    got = sorted(r.reject_reason for r in S.parse_daily(replies, "B1", "P").collect())
+    assert got == ["BAD_DATE", "MISSING_VALUE"]
+    lost = S.lost_replies(replies, "B1", "P").collect()
+    assert sorted(r.symbol for r in lost) == ["B", "C", "D"]
+    assert {r.reject_reason for r in lost} == {"NO_SERIES"}
+
+
+def test_price_at_the_decimal_edge_is_rejected_not_fatal(spark):
+    df = spark.createDataFrame([("A", dt.date(2024, 1, d), p) for d, p in
+                                ((1, 999999.99994), (2, 999999.99996), (3, 1000000.0))],
+                               "symbol string, date date, close double")
+    df = df.select("symbol", "date", *[F.col("close").alias(c) for c in S.PRICES],
+                   F.lit(1).cast("bigint").alias("volume"))
+    good, rejects = S.split_valid(df)
+    assert [str(r.close) for r in good.collect()] == ["999999.9999"]
+    assert [r.reject_reason for r in rejects.collect()] == ["OUT_OF_RANGE"] * 2
+
+
+def test_dedupe_orders_by_load_time_then_file_then_values(spark):
+    row = bars(spark, [1.0], raw=True)
+    old = S.stamp_batch(row, "BATCH_z", "P", dt.datetime(2020, 1, 1))
+    new = S.stamp_batch(row.withColumn("close", F.lit(2).cast("decimal(10,4)")), "BATCH_2025", "P",
+                        dt.datetime(2025, 1, 1))
+    for a, b in ((old, new), (new, old)):
+        assert float(S.dedupe_latest_batch(a.unionByName(b)).first().close) == 2.0
+    twins = old.unionByName(old.withColumn("close", F.lit(3).cast("decimal(10,4)")))
+    assert float(S.dedupe_latest_batch(twins).first().close) == 3.0
+    assert float(S.dedupe_latest_batch(twins.orderBy("close")).first().close) == 3.0
+
+
+def test_verify_on_a_missing_table(spark, scratch):
+    assert T.verify_batch(os.path.join(scratch, "none"), "B", spark).first().verified == 0
+
+
+def test_ingest_run_with_no_good_row(spark, scratch):
+    from barwise.streaming import ingest_batch
+    raw, rej, log = (os.path.join(scratch, x) for x in ("raw", "rejects", "log"))
+    replies = spark.createDataFrame([("A", json.dumps({"Note": "rate limited"}))], "symbol string, body string")
+    ingest_batch(replies, raw, rej, log, "BATCH_1")
+    row = spark.read.parquet(log).first()
+    assert row.status == "PARTIAL" and row.details == "Inserted: 0, Errors: 1, Verified: 0"
+
+
+def test_ingest_run_uses_the_fallback_and_keeps_recent_days(spark, scratch):
+    from barwise.streaming import ingest_batch
+    raw, rej, log = (os.path.join(scratch, x) for x in ("raw", "rejects", "log"))
+    spare = bars(spark, [5.0, 6.0], raw=True).withColumn("data_source", F.lit("FALLBACK"))
+    empty = spark.createDataFrame([("A", "{}")], "symbol string, body string")
+    ingest_batch(empty, raw, rej, log, "BATCH_1", fallback=spare, api_key="SECRETKEY1")
+    stored = spark.read.parquet(raw)
+    assert {(r.data_source, r.api_key_used) for r in stored.collect()} == {("FALLBACK", "...Y1")}
+    full = spark.createDataFrame([("A", _reply([(f"2024-02-{d:02d}", "7", "1") for d in range(1, 11)]))],
+                                 "symbol string, body string")
+    ingest_batch(full, raw, rej, log, "BATCH_2", fallback=spare, keep_days=3)
+    days = sorted(r.date.day for r in spark.read.parquet(raw).where("batch_id = 'BATCH_2'").collect())
+    assert days == [8, 9, 10]
+
+
+def test_text_dates_become_dates_in_the_scan(spark, scratch):
+    from barwise.plans.enrich import enrich
+    out = enrich(bars(spark, [10 + i for i in range(5)], raw=True), dt.datetime(2024, 1, 1))
+    path = os.path.join(scratch, "text_dates")
+    out.withColumn("date_trading", F.col("date_trading").cast("string")).write.parquet(path)
+    back = T.enriched_scan(spark, path)
+    assert dict(back.dtypes)["date_trading"] == "date"
+    assert [r.date_trading for r in back.collect()] == [dt.date(2024, 1, d) for d in range(1, 6)]
+
+
+def test_served_table_reads_only_the_years_it_needs(spark, scratch):
+    from barwise.plans.enrich import enrich
+    out = enrich(bars(spark, [10 + i for i in range(40)], start=dt.date(2023, 12, 10), raw=True),
+                 dt.datetime(2024, 2, 1))
+    path = os.path.join(scratch, "by_year")
+    T.write_enriched(out, path)
+    assert T.as_of(spark, path) == dt.date(2024, 1, 18)
+    recent = T.serve_enriched(spark, path, days=10)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "annee" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert recent.agg(F.min("date_trading")).first()[0] == dt.date(2024, 1, 1)
 
 
 def test_create_insert_select_drop_round_trip(spark, scratch):
@@ -161,7 +248,7 @@ def test_create_insert_select_drop_round_trip(spark, scratch):
 def test_table_options_come_from_conf(spark):
     spark.sparkContext._conf.set("spark.barwise.source.url", "jdbc:example://host/db")
     opts = T.table_options(spark, name="RAW", schema="S1")
-    assert opts["dbtable"] == "RAW" and opts["schema"] == "S1"
+    assert opts["dbtable"] == "RAW" and opts["sfSchema"] == "S1"
 
 
 def test_refresh_enriched_end_to_end(spark, scratch):

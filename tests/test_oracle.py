@@ -29,14 +29,7 @@ def con():
     return c
 
 
-QUICK = ["avg_price_volume", "enrich", "corr_matrix", "perf_price_quarter", "perf_volatility",
-         "dedupe_latest_batch", "parse_daily", "run_log", "reject_rows", "pivot_close",
-         "rsi_14_wilder", "ema_12", "view_signal_board", "date_scalars", "number_string_scalars",
-         "table_profile", "fallback_source", "trailing_months", "last_row", "parse_quote",
-         "range_button_1w"]
-
-
-@pytest.mark.parametrize("name", QUICK)
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

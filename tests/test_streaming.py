@@ -31,3 +31,34 @@ def test_landed_files_are_ingested_once(spark, scratch):
     assert stored.select("batch_id").distinct().count() == 2
     logs = {r.batch_id: r for r in spark.read.parquet(log).collect()}
     assert sorted(r.status for r in logs.values()) == ["PARTIAL", "SUCCESS"]
+
+
+def test_a_new_stream_never_reuses_batch_ids(spark, scratch):
+    land, raw, rej, log = (os.path.join(scratch, x) for x in ("landing", "raw", "rejects", "log"))
+    os.makedirs(land)
+    for name, symbol in (("a.json", "AAA"), ("b.json", "BBB")):
+        _land(land, name, symbol, [("2024-01-02", "10.5")])
+        # another checkpoint folder each time, as after a lost one
+        ingest_landed(spark, land, raw, rej, log, os.path.join(scratch, "ck-" + symbol)).awaitTermination(120)
+        if symbol == "AAA":
+            os.rename(os.path.join(land, name), os.path.join(scratch, name))
+    stored = spark.read.parquet(raw)
+    assert sorted(r.symbol for r in stored.collect()) == ["AAA", "BBB"]
+    assert stored.select("batch_id").distinct().count() == 2
+
+
+def test_two_replies_for_a_day_give_one_row_from_the_later_file(spark, scratch):
+    land, raw, rej, log, ck = (os.path.join(scratch, x) for x in ("landing", "raw", "rejects", "log", "ck"))
+    os.makedirs(land)
+    _land(land, "z.json", "AAA", [("2024-01-02", "1")])
+    _land(land, "a.json", "AAA", [("2024-01-02", "2")])
+    os.utime(os.path.join(land, "z.json"), (1_700_000_000, 1_700_000_000))
+    os.utime(os.path.join(land, "a.json"), (1_700_000_100, 1_700_000_100))
+    ingest_landed(spark, land, raw, rej, log, ck).awaitTermination(120)
+    assert [float(r.close) for r in spark.read.parquet(raw).collect()] == [2.0]
+
+
+def test_checkpoint_folder_is_required(spark, scratch):
+    import pytest
+    with pytest.raises(ValueError):
+        ingest_landed(spark, scratch, scratch, scratch, scratch, "")
