@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, ship_package
 
-__all__ = ["materialize", "table", "crc_mod", "U64", "mix64", "span_hashes", "lower_words"]
+__all__ = ["materialize", "table", "fresh", "crc_mod", "U64", "mix64", "span_hashes", "lower_words"]
 
 U64 = np.uint64
 # any odd 64-bit constant serves as the base of the rolling hash
@@ -22,6 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(col: str, m: int) -> Column:
     """crc32 of a column's text, modulo ``m`` (null stays null)."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % m

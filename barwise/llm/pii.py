@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, ship_package, table
+from .common import fresh, materialize, ship_package, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: Rounds of the bootstrap; known instances that a pattern needs; the least
@@ -208,9 +208,10 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **ho
     the text at their place is the same."""
     ship_package(docs.sparkSession)
     spans = find_pii(docs, id_col, text_col, **how)
+    own, more = fresh(docs, "_id"), fresh(docs, "_found")
     extra = (spans.where((F.size("found") > 0) & F.col("doc_id").isNotNull())
-             .groupBy(F.col("doc_id").alias("_id")).agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("_found")))
-    joined = docs.join(extra, docs[id_col] == extra["_id"], "left")
+             .groupBy(F.col("doc_id").alias(own)).agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias(more)))
+    joined = docs.join(extra, docs[id_col] == extra[own], "left")
 
     def run(texts: pd.Series, found: pd.Series) -> pd.Series:
         out = []
@@ -229,7 +230,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **ho
         return pd.Series(out, dtype=object)
 
     clean = F.pandas_udf(run, "string")
-    text = clean(F.col(text_col).cast("string"), F.col("_found"))
+    text = clean(F.col(text_col).cast("string"), F.col(more))
     keep = [F.col(c) if c != text_col else text.alias(text_col) for c in docs.columns]
     out = joined.select(*keep)
     if "n_chars" in docs.columns:

@@ -141,13 +141,13 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP9_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
 p AS (
   SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
-         CAST(list_sum(list_transform(range(1, len(a.q) + 1), i -> a.q[i] * b.q[i])) AS BIGINT) AS score
+         CAST(list_sum([a.q[i] * b.q[i] FOR i IN range(1, len(a.q) + 1)]) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
 r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM p)
