@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, ship_package, span_hashes, table
 
-SENTENCES, LEAST_WORDS, MANY_WORDS = 3, 20, 50
+SENTENCES, LEAST_WORDS, MANY_WORDS = 2, 20, 40
 _GAP = re.compile(r"\s*\n\s*|(?<=[.!?])\s+")
 _LAST = (1 << 63) - 1
 
@@ -86,14 +86,11 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            keys, hashes, firsts, sizes = [], [], [], []
+            keys, hashes = [], []
             for key, text in zip(pdf["key"], pdf["text"]):
-                h, first, size = runs(text, sentences(text), count, least_words, many_words)
-                h, own = np.unique(h, return_index=True)
+                h = np.unique(runs(text, sentences(text), count, least_words, many_words)[0])
                 keys.append(np.full(len(h), key, np.int64))
                 hashes.append(h)
-                firsts.append(first[own])
-                sizes.append(size[own])
             if keys:
                 yield pd.DataFrame({"key": np.concatenate(keys), "hash": np.concatenate(hashes)})
 
