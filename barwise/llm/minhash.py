@@ -11,11 +11,13 @@
 4. Links are confirmed on the full shingle sets, in blocks.
 
 All pairs of a bucket are never emitted. In round one each member is
-compared with the leaders of its buckets only (a star). Rounds two and three
-look at pairs that share a bucket but not yet a component: first each
-member's closest ones, then all that are left. A pair inside a component
-needs no check, as it can't change the result. So every candidate pair is
-either confirmed, refuted or already connected.
+compared with the leaders of its buckets only (a star), and confirmed links
+form components. A pair inside a component needs no further check, as it
+can't change the result. Round two takes the buckets that hold several
+components: their members are dealt to blocks of bounded size, which compare
+packed planes and keep lists of candidates, and then check the full sets. So
+every candidate pair is confirmed, refuted or already connected, and rows
+grow with documents, not with pairs.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, materialize, mix64, span_hashes, table
+from .common import U64, fresh, materialize, mix64, span_hashes, table
 from .components import connected_components
 
 #: Minima a document, kept bits of each, minima a band. A pair at similarity
@@ -39,6 +41,9 @@ THRESHOLD = 0.75
 #: of 4 bits); pairs are confirmed from four deviations below the threshold.
 SLACK = 0.16
 
+#: Documents of a part of a bucket; two parts meet in a block.
+PART = 256
+
 _RNG = np.random.default_rng(5)
 _MUL = (_RNG.integers(0, 1 << 32, PERMS * 8, dtype=np.uint64) | U64(1)).astype(np.uint32)
 _XOR = _RNG.integers(0, 1 << 32, PERMS * 8, dtype=np.uint64).astype(np.uint32)
@@ -125,22 +130,101 @@ def estimate(a: str, b: str, perms: int, bits: int) -> Column:
     return (match - F.lit(chance)) / F.lit(1 - chance)
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, threshold: float, words: int) -> DataFrame:
-    """The rows (x, y) of ``pairs`` whose full sets are similar enough.
+def _similar_in_blocks(rows: DataFrame, threshold: float, slack: float, perms: int, bits: int) -> DataFrame:
+    """(block, doc, ys): for each document of a block its candidates in it.
+
+    ``rows`` are (block, key, left, same, rep, comp, planes, bands, size): the
+    left and right documents of parts of buckets. A pair counts if its
+    components differ, its sizes and estimate allow the threshold, and this
+    bucket's key is the first that both have (so no pair is seen twice).
+    Documents that are only candidates of others have an empty ``ys``.
+    """
+    words, chance = perms // 64, 2.0 ** -bits
+    least = threshold - slack
+
+    def pairs(g: pd.DataFrame):
+        left = g["left"].to_numpy()
+        rep, comp, size = (g[c].to_numpy() for c in ("rep", "comp", "size"))
+        planes, bands = np.stack(g["planes"]).view(np.uint64), np.stack(g["bands"])
+        at = np.flatnonzero(left)
+        to = at if g["same"].iloc[0] else np.flatnonzero(~left)
+        cand: dict[int, list[int]] = {}
+        for x in at:
+            y = to[(comp[to] != comp[x]) & (rep[to] > rep[x] if to is at else rep[to] != rep[x])]
+            y = y[100 * np.minimum(size[y], size[x]) >= round(threshold * 100) * np.maximum(size[y], size[x])]
+            if not len(y):
+                continue
+            diff = np.bitwise_or.reduce((planes[y] ^ planes[x]).reshape(len(y), bits, words), axis=1)
+            match = 1 - np.bitwise_count(diff).sum(axis=1) / perms
+            y = y[(match - chance) / (1 - chance) >= least]
+            if len(y):
+                shared = bands[y] == bands[x]
+                y = y[bands[x][shared.argmax(axis=1)] == g["key"].iloc[0]]
+            if len(y):
+                cand[int(rep[x])] = rep[y].tolist()
+        docs = set(cand).union(*cand.values()) if cand else ()
+        return [(int(g["block"].iloc[0]), d, cand.get(d, [])) for d in docs]
 
-    Pairs are dealt to blocks by their hub and salt; a block holds each set
-    once, however many of its pairs need it.
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None  # a block that may go on in the next batch
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            starts = np.flatnonzero(np.diff(pdf["block"].to_numpy(), prepend=pdf["block"].iloc[0] - 1 if len(pdf) else 0))
+            if not len(pdf):
+                continue
+            held = pdf.iloc[starts[-1]:]
+            out = [r for i, j in zip(starts[:-1], starts[1:]) for r in pairs(pdf.iloc[i:j])]
+            if out:
+                yield pd.DataFrame(out, columns=["block", "doc", "ys"])
+        if held is not None and len(held):
+            out = pairs(held)
+            if out:
+                yield pd.DataFrame(out, columns=["block", "doc", "ys"])
+
+    dealt = rows.repartition("block").sortWithinPartitions("block")
+    return dealt.mapInPandas(run, "block long, doc long, ys array<long>")
+
+
+def _unresolved(members: DataFrame, labels: DataFrame, sketch: DataFrame, part: int) -> DataFrame:
+    """Rows for ``_similar_in_blocks``: buckets that hold several components.
+
+    Documents of the leader's component need no comparison with one another:
+    only the others (strays) are compared, with all. Strays and the rest are
+    cut into parts of about ``part`` documents; a block is a part of strays
+    with another part.
     """
-    pairs = materialize(pairs.select("x", "y", "hub"), "pairs")
-    n = pairs.count()
-    groups = max(8, n // 256)
-    per_hub = pairs.groupBy("hub").agg(F.count("*").alias("n"))
-    pairs = (pairs.join(per_hub, "hub")
-             .withColumn("xs", F.pmod(F.xxhash64("x"), F.ceil(F.col("n") / 512.0)))
-             .withColumn("ys", F.pmod(F.xxhash64("y"), F.ceil(F.sqrt(F.col("n") / 64.0))))
-             .select("x", "y", F.pmod(F.xxhash64("hub", "xs", "ys"), F.lit(groups)).alias("block")))
-    pairs = materialize(pairs, "blocks")
-    need = pairs.select(F.col("block").alias("at"), F.explode(F.array("x", "y")).alias("doc_id")).distinct()
+    own = (members.join(labels, members["rep"] == labels["node"], "left")
+           .select("key", "rep", "first", F.coalesce("root", "rep").alias("comp")))
+    main = own.where(F.col("rep") == F.col("first")).select("key", F.col("comp").alias("main")).distinct()
+    own = own.join(main, "key").withColumn("stray", F.col("comp") != F.col("main"))
+    parts = (own.groupBy("key").agg(F.count_if("stray").alias("s"), F.count_if(~F.col("stray")).alias("d"))
+             .where("s > 0").select("key", F.ceil(F.col("s") / part).alias("s"), F.ceil(F.col("d") / part).alias("d")))
+    own = own.join(parts, "key").withColumn(
+        "b", F.pmod(F.xxhash64("rep"), F.when(F.col("stray"), F.col("s")).otherwise(F.col("d"))))
+    last = F.when(F.col("stray"), F.col("s") + F.col("d")).otherwise(F.col("s")) - 1
+    own = own.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("o"))
+    # strays: block (b, o), or (o, b) as the right side of an earlier part
+    right = ~F.col("stray") | (F.col("o") < F.col("b"))
+    i = F.when(F.col("stray"), F.least("b", "o")).otherwise(F.col("o"))
+    j = F.when(F.col("stray"), F.greatest("b", "o")).otherwise(F.col("s") + F.col("b"))
+    # a part of the rest stands after the strays' parts
+    i = F.when(F.col("stray") & (F.col("o") >= F.col("s")), F.col("b")).otherwise(i)
+    j = F.when(F.col("stray") & (F.col("o") >= F.col("s")), F.col("o")).otherwise(j)
+    return (own.select("key", "rep", "comp", (~right).alias("left"), i.alias("i"), j.alias("j"))
+            .join(sketch, "rep")
+            .select(F.xxhash64("key", "i", "j").alias("block"), "key", "left", (F.col("i") == F.col("j")).alias("same"),
+                    "rep", "comp", "planes", "bands", "size"))
+
+
+def _confirm(found: DataFrame, docs: DataFrame, threshold: float, words: int) -> DataFrame:
+    """The pairs (x, y) of ``found`` (block, doc, ys) that are similar enough
+    on their full sets. A block's sets are sent to it once, however many of
+    its pairs need them; pairs that the block has already connected are left
+    out."""
+    found = materialize(found, "found")
+    groups = F.lit(max(8, found.count() // 512))
+    found = found.withColumn("at", F.pmod("block", groups))
+    need = found.select(F.col("at").alias("to"), F.col("doc").alias("doc_id")).distinct()
     texts = docs.join(need.select("doc_id").distinct(), "doc_id", "left_semi")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,25 +237,39 @@ def _confirm(pairs: DataFrame, docs: DataFrame, threshold: float, words: int) ->
 
     def check(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         grams = {d: np.frombuffer(g, U64) for d, g in zip(right["doc_id"], right["grams"])}
+        up = {d: d for d in grams}
+
+        def root(d):
+            while up[d] != d:
+                up[d] = up[up[d]]
+                d = up[d]
+            return d
+
         keep = []
-        for x, y in zip(left["x"], left["y"]):
-            a, b = grams[x], grams[y]
-            if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-                continue
-            if len(a) > len(b):
-                a, b = b, a
-            at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-            both = int((b[at] == a).sum())
-            if 100 * both >= percent * (len(a) + len(b) - both):
-                keep.append((x, y))
+        for x, ys in zip(left["doc"], left["ys"]):
+            for y in ys:
+                a, b = grams[x], grams[y]
+                if root(x) == root(y):
+                    continue
+                if len(a) > len(b):
+                    a, b = b, a
+                if 100 * len(a) < percent * len(b):
+                    continue
+                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+                both = int((b[at] == a).sum())
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    keep.append((x, y))
+                    up[root(x)] = root(y)
         return pd.DataFrame(keep, columns=["x", "y"])
 
-    return pairs.groupBy("block").cogroup(held.groupBy("at")).applyInPandas(check, "x long, y long")
+    pairs = found.where(F.size("ys") > 0).select("at", "doc", "ys")
+    return pairs.groupBy("at").cogroup(held.groupBy("to")).applyInPandas(check, "x long, y long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = THRESHOLD, perms: int = PERMS, bits: int = BITS,
-                    rows: int = ROWS, words: int = WORDS, slack: float = SLACK) -> DataFrame:
+                    rows: int = ROWS, words: int = WORDS, slack: float = SLACK,
+                    part: int = PART) -> DataFrame:
     """One row per document id: (doc_id, n_shingles, component_id, kept).
 
     Two documents are linked if 100 * intersection >= threshold% of the
@@ -207,51 +305,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.max_by("rep", F.xxhash64("rep")).alias("other"))
                .where("n > 1"))
     members = materialize(keys.join(buckets, "key").select("key", "n", "rep", "first", "other"), "members")
-    planes = reps.select("rep", "planes", F.col("n_shingles").alias("size"))
-
-    def scored(pairs: DataFrame) -> DataFrame:
-        p = (pairs.join(planes.toDF("x", "px", "sx"), "x").join(planes.toDF("y", "py", "sy"), "y"))
-        # sets of very different size can't be similar: |small| / |large| bounds it
-        return (p.where((F.least("sx", "sy") * 100 >= F.greatest("sx", "sy") * round(threshold * 100)))
-                .withColumn("est", estimate("px", "py", perms, bits))
-                .where(F.col("est") >= threshold - slack))
-
+    sketch = reps.select("rep", "planes", "bands", F.col("n_shingles").alias("size"))
+    planes = sketch.drop("bands")
     stars = (members.select(F.col("rep").alias("x"), F.explode(F.array("first", "other")).alias("y"))
-             .where("x <> y").distinct())
+             .where("x <> y").distinct()
+             .join(planes.toDF("x", "px", "sx"), "x").join(planes.toDF("y", "py", "sy"), "y")
+             .where(F.least("sx", "sy") * 100 >= F.greatest("sx", "sy") * round(threshold * 100))
+             .withColumn("est", estimate("px", "py", perms, bits))
+             .where(F.col("est") >= threshold - slack))
     best = Window.partitionBy("x").orderBy(F.desc("est"), "y")
-    star = (scored(stars).withColumn("k", F.row_number().over(best)).where("k <= 2")
-            .select("x", "y", F.col("y").alias("hub")))
+    stars = materialize(stars.withColumn("k", F.row_number().over(best)).where("k <= 2").select("x", "y"), "stars")
+    # a block: up to about 512 documents of one leader
+    per = stars.groupBy("y").agg(F.ceil(F.count("*") / 512).alias("n"))
+    stars = stars.join(per, "y").withColumn("block", F.xxhash64("y", F.pmod(F.xxhash64("x"), "n")))
+    star = stars.select("block", F.col("x").alias("doc"), F.array("y").alias("ys")).unionByName(
+        stars.select("block", F.col("y").alias("doc"), F.array().cast("array<long>").alias("ys")).distinct())
     links = materialize(_confirm(star, docs, threshold, words), "links")
-    labels = None
-    for last in (False, True):
-        labels = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-        own = (members.join(labels, members["rep"] == labels["node"], "left")
-               .select("key", "rep", F.coalesce("root", "rep").alias("comp")))
-        split = (own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                 .where("lo <> hi").select("key"))
-        own = materialize(own.join(split, "key").join(planes, "rep"), "split")
-        if own.isEmpty():
-            break
-        a = own.toDF("key", "x", "cx", "px", "sx")
-        b = own.toDF("key", "y", "cy", "py", "sy")
-        near = (a.join(b, (a["key"] == b["key"]) & (a["cx"] != b["cy"]) & (a["x"] < b["y"])
-                       & (F.least("sx", "sy") * 100 >= F.greatest("sx", "sy") * round(threshold * 100))
-                       & (estimate("px", "py", perms, bits) >= threshold - slack))
-                .select("x", "y", "cx", estimate("px", "py", perms, bits).alias("est")).distinct())
-        if not last:
-            # each member's closest ones first: these settle most components
-            both = near.select("x", "y", "est").unionByName(
-                near.select(F.col("y").alias("x"), F.col("x").alias("y"), "est"))
-            near = (both.withColumn("k", F.row_number().over(best)).where("k <= 4")
-                    .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-                    .withColumn("hub", F.col("x")))
-        else:
-            near = near.select("x", "y", F.col("cx").alias("hub"))
-        more = materialize(_confirm(near, docs, threshold, words), "links")
-        if more.isEmpty() and last:
-            break
-        links, labels = materialize(links.unionByName(more), "links"), None
-    if labels is None:
+    labels = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    rest = _similar_in_blocks(_unresolved(members, labels, sketch, part), threshold, slack, perms, bits)
+    more = materialize(_confirm(rest, docs, threshold, words), "links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
         labels = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     named = (ids.join(labels, ids["rep"] == labels["node"], "left")
              .select("h1", "h2", "n_shingles", F.coalesce("root", "rep").alias("component_id")))
@@ -269,13 +343,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     smallest text stays.
     """
     found = near_duplicates(docs, id_col, text_col, **how)
-    gone = materialize(found.where("not kept").select(F.col("doc_id").alias("_gone")), "gone")
-    out = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    name = fresh(docs, "_gone")
+    gone = materialize(found.where("not kept").select(F.col("doc_id").alias(name)), "gone")
+    out = docs.join(gone, docs[id_col] == gone[name], "left_anti")
     again = (docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1"))
     if not again.isEmpty():
-        first = Window.partitionBy(id_col).orderBy(text_col)
-        out = (out.withColumn("_k", F.row_number().over(first))
-               .where((F.col("_k") == 1) | F.col(id_col).isNull()).drop("_k"))
+        named, k = out.where(F.col(id_col).isNotNull()), fresh(docs, "_k")
+        first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())
+        out = (named.withColumn(k, F.row_number().over(first)).where(F.col(k) == 1).drop(k)
+               .unionByName(out.where(F.col(id_col).isNull())))
     return out
 
 
