@@ -43,6 +43,8 @@ SLACK = 0.16
 
 #: Documents of a part of a bucket; two parts meet in a block.
 PART = 256
+#: Pairs of a group that are confirmed together.
+GROUP_PAIRS = 8192
 
 _RNG = np.random.default_rng(5)
 _MUL = (_RNG.integers(0, 1 << 32, PERMS * 8, dtype=np.uint64) | U64(1)).astype(np.uint32)
@@ -131,13 +133,12 @@ def estimate(a: str, b: str, perms: int, bits: int) -> Column:
 
 
 def _similar_in_blocks(rows: DataFrame, threshold: float, slack: float, perms: int, bits: int) -> DataFrame:
-    """(block, doc, ys): for each document of a block its candidates in it.
+    """(doc, ys): documents with their candidates in one block.
 
     ``rows`` are (block, key, left, same, rep, comp, planes, bands, size): the
     left and right documents of parts of buckets. A pair counts if its
     components differ, its sizes and estimate allow the threshold, and this
     bucket's key is the first that both have (so no pair is seen twice).
-    Documents that are only candidates of others have an empty ``ys``.
     """
     words, chance = perms // 64, 2.0 ** -bits
     least = threshold - slack
@@ -162,8 +163,7 @@ def _similar_in_blocks(rows: DataFrame, threshold: float, slack: float, perms: i
                 y = y[bands[x][shared.argmax(axis=1)] == g["key"].iloc[0]]
             if len(y):
                 cand[int(rep[x])] = rep[y].tolist()
-        docs = set(cand).union(*cand.values()) if cand else ()
-        return [(int(g["block"].iloc[0]), d, cand.get(d, [])) for d in docs]
+        return list(cand.items())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None  # a block that may go on in the next batch
@@ -175,14 +175,14 @@ def _similar_in_blocks(rows: DataFrame, threshold: float, slack: float, perms: i
             held = pdf.iloc[starts[-1]:]
             out = [r for i, j in zip(starts[:-1], starts[1:]) for r in pairs(pdf.iloc[i:j])]
             if out:
-                yield pd.DataFrame(out, columns=["block", "doc", "ys"])
+                yield pd.DataFrame(out, columns=["doc", "ys"])
         if held is not None and len(held):
             out = pairs(held)
             if out:
-                yield pd.DataFrame(out, columns=["block", "doc", "ys"])
+                yield pd.DataFrame(out, columns=["doc", "ys"])
 
     dealt = rows.repartition("block").sortWithinPartitions("block")
-    return dealt.mapInPandas(run, "block long, doc long, ys array<long>")
+    return dealt.mapInPandas(run, "doc long, ys array<long>")
 
 
 def _unresolved(members: DataFrame, labels: DataFrame, sketch: DataFrame, part: int) -> DataFrame:
@@ -217,14 +217,24 @@ def _unresolved(members: DataFrame, labels: DataFrame, sketch: DataFrame, part:
 
 
 def _confirm(found: DataFrame, docs: DataFrame, threshold: float, words: int) -> DataFrame:
-    """The pairs (x, y) of ``found`` (block, doc, ys) that are similar enough
-    on their full sets. A block's sets are sent to it once, however many of
-    its pairs need them; pairs that the block has already connected are left
+    """The pairs (x, y) of ``found`` (doc, ys) that are similar enough on
+    their full sets. A group's sets are sent to it once, however many of its
+    pairs need them; pairs that the group has already connected are left
     out."""
     found = materialize(found, "found")
-    groups = F.lit(max(8, found.count() // 512))
-    found = found.withColumn("at", F.pmod("block", groups))
-    need = found.select(F.col("at").alias("to"), F.col("doc").alias("doc_id")).distinct()
+    # the group of a family: the smallest id that its members meet, cut by its
+    # number of pairs; so a set goes to few groups, also if many buckets saw it
+    met = found.groupBy("doc").agg(F.min(F.array_min("ys")).alias("low"))
+    found = found.join(met, "doc").withColumn("hub", F.least("doc", "low"))
+    cut = found.groupBy("hub").agg(F.ceil(F.sum(F.size("ys")) / GROUP_PAIRS).alias("n"))
+    found = found.join(cut, "hub").withColumn("family", F.xxhash64("hub", F.pmod(F.xxhash64("doc"), "n")))
+    found = materialize(found.select("family", "doc", "ys"), "families")
+    both = found.groupBy("family").agg(F.array_union(
+        F.collect_set("doc"), F.flatten(F.collect_list(F.array_distinct("ys")))).alias("docs"))
+    need = materialize(both.select("family", F.explode(F.array_distinct("docs")).alias("doc_id")), "need")
+    groups = F.lit(max(8, need.count() // 512))
+    found = found.withColumn("at", F.pmod("family", groups))
+    need = need.select(F.pmod("family", groups).alias("to"), "doc_id").distinct()
     texts = docs.join(need.select("doc_id").distinct(), "doc_id", "left_semi")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -262,8 +272,7 @@ def _confirm(found: DataFrame, docs: DataFrame, threshold: float, words: int) ->
                     up[root(x)] = root(y)
         return pd.DataFrame(keep, columns=["x", "y"])
 
-    pairs = found.where(F.size("ys") > 0).select("at", "doc", "ys")
-    return pairs.groupBy("at").cogroup(held.groupBy("to")).applyInPandas(check, "x long, y long")
+    return found.groupBy("at").cogroup(held.groupBy("to")).applyInPandas(check, "x long, y long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -314,12 +323,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .withColumn("est", estimate("px", "py", perms, bits))
              .where(F.col("est") >= threshold - slack))
     best = Window.partitionBy("x").orderBy(F.desc("est"), "y")
-    stars = materialize(stars.withColumn("k", F.row_number().over(best)).where("k <= 2").select("x", "y"), "stars")
-    # a block: up to about 512 documents of one leader
-    per = stars.groupBy("y").agg(F.ceil(F.count("*") / 512).alias("n"))
-    stars = stars.join(per, "y").withColumn("block", F.xxhash64("y", F.pmod(F.xxhash64("x"), "n")))
-    star = stars.select("block", F.col("x").alias("doc"), F.array("y").alias("ys")).unionByName(
-        stars.select("block", F.col("y").alias("doc"), F.array().cast("array<long>").alias("ys")).distinct())
+    stars = stars.withColumn("k", F.row_number().over(best)).where("k <= 2")
+    star = stars.select(F.col("x").alias("doc"), F.array("y").alias("ys"))
     links = materialize(_confirm(star, docs, threshold, words), "links")
     labels = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     rest = _similar_in_blocks(_unresolved(members, labels, sketch, part), threshold, slack, perms, bits)
