@@ -100,11 +100,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     ship_package(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    # before the sort, each task keeps its own smallest rows of a language
-    picked = (docs.select("doc_id", "lang")
-              .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-              .where(F.col("k") <= sample).select("doc_id", "lang").distinct())
+    # the smallest hashes of a language: those under twice the sample's share of
+    # the hash range first, so that no task sorts a whole language
+    ids = docs.select("doc_id", "lang").distinct().withColumn("u", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    low = ids.join(sizes, "lang").where(F.col("u").cast("double") * F.col("n") < 2.0 * sample * (1 << 40))
+    first = Window.partitionBy("lang").orderBy("u", "doc_id")
+    picked = (low.withColumn("k", F.row_number().over(first))
+              .where(F.col("k") <= sample).select("doc_id", "lang"))
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, n = np.zeros(DIMS, np.int64), 0
