@@ -11,15 +11,17 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
-#: Words kept by one worker (about 130 MB); then the cache starts anew.
-CACHE_WORDS = 600_000
+#: Words kept by one worker (about 50 MB); then the cache starts anew.
+CACHE_WORDS = 300_000
 
-# A word of Latin letters is one piece where white space or one of these marks
-# follows, in both vocabularies; other words are taken up to the white space.
-_LETTERS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+(?=[\s.,!?;:\"()]|\Z)"
+# A piece ends, in both vocabularies, after a letter a-z that white space or one
+# of these marks follows; other words are taken up to the white space.
+_LETTERS = rb"[A-Za-z\x80-\xff]*[A-Za-z](?=[\s.,!?;:\"()]|\Z)"
 _DROPPED_SPACE = re.compile(_LETTERS + rb"|\S+")
 # white space belongs to the pieces: one space to the word after it, of the
 # other the last character stands alone where a word follows
@@ -39,6 +41,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.model = self.tokenizer.model
         self.spaces, self.limit = spaces, cache_words
         self.cache = _Words(self)
         # how the byte-level step spells the characters of one-piece words
@@ -58,8 +61,10 @@ class Encoder:
         text = word.decode()
         if _ONE_PIECE.fullmatch(text):
             text = text if self.spaces else text.lower()
-            return np.array([t.id for t in self.tokenizer.model.tokenize(text.translate(self.spelling))],
-                            "<u4").tobytes()
+            ids = array("I", [t.id for t in self.model.tokenize(text.translate(self.spelling))])
+            if sys.byteorder == "big":
+                ids.byteswap()
+            return ids.tobytes()
         return self.plain(text)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
