@@ -108,7 +108,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(vocabulary, spaces)
         end = np.uint32(end_id).astype("<u4").tobytes()
-        for pdf in batches:
+        for pdf in (b.iloc[i:i + 500] for b in batches for i in range(0, len(b), 500)):  # bounds the ids held
             rows = []
             for doc_id, ids in zip(pdf["doc_id"], enc.encode(list(pdf["text"]))):
                 ids += end
@@ -138,8 +138,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     ship_package(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     cut = materialize(pieces(docs, vocabulary, capacity, end_id, spaces, with_ids), "pieces")
-    cut = cut.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
-    # number the pieces of each length: files in order, rows in order; the
+    cut = cut.select("*", F.xxhash64("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    # number the pieces of each length: files in any order, rows in order; the
     # counts by file give each file its first number
     by_file = materialize(cut.groupBy("length", "file").agg(F.count("*").alias("n")), "lengths")
     counts = {r[0]: r[1] for r in by_file.groupBy("length").agg(F.sum("n")).collect()}  # capacity rows at most

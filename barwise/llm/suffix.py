@@ -31,7 +31,7 @@ from .common import fresh, lower_words, materialize, ship_package, table
 #: Words of a window, and the share of hit words (1 in ...) that contaminates.
 WINDOW, SHARE = 13, 20
 #: Words of test items that are sent out at once, and words of a shard.
-BLOCK_WORDS, SHARD_WORDS = 2_000_000, 4_000_000
+BLOCK_WORDS, SHARD_WORDS = 2_000_000, 1_000_000
 
 
 class Queries:
