@@ -1,6 +1,8 @@
 """Operators 2, 7 and 8: personal data, licenses, benchmark passages."""
 
 import random
+import re
+from re import _parser
 
 import pytest
 from hypothesis import given, settings
@@ -97,6 +99,64 @@ def test_gate_lets_every_rule_through():
             assert any(g in keyword or keyword in g or "licen" in keyword for g in licenses.GATE)
 
 
+def samples(regex):
+    """A text for each alternative of a rule, with its options and without."""
+    def expand(part, options):
+        out = [""]
+        for op, arg in part:
+            name = str(op)
+            if name == "LITERAL":
+                more = [chr(arg)]
+            elif name == "ANY":
+                more = ["."]
+            elif name == "IN":
+                kind, value = arg[0]
+                more = [chr(v) for k, v in arg if str(k) == "LITERAL"] or [
+                    chr(value[0]) if str(kind) == "RANGE" else "\n " if "SPACE" in str(value) else "x"]
+            elif name == "BRANCH":
+                more = [t for p in arg[1] for t in expand(p, options)]
+            elif name == "SUBPATTERN":
+                more = expand(arg[3], options)
+            elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+                n = max(arg[0], min(options, arg[1]))
+                more = [t * n for t in expand(arg[2], options)]
+            else:
+                more = [""]
+            out = [a + b for a in out for b in more]
+        return out
+
+    return {t for options in (0, 1) for t in expand(_parser.parse(regex), options)}
+
+
+def test_a_sample_of_every_rule_passes_its_keyword_and_the_gate(spark):
+    texts = []
+    for keyword, regex, _, level in licenses.rules():
+        for text in samples(regex):
+            assert re.search(regex, text), (regex, text)
+            flat = licenses.folded(text)
+            assert any(licenses.folded(k) in flat for k in keyword.split("|")), (keyword, text)
+            assert any(g in flat for g in licenses.GATE), text
+            texts.append((text, re.search(regex, text).span(), level))
+    assert {level for *_, level in texts} == set(range(5))
+    got = licenses.scan(frame(spark, [(i, f"x {t} y", None) for i, (t, *_) in enumerate(texts)])).collect()
+    found = {r.doc_id: r.detections for r in got}
+    for i, (text, (s, e), level) in enumerate(texts):
+        assert any(x.s <= s + 2 and x.e >= e + 2 and x.level <= level for x in found[i]), text
+
+
+def test_bare_codes_and_broken_lines_are_found(spark):
+    texts = [("Released under MIT.", "mit", 2), ("available under apache-2.0", "apache-2.0", 2),
+             ("Distributed under the MPL-2.0", "mpl-2.0", 2), ("licensed\n  under the\tMIT\nlicense", "mit", 2),
+             ("Redistribution and use in source and\n binary forms", "bsd", 4),
+             ("is provided 'as-is'", "warranty-disclaimer", 4), ("PROVIDED \"AS\n  IS\"", "warranty-disclaimer", 4),
+             ("This is free and\nunencumbered software", "unlicense", 4)]
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, [(i, t, None) for i, (t, *_) in enumerate(texts)])).collect()}
+    for i, (text, label, level) in enumerate(texts):
+        assert (label, level) in [(x.label, x.level) for x in got[i].detections], text
+    # places are those of the text as it came
+    assert [(x.s, x.e) for x in got[4].detections] == [(0, len(texts[4][0]))]
+
+
 def test_licenses_native_and_empty(spark):
     df = licenses.scan(frame(spark, []))
     assert df.collect() == []
