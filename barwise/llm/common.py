@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, ship_package
 
-__all__ = ["materialize", "table", "fresh", "crc_mod", "U64", "mix64", "span_hashes", "lower_words"]
+__all__ = ["materialize", "table", "fresh", "keyed", "crc_mod", "U64", "mix64", "span_hashes", "lower_words"]
 
 U64 = np.uint64
 # any odd 64-bit constant serves as the base of the rolling hash
@@ -30,6 +30,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def keyed(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` written once with a key of its own for each row (from 0, below
+    2^61), and the key's column name. The written keys don't change any more."""
+    key = fresh(df, "_row")
+    return materialize(df.withColumn(key, F.monotonically_increasing_id()), label), key
+
+
 def crc_mod(col: str, m: int) -> Column:
     """crc32 of a column's text, modulo ``m`` (null stays null)."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % m

@@ -3,8 +3,8 @@
 1. One pass over the texts gives each document the hash of its whole shingle
    set, ``perms`` minima of which only the lowest ``bits`` bits are kept,
    packed into 64-bit planes, and one key per band of ``rows`` minima.
-2. Documents with equal sets collapse to their smallest id, so a group of
-   copies counts as one document from here on.
+2. Documents with equal sets collapse to one of them, so a group of copies
+   counts as one document from here on.
 3. Documents that share a band key are candidates. Similarity is estimated
    from the packed planes: matching positions are counted with bit_count and
    corrected for the 2^-bits chance matches.
@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, fresh, materialize, mix64, span_hashes, table
+from .common import U64, fresh, keyed, materialize, mix64, span_hashes, table
 from .components import connected_components
 
 #: Minima a document, kept bits of each, minima a band. A pair at similarity
@@ -89,7 +89,8 @@ def pack(low: np.ndarray, bits: int) -> np.ndarray:
 
 def sketches(docs: DataFrame, perms: int = PERMS, bits: int = BITS, rows: int = ROWS,
              words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, h1, h2, planes, bands) of ``docs`` (doc_id, text)."""
+    """(doc_id, n_shingles, h1, h2, planes, bands, own, anon) of ``docs``
+    (doc_id, text, own, anon); none of its columns but the text is null."""
     bands = perms // rows
     salt = np.arange(1, bands + 1, dtype=np.uint64) * U64(0xD1B54A32D192ED03)
 
@@ -110,10 +111,12 @@ def sketches(docs: DataFrame, perms: int = PERMS, bits: int = BITS, rows: int =
             out = [one(t) for t in pdf["text"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"]} | {
                 c: [x[i] for x in out]
-                for i, c in enumerate(("n_shingles", "h1", "h2", "planes", "bands"))})
+                for i, c in enumerate(("n_shingles", "h1", "h2", "planes", "bands"))}
+                | {"own": pdf["own"], "anon": pdf["anon"]})
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, n_shingles long, h1 long, h2 long, planes array<long>, bands array<long>")
+    return docs.select("doc_id", "text", "own", "anon").mapInPandas(
+        run, "doc_id long, n_shingles long, h1 long, h2 long, planes array<long>, bands array<long>, "
+             "own long, anon boolean")
 
 
 def estimate(a: str, b: str, perms: int, bits: int) -> Column:
@@ -275,32 +278,21 @@ def _confirm(found: DataFrame, docs: DataFrame, threshold: float, words: int) ->
     return found.groupBy("at").cogroup(held.groupBy("to")).applyInPandas(check, "x long, y long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    threshold: float = THRESHOLD, perms: int = PERMS, bits: int = BITS,
-                    rows: int = ROWS, words: int = WORDS, slack: float = SLACK,
-                    part: int = PART) -> DataFrame:
-    """One row per document id: (doc_id, n_shingles, component_id, kept).
-
-    Two documents are linked if 100 * intersection >= threshold% of the
-    union of their shingle sets; ``component_id`` is the smallest id that
-    links reach, and ``kept`` marks it.
-
-    Null and empty texts and texts without words have no shingle: they are
-    components of their own and kept. Rows without an id are left out (they
-    can't be named). Rows that repeat an id are one document, whose text is
-    the smallest of them. An empty table gives an empty result. Other
-    columns are not looked at.
-    """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
+def _near_rows(docs: DataFrame, key: str, id_col: str, text_col: str, threshold: float = THRESHOLD,
+               perms: int = PERMS, bits: int = BITS, rows: int = ROWS, words: int = WORDS, slack: float = SLACK,
+               part: int = PART) -> DataFrame:
+    """(row, doc_id, n_shingles, component_id, kept) of each row of ``docs``,
+    which its column ``key`` names. In here a row's key stands as doc_id, and
+    its id as ``own`` (0 if it has none: ``anon``)."""
+    own = F.col(id_col).cast("long")
+    docs = docs.select(F.col(key).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       F.coalesce(own, F.lit(0)).alias("own"), own.isNull().alias("anon"))
     all_sketches = materialize(sketches(docs, perms, bits, rows, words), "sketches")
-    repeated = all_sketches.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    if not repeated.isEmpty():
-        docs = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
-        all_sketches = materialize(sketches(docs, perms, bits, rows, words), "sketches")
     some = all_sketches.where("n_shingles > 0")
+    # of rows the one of the smallest id comes first, those without an id last
     ids = some.groupBy("h1", "h2", "n_shingles").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+        F.min("doc_id").alias("rep"), F.count("*").alias("copies"),
+        F.min(F.struct("anon", "own", "doc_id")).alias("head"))
     ids = materialize(ids, "sets")
     reps = materialize(
         some.join(ids.select(F.col("rep").alias("doc_id"), "copies"), "doc_id")
@@ -332,17 +324,59 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         links = links.unionByName(more)
         labels = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    named = (ids.join(labels, ids["rep"] == labels["node"], "left")
-             .select("h1", "h2", "n_shingles", F.coalesce("root", "rep").alias("component_id")))
-    out = (all_sketches.select("doc_id", "n_shingles", "h1", "h2")
+    named = materialize(ids.join(labels, ids["rep"] == labels["node"], "left")
+                        .select("h1", "h2", "n_shingles", "head", F.coalesce("root", "rep").alias("root")), "named")
+    heads = named.groupBy("root").agg(F.min("head").alias("head"))
+    named = named.drop("head").join(heads, "root").select("h1", "h2", "n_shingles", "head")
+    out = (all_sketches.select("doc_id", "n_shingles", "h1", "h2", "own", "anon")
            .join(named, ["h1", "h2", "n_shingles"], "left")
-           .withColumn("component_id", F.coalesce("component_id", "doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id",
-                      (F.col("component_id") == F.col("doc_id")).alias("kept"))
+           .withColumn("head", F.coalesce("head", F.struct("anon", "own", "doc_id"))))
+    return out.select(F.col("doc_id").alias("row"), F.when(~F.col("anon"), F.col("own")).alias("doc_id"), "n_shingles",
+                      F.when(~F.col("head.anon"), F.col("head.own")).alias("component_id"),
+                      (F.col("head.doc_id") == F.col("doc_id")).alias("kept"))
+
+
+def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """One row per row of ``docs``: (doc_id, n_shingles, component_id, kept).
+
+    Two rows are linked if 100 * intersection >= threshold% of the union of
+    their shingle sets; ``component_id`` is the smallest id that links reach
+    (null if no row there has one). ``kept`` marks one row of a component,
+    the first of that id; without ids, any one.
+
+    Rows are told apart by a key of their own: rows that share an id are
+    linked if their texts are alike, and rows without an id are linked as
+    any others. Null and empty texts and texts without words have no
+    shingle: they are components of their own and kept. An empty table gives
+    an empty result. Other columns are not looked at.
+    """
+    rows, key = keyed(docs.select(id_col, text_col), "rows")
+    return _near_rows(rows, key, id_col, text_col, **how).drop("row")
+
+
+def drop_near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``docs`` with the rows that ``near_duplicate_rows`` keeps, all columns
+    as they were."""
+    rows, key = keyed(docs, "rows")
+    found = _near_rows(rows, key, id_col, text_col, **how)
+    gone = materialize(found.where("not kept").select(F.col("row").alias(key)), "gone")
+    return rows.join(gone, key, "left_anti").select(*[rows[c] for c in docs.columns])
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``near_duplicate_rows`` by id, one row per id: rows without an id are
+    left out, and rows that repeat an id are one document, whose text is the
+    smallest of them."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                       F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
+    if not docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        docs = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
+    return near_duplicate_rows(docs, **how)
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one document of each component, all columns as they were.
+    """``docs`` with one document of each component of ``near_duplicates``,
+    all columns as they were: for tables that go by id alone.
 
     Rows without an id stay. Of rows that repeat an id the one of the
     smallest text stays.
@@ -361,4 +395,4 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicate_rows(table(spark, sf_dir, "documents"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from barwise.llm.common import materialize, table
-from barwise.llm.minhash import drop_near_duplicates
+from barwise.llm.minhash import drop_near_duplicate_rows
 from barwise.llm.packing import pack
 from barwise.llm.pii import redact
 from barwise.llm.quality import filter_quality, train
@@ -25,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return drop_near_duplicates(docs)
+    return drop_near_duplicate_rows(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

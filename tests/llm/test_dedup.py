@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 
 from barwise.llm.components import connected_components
-from barwise.llm.minhash import (BITS, PERMS, drop_near_duplicates, estimate, minima, near_duplicates, pack,
-                                 shingles)
+from barwise.llm.minhash import (BITS, PERMS, drop_near_duplicate_rows, drop_near_duplicates, estimate, minima,
+                                 near_duplicate_rows, near_duplicates, pack, shingles)
 from barwise.llm.substring import LEAST_WORDS, MANY_WORDS, SENTENCES, dedup_substrings, runs, sentences
 from tests.llm.cases import awkward, frame, prose
 
@@ -90,6 +90,25 @@ def test_dropping_keeps_columns_rows_without_id_and_one_of_each_group(spark):
     assert sum(r.doc_id is None for r in out.collect()) == 2
 
 
+def test_rows_without_id_and_rows_that_repeat_one_are_told_apart(spark):
+    a, b, c = prose(80, 21), prose(80, 22), prose(80, 23)
+    near = " ".join(a.split(" ")[:-2] + ["other", "end."])
+    rows = [(None, a, None), (5, a, None), (None, near, None), (7, b, None), (7, c, None), (7, b, None),
+            (None, prose(80, 24), None), (None, prose(80, 24), None), (None, None, None), (None, "", None),
+            (2 ** 62 + 1, prose(80, 25), None), (9, c, None)]
+    found = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicate_rows(frame(spark, rows)).collect()),
+                   key=repr)
+    assert found == sorted(
+        [(None, 5, False), (5, 5, True), (None, 5, False), (7, 7, True), (7, 7, True), (7, 7, False),
+         (None, None, True), (None, None, False), (None, None, True), (None, None, True),
+         (2 ** 62 + 1, 2 ** 62 + 1, True), (9, 7, False)], key=repr)
+    docs = frame(spark, rows)
+    out = drop_near_duplicate_rows(docs)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(
+        [(5, a), (7, b), (7, c), (None, prose(80, 24)), (None, None), (None, ""), (2 ** 62 + 1, prose(80, 25))], key=repr)
+
+
 def test_estimate_is_close_to_the_similarity(spark):
     rng = np.random.default_rng(1)
     rows, truth = [], []
