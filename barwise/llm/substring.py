@@ -3,34 +3,44 @@
 A document is cut into sentences. Every run of several consecutive sentences
 is hashed, the hashes of all documents meet in one aggregation, and a
 sentence goes if a run that covers it is a repeat of one that stands in an
-earlier document, or earlier in its own.
+earlier row, or earlier in its own. Rows stand in the order of their ids, those
+without one last; rows of one id in the order of a key that each row gets.
 
 A run from a sentence on is the shortest with ``sentences`` sentences and
 ``least_words`` words, or with ``many_words`` words, whichever ends first:
 so short lines that any two texts may share don't count, and a long passage
 counts also where it has few full stops.
 
-Within a document, repeats are settled on the spot, so the aggregation sees
-a run once a document, as (hash, id), and combines before it shuffles.
+Within a row, repeats are settled on the spot, so the aggregation sees a run
+once a row, as (hash, id, key), and combines before it shuffles. Repeats go back
+to a row by its key: a list is never longer than the runs of one text.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, ship_package, span_hashes, table
+from .common import keyed, materialize, ship_package, span_hashes, table
 
 SENTENCES, LEAST_WORDS, MANY_WORDS = 2, 20, 40
 _GAP = re.compile(r"\s*\n\s*|(?<=[.!?])\s+")
 _LAST = (1 << 63) - 1
 
 
+def _order(own: str, key: str):
+    """Place of a row: its id, then its key (below 2^61), as one number, which
+    an aggregation can update in place."""
+    whole = F.col(own).cast("decimal(19,0)") * F.lit(Decimal(1 << 61)).cast("decimal(19,0)")
+    return (whole + F.col(key).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def sentences(text: str | None) -> list[tuple[int, int]]:
     """(start, end) of the sentences: parted by line breaks and by white
     space after a full stop, exclamation or question mark."""
@@ -76,34 +86,36 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     places (s, e) in the old text. Nulls stay null, empty texts empty.
 
     The first of equal runs is the one of the smallest id, and there of the
-    smallest place; rows that share an id count as one document, and rows
-    without an id come after all others. An empty table gives no rows; other
-    columns are not read.
+    smallest place. Rows without an id come after all others. Rows that share
+    an id, or have none, are told apart by keys of their own: one of them has
+    the first, and the others' runs are repeats. An empty table gives no rows;
+    other columns are not read.
     """
     ship_package(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    keyed = docs.withColumn("key", F.coalesce("doc_id", F.lit(_LAST)))
+    rows, key = keyed(docs, "rows")
+    rows = rows.select(F.col(key).alias("key"), F.coalesce("doc_id", F.lit(_LAST)).alias("own"),
+                       F.col("doc_id").isNull().alias("anon"), "text")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            keys, hashes = [], []
-            for key, text in zip(pdf["key"], pdf["text"]):
-                h = np.unique(runs(text, sentences(text), count, least_words, many_words)[0])
-                keys.append(np.full(len(h), key, np.int64))
-                hashes.append(h)
-            if keys:
-                yield pd.DataFrame({"key": np.concatenate(keys), "hash": np.concatenate(hashes)})
-
-    spans = materialize(keyed.mapInPandas(scan, "key long, hash long"), "runs")
-    repeated = (spans.groupBy("hash").agg(F.min("key").alias("first"), F.count("*").alias("n"))
+            hashes = [np.unique(runs(text, sentences(text), count, least_words, many_words)[0])
+                      for text in pdf["text"]]
+            if hashes:
+                n = list(map(len, hashes))
+                yield pd.DataFrame({"key": np.repeat(pdf["key"].to_numpy(), n), "own": np.repeat(pdf["own"].to_numpy(), n),
+                                    "hash": np.concatenate(hashes)})
+
+    spans = materialize(rows.select("key", "own", "text").mapInPandas(scan, "key long, own long, hash long"), "runs")
+    repeated = (spans.groupBy("hash").agg(F.min(_order("own", "key")).alias("first"), F.count("*").alias("n"))
                 .where("n > 1").select("hash", "first"))
-    later = (spans.join(repeated, "hash").where("key <> first")
+    later = (spans.join(repeated, "hash").where(_order("own", "key") != F.col("first"))
              .groupBy("key").agg(F.collect_set("hash").alias("again")))
 
     def clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for doc_id, text, again in zip(pdf["doc_id"], pdf["text"], pdf["again"]):
+            out = []
+            for text, again in zip(pdf["text"], pdf["again"]):
                 parts = sentences(text)
                 h, first, size = runs(text, parts, count, least_words, many_words)
                 own = np.zeros(len(h), bool)
@@ -118,11 +130,13 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                     bounds = [s for s, _ in parts[1:]] + [len(text)]
                     text = text[:parts[0][0]] + "".join(
                         text[p[0]:b] for p, b, c in zip(parts, bounds, cover) if not c)
-                rows.append((doc_id, text, len(parts), len(removed), removed))
-            yield pd.DataFrame(rows, columns=["doc_id", "text", "n_sentences", "n_removed", "removed"]).astype(
-                {"doc_id": "Int64"})
+                out.append((text, len(parts), len(removed), removed))
+            found = pd.DataFrame(out, columns=["text", "n_sentences", "n_removed", "removed"])
+            found.insert(0, "doc_id", pd.arrays.IntegerArray(
+                pdf["own"].to_numpy(np.int64, copy=True), pdf["anon"].to_numpy(bool, copy=True)))
+            yield found
 
-    return keyed.join(later, "key", "left").select("doc_id", "text", "again").mapInPandas(
+    return rows.join(later, "key", "left").select("own", "anon", "text", "again").mapInPandas(
         clean, "doc_id long, text string, n_sentences long, n_removed long, removed array<struct<s:int,e:int>>")
 
 

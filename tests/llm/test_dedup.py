@@ -170,6 +170,18 @@ def test_sentence_spans_against_the_definition(spark):
         assert prose(40, 150 + i) in by_id[i].text and prose(40, 250 + i) in by_id[i].text
 
 
+def test_repeats_between_rows_without_id_or_of_one_id_go(spark):
+    one, two, three = prose(70, 31), prose(70, 32), prose(70, 33)
+    rows = [(None, f"{prose(40, 400 + i)}\n{one}", None) for i in range(5)]
+    rows += [(80, two, None), (80, two, None), (80, two, None), (2 ** 62 + 1, three, None), (None, three, None)]
+    got = dedup_substrings(frame(spark, rows)).collect()
+    assert len(got) == len(rows) and sum(r.doc_id is None for r in got) == 6
+    assert sum(one in r.text for r in got) == 1 and sum(r.n_removed > 0 and r.doc_id is None for r in got) == 5
+    assert sorted(r.text for r in got if r.doc_id == 80) == ["", "", two]
+    assert [r.text for r in got if r.doc_id == 2 ** 62 + 1] == [three]
+    assert [r.n_removed for r in got if r.doc_id is None and one not in r.text].count(0) == 0
+
+
 def test_long_sentence_counts_alone_and_short_lines_do_not(spark):
     long = " ".join(f"w{i}" for i in range(60)) + "."
     rows = [(1, f"First one. {long}", None), (2, f"{long} Other text here.", None),
