@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, ship_package, table
+from .common import fresh, keyed, materialize, ship_package, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: Rounds of the bootstrap; known instances that a pattern needs; the least
@@ -204,21 +204,21 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **ho
     """``docs`` with every span of ``find_pii`` replaced by its kind in
     brackets; ``n_chars``, if there, follows the new text. Other columns and
     rows stay. Spans that overlap are replaced as one, named by the first.
-    Discovered spans reach a row by its id; rows that share one get them if
-    the text at their place is the same."""
+    Each row gets the spans discovered in it, whether its id is null or on
+    other rows too."""
     ship_package(docs.sparkSession)
-    spans = find_pii(docs, id_col, text_col, **how)
-    own, more = fresh(docs, "_id"), fresh(docs, "_found")
-    extra = (spans.where((F.size("found") > 0) & F.col("doc_id").isNotNull())
-             .groupBy(F.col("doc_id").alias(own)).agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias(more)))
-    joined = docs.join(extra, docs[id_col] == extra[own], "left")
+    rows, key = keyed(docs, "rows")
+    more = fresh(rows, "_found")
+    extra = (find_pii(rows, key, text_col, **how).where(F.size("found") > 0)
+             .select(F.col("doc_id").alias(key), F.col("found").alias(more)))
+    joined = rows.join(extra, key, "left")
 
     def run(texts: pd.Series, found: pd.Series) -> pd.Series:
         out = []
         for text, more in zip(texts, found):
             spans = base_spans(text)
             if more is not None and text is not None:
-                spans = spans + [(x["kind"], x["s"], x["e"]) for x in more if x["e"] <= len(text)]
+                spans = spans + [(x["kind"], x["s"], x["e"]) for x in more]
             if spans:
                 parts, last = [], 0
                 for kind, s, e in sorted(spans, key=lambda x: (x[1], -x[2])):

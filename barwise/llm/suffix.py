@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, lower_words, materialize, ship_package, table
+from .common import keyed, lower_words, materialize, ship_package, table
 
 #: Words of a window, and the share of hit words (1 in ...) that contaminates.
 WINDOW, SHARE = 13, 20
@@ -253,13 +253,12 @@ def with_verdict(found: DataFrame, share: int = SHARE) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without the contaminated documents, all columns as they were.
-    Documents go by their id: rows that share one go together, and rows
-    without one stay."""
-    bad = with_verdict(find_contamination(docs, items, id_col, **how)).where("contaminated")
-    name = fresh(docs, "_bad")
-    bad = materialize(bad.where("doc_id is not null").select(F.col("doc_id").alias(name)).distinct(), "bad")
-    return docs.join(bad, docs[id_col] == bad[name], "left_anti")
+    """``docs`` without the contaminated rows, all columns as they were. Each
+    row goes by its own verdict, whether its id is null or on other rows too."""
+    rows, key = keyed(docs, "rows")
+    bad = with_verdict(find_contamination(rows, items, key, **how)).where("contaminated")
+    bad = materialize(bad.select(F.col("doc_id").alias(key)), "bad")
+    return rows.join(bad, key, "left_anti").select(*[rows[c] for c in docs.columns])
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,6 +53,19 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert all("[PHONE]" in texts[i][0] and "555 " not in texts[i][0] for i in range(500, 512))
 
 
+def test_discovered_spans_go_to_their_own_row(spark):
+    rng = random.Random(2)
+    rows = [(500 + i, f"{prose(5, i)} please call number +1 555 {rng.randrange(10 ** 6, 10 ** 7)} today {prose(4, i + 50)}", None)
+            for i in range(12)]
+    hidden = "Now please call number 5551234567 today again."
+    other = prose(40, 77)
+    rows += [(None, hidden, None), (100, hidden, None), (100, other, None), (None, other, None)]
+    out = sorted(((r.doc_id, r.text) for r in pii.redact(frame(spark, rows)).collect()
+                  if r.doc_id in (None, 100)), key=repr)
+    masked = "Now please call number [PHONE] today again."
+    assert out == sorted([(None, masked), (100, masked), (100, other), (None, other)], key=repr)
+
+
 def test_spans_of_awkward_documents(spark):
     rows = awkward() + [(200 + i, t, None) for i, t in enumerate(PRIVATE)]
     got = {r.doc_id: r for r in pii.find_pii(frame(spark, rows)).collect() if r.doc_id and r.doc_id >= 200}
@@ -203,6 +216,18 @@ def test_longest_matches_and_removal(spark):
     assert 400 not in ids and 404 not in ids and 403 in ids and 402 in ids and 4 in ids
 
 
+@pytest.mark.parametrize("block_words", [2_000_000, 40])
+def test_removal_judges_each_row(spark, block_words):
+    items = spark.createDataFrame(ITEMS, "item_id string, text string")
+    item = ITEMS[0][1]
+    rows = [(None, item, None), (None, prose(50, 5), None), (7, item, None), (7, prose(50, 6), None),
+            (7, item, None), (None, None, None), (2 ** 62 + 1, prose(50, 8), None)]
+    out = suffix.decontaminate(frame(spark, rows), items, block_words=block_words)
+    assert out.columns == frame(spark, rows).columns
+    want = [rows[i][:2] for i in (1, 3, 5, 6)]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_empty_documents_and_empty_benchmark(spark):
     items = spark.createDataFrame(ITEMS, "item_id string, text string")
     assert suffix.find_contamination(frame(spark, []), items).collect() == []
