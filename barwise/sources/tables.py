@@ -31,10 +31,11 @@ def append_raw(df: DataFrame, path: str, retry: bool = False) -> None:
     if retry:
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
-        ids = [r[0] for r in rows.select("batch_id").distinct().limit(1000).collect()]
-        stored = read_or_empty(df.sparkSession, path, RAW_BARS)
-        if ids and not stored.where(F.col("batch_id").isin(ids)).isEmpty():
-            raise ValueError(f"{path} already has a batch of {ids}; a retry must say so")
+        stored = read_or_empty(df.sparkSession, path, RAW_BARS).select("batch_id").distinct()
+        again = rows.select("batch_id").distinct().join(stored, "batch_id", "left_semi")
+        ids = [r[0] for r in again.limit(10).collect()]
+        if ids:
+            raise ValueError(f"{path} already has the batches {ids} (10 are named at most); a retry must say so")
         writer = rows.write.mode("append")
     writer.partitionBy("batch_id").parquet(path)
 

@@ -78,6 +78,20 @@ def test_latest_n(spark):
     assert got[1] == 30 and got[0] == dt.date(2024, 1, 21)
 
 
+def test_append_of_many_batches_finds_a_stored_id(spark, scratch):
+    path = os.path.join(scratch, "raw")
+    row = S.split_valid(S.stamp_batch(bars(spark, [1.0], raw=True), "B0", "P", dt.datetime(2024, 1, 1)))[0]
+    ids = spark.range(0, 1300).select(F.concat(F.lit("B"), "id").alias("batch_id"))
+    many = row.drop("batch_id").crossJoin(ids)
+    # one that is not among the first 1,000 distinct ids
+    first = {r[0] for r in many.select("batch_id").distinct().limit(1000).collect()}
+    kept = min({r[0] for r in ids.collect()} - first)
+    T.append_raw(many.where(F.col("batch_id") == kept), path)
+    with pytest.raises(ValueError, match=kept):
+        T.append_raw(many, path)
+    assert T.read_or_empty(spark, path, RAW_BARS).count() == 1
+
+
 def test_append_verify_is_idempotent_and_logged(spark, scratch):
     path = os.path.join(scratch, "raw")
     raw = S.stamp_batch(bars(spark, [10.0, 11.0, 12.0], raw=True), "BATCH_A", "P",
