@@ -8,6 +8,7 @@ from .minhash import op3_minhash
 from .packing import op4_best_fit_packing
 from .pii import op2_pii
 from .quality import op6_quality
+from .resampling import op11_resampling
 from .substring import op1_sentence_spans
 from .suffix import op8_decontamination
 from .token_files import op5_token_files
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_topk": op9_topk,
     "op10_language": op10_language,
+    "op11_resampling": op11_resampling,
 }
 
 SQL = {
