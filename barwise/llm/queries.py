@@ -5,9 +5,11 @@ from __future__ import annotations
 from .language import op10_language
 from .licenses import op7_licenses
 from .minhash import op3_minhash
+from .negatives import OP12_SQL, op12_negatives
 from .packing import op4_best_fit_packing
 from .pii import op2_pii
 from .quality import op6_quality
+from .quality_rules import op13_quality_rules
 from .resampling import op11_resampling
 from .substring import op1_sentence_spans
 from .suffix import op8_decontamination
@@ -26,8 +28,11 @@ QUERIES = {
     "op9_topk": op9_topk,
     "op10_language": op10_language,
     "op11_resampling": op11_resampling,
+    "op12_negatives": op12_negatives,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 SQL = {
     "op9_topk": OP9_SQL,
+    "op12_negatives": OP12_SQL,
 }
