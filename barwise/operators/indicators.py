@@ -250,17 +250,22 @@ def macd_halo(fast: int = 12, slow: int = 26, signal: int = 9) -> int:
 
 
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9,
-         price: str = CLOSE, key: str = KEY, order: str = DATE) -> DataFrame:
+         price: str = CLOSE, key: str = KEY, order: str = DATE, starts: DataFrame | None = None,
+         sums: bool = False) -> DataFrame:
     """line = EMA(fast) - EMA(slow); signal = EMA(signal) of the line.
 
     Both EMAs start at the first row; the line is shown from row ``slow``,
     the signal from row ``slow + signal - 1``; both rounded to 4 places.
-    Line and signal come from one pass over three geometric sums.
+    Line and signal come from one pass over three geometric sums; ``sums``
+    keeps these as well (the state of the series after each row), and
+    ``starts`` goes on from stored ones.
     """
     def fn(d, k):
         plan = macd_terms(fast, slow, signal, price)
         if plan is not None:
-            d = geometric_columns(d, *plan)
+            terms, outputs = plan
+            own = {f"{name[1:]}_sum": [(name, 1.0)] for name in terms} if sums else {}
+            d = geometric_columns(d, terms, outputs | own, starts)
         else:
             d = ema_columns(d, [(price, 2.0 / (fast + 1), "_ef", 0),
                                 (price, 2.0 / (slow + 1), "_es", 0)])

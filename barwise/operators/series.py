@@ -102,6 +102,45 @@ def prepare_series(df: DataFrame, key: str, order: str,
             .withColumn(HALO, F.col(BLK) != own))
 
 
+def continue_series(df: DataFrame, starts: DataFrame, key: str, order: str, value: str,
+                    halo: int = DEFAULT_HALO, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """``prepare_series`` for rows that go on where a stored series ended.
+
+    ``starts`` has one row a key: ``n_rows``, how many rows came before, and
+    ``tail``, their last values, oldest first (``halo`` of them, or all). The
+    rows get the positions they have in the whole series, so blocks lie where
+    they lie there; the tail stands before them as context, in the value
+    column only. Keys without a row in ``starts`` begin a series.
+    """
+    if block < 1 or block & (block - 1):
+        raise ValueError("block must be a power of two")
+    ended = starts.select(key, F.col("n_rows").alias("_n0"), F.col("tail").alias("_tail"))
+    first = F.coalesce(F.col("_n0"), F.lit(0))
+    rows = with_row_index(df, key, order).join(ended.drop("_tail"), key, "left")
+    rows = rows.withColumn(IDX, F.col(IDX) + first).withColumn(HALO, F.lit(False))
+    context = ended.select(key, "_n0", F.size("_tail").alias("_m"), F.posexplode("_tail").alias("_pos", value)).select(
+        key, "_n0", value, (F.col("_n0") - F.col("_m") + F.col("_pos")).alias(IDX), F.lit(True).alias(HALO))
+    both = rows.unionByName(context, allowMissingColumns=True)
+    own = F.floor(F.col(IDX) / block)
+    last = F.floor((F.col(IDX) + halo) / block)
+    meta = {"barwise": {"key": key, "order": order, "halo": halo, "block": block}}
+    both = both.withColumn(BLK, F.explode(F.sequence(own, last))).withMetadata(BLK, meta)
+    # context serves the blocks that have rows of their own
+    both = both.where(~F.col(HALO) | (F.col(BLK) >= F.floor(first / block)))
+    return both.withColumn(HALO, F.col(HALO) | (F.col(BLK) != own)).drop("_n0")
+
+
+def carried_sums(starts: DataFrame, key: str, ratios: dict[str, float], block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Stored geometric sums of the last row before a continued series (one
+    column a term, in ``starts``), as the end of the block before its first
+    one: what ``geometric_columns`` carries in."""
+    at = F.floor(F.col("n_rows") / block)
+    past = F.col("n_rows") - at * block  # rows of the first block that came before
+    return starts.where(F.col("n_rows") > 0).select(
+        key, (at - 1).alias(BLK),
+        *[(F.col(name) * F.pow(F.lit(q), -past)).alias(f"_e_{name}") for name, q in ratios.items()])
+
+
 def series_meta(df: DataFrame) -> dict | None:
     if BLK not in df.columns:
         return None
@@ -171,7 +210,7 @@ def geometric_halo(q: float) -> int:
 
 
 def geometric_columns(df: DataFrame, terms: dict[str, tuple[str, float, int]],
-                      outputs: dict[str, list[tuple[str, float]]]) -> DataFrame:
+                      outputs: dict[str, list[tuple[str, float]]], starts: DataFrame | None = None) -> DataFrame:
     """Add linear combinations of geometric sums to a prepared frame.
 
     A term ``name: (value, q, first)`` is
@@ -187,7 +226,8 @@ def geometric_columns(df: DataFrame, terms: dict[str, tuple[str, float, int]],
     (key, block) partition: a running sum over the halo and block rows, no
     join. Otherwise what earlier blocks carry in comes from one per-block
     aggregate and one join of that small table. Either way all terms share
-    one window pass.
+    one window pass. With ``starts`` (of ``carried_sums``; a frame of
+    ``continue_series``) the rows before the first one are carried in, too.
     """
     meta = series_meta(df)
     if meta is None:
@@ -195,7 +235,7 @@ def geometric_columns(df: DataFrame, terms: dict[str, tuple[str, float, int]],
     key, block, halo_rows = meta["key"], meta["block"], meta["halo"]
     idx, blk, halo = F.col(IDX), F.col(BLK), F.col(HALO)
     running = block_window(key).rowsBetween(Window.unboundedPreceding, 0)
-    local = all(geometric_halo(q) <= halo_rows for _, q, _ in terms.values())
+    local = starts is None and all(geometric_halo(q) <= halo_rows for _, q, _ in terms.values())
     # position inside the partition: halo rows first, from 0
     r = idx - blk * block + (halo_rows if local else 0)
     span = block + (halo_rows if local else 0)
@@ -224,6 +264,8 @@ def geometric_columns(df: DataFrame, terms: dict[str, tuple[str, float, int]],
     if ends:
         per_block = (df.where(~halo).groupBy(key, BLK)
                      .agg(*[c.alias(f"_e_{n}") for n, c in ends.items()]))
+        if starts is not None:
+            per_block = per_block.unionByName(starts.select(key, BLK, *[f"_e_{n}" for n in ends]))
         by_block = Window.partitionBy(key).orderBy(BLK)
         carries = []
         for name in ends:

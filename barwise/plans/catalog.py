@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as G
 from ..operators import filters as P
 from ..functions import scalars as X
+from ..operators import corr_blocks as CB
 from ..operators import correlation as C
 from ..operators import indicators as I
 from ..operators.series import finish_series, prepare_series
@@ -24,9 +25,10 @@ from ..sources import bars as B
 from ..sources import derived as D
 from ..sources import ingest as S
 from ..sources import tables as T
-from ..schemas import FALLBACK_SOURCE, RAW_BARS, RUN_LOG
+from ..schemas import FALLBACK_SOURCE, PRICE, RAW_BARS, RUN_LOG
 from ..session import checkpoint_dir, materialize
 from . import enrich as E
+from . import refresh as R
 from . import views as V
 
 QUERIES: dict = {}
@@ -87,6 +89,56 @@ def q_enrich(spark, sf):
     return enriched_walk(spark, sf)
 
 
+@query("brand_enrich")
+def q_brand_enrich(spark, sf):
+    """The flagship over the bars of every brand, prices in whole cents."""
+    def cents(c: str) -> F.Column:
+        return (F.floor(F.col(c) * 100).cast("decimal(12,0)") * F.lit(0.01).cast("decimal(3,2)")).cast(PRICE).alias(c)
+    bars = B.brand_bars(spark, sf).select("symbol", "date", *[cents(c) for c in S.PRICES], "volume")
+    return E.enrich(bars, RUN_TS).drop("horodatage_calcul")
+
+
+def refreshed(spark: SparkSession, batches: list[DataFrame]) -> tuple[DataFrame, list[dict]]:
+    """The enriched table after landing and refreshing one batch after the
+    other, and the runs' counts."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/barwise/refresh-{uuid.uuid4().hex}"
+    counts = []
+    for i, bars in enumerate(batches):
+        loaded = RUN_TS + dt.timedelta(days=i)
+        T.append_raw(S.split_valid(S.stamp_batch(bars, f"BATCH_{i}", "PRIMARY", loaded))[0], f"{base}/raw")
+        counts.append(R.refresh_increment(spark, f"{base}/raw", f"{base}/enriched", f"{base}/state", loaded))
+    return T.serve_enriched(spark, f"{base}/enriched").drop("horodatage_calcul"), counts
+
+
+def _nth_day(bars: DataFrame, n: int) -> F.Column:
+    """The day that ``n`` distinct days follow, or the first one."""
+    days = bars.select("date").distinct().orderBy(F.col("date").desc()).limit(n + 1)
+    return days.select(F.min("date")).scalar()
+
+
+@query("refresh_increment")
+def q_refresh_increment(spark, sf):
+    """Three daily runs: the history, then twice new days with the thirty days
+    before them sent again."""
+    bars = materialize(B.walk_bars(spark, sf), "refresh_bars")
+    cut = [_nth_day(bars, n) for n in (20, 10)]
+    again = [_nth_day(bars, n) for n in (50, 40)]
+    day = F.col("date")
+    return refreshed(spark, [bars.where(day <= cut[0]), bars.where((day > again[0]) & (day <= cut[1])),
+                             bars.where(day > again[1])])[0]
+
+
+@query("refresh_late_day")
+def q_refresh_late_day(spark, sf):
+    """A run without the day 400 days back, then that day (with an earlier
+    close of every second symbol corrected) and a wrong day put right."""
+    bars = materialize(B.walk_bars(spark, sf), "late_bars")
+    day, late, wrong = F.col("date"), _nth_day(bars, 400), _nth_day(bars, 150)
+    first = bars.where(day != late).withColumn(
+        "close", F.when(day == wrong, F.col("close") + 3).otherwise(F.col("close")).cast("decimal(10,4)"))
+    return refreshed(spark, [first, bars.where((day == late) | (day == wrong))])[0]
+
+
 def served_walk(spark: SparkSession, sf: str) -> DataFrame:
     return E.to_served(B.walk_bars(spark, sf))
 
@@ -250,6 +302,89 @@ def q_table_profile(spark, sf):
     return T.table_profile(B.order_bars(spark, sf)).drop("data_type")
 
 
+@query("parse_variant")
+def q_parse_variant(spark, sf):
+    """The days of landed replies, each body parsed once as a variant."""
+    replies = D.replies_from_bars(B.walk_bars(spark, sf))
+    days = S.parse_landed(replies, D.SECOND_BATCH, "PRIMARY").where(F.col("kind") == "day")
+    return days.select("symbol", "date", "open", "high", "low", "close", "volume")
+
+
+@query("reply_outcomes")
+def q_reply_outcomes(spark, sf):
+    """What became of days, quotes, truncated bodies, notices and empty series."""
+    found = S.parse_landed(D.awkward_replies(B.walk_bars(spark, sf)), D.SECOND_BATCH, "PRIMARY")
+    return found.groupBy("kind", F.coalesce("reject_reason", F.lit("OK")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("price").alias("n_prices"))
+
+
+@query("ingest_accounting")
+def q_ingest_accounting(spark, sf):
+    """A run over replies of which every day comes twice, and bad days, lost
+    replies and quotes: every landed row is stored, repeated, older or rejected."""
+    from ..streaming import ingest_batch
+    base = f"{checkpoint_dir(spark).rstrip('/')}/barwise/account-{uuid.uuid4().hex}"
+    bars = materialize(B.walk_bars(spark, sf), "account_bars")
+    replies = D.awkward_replies(bars).unionByName(D.replies_from_bars(bars)).unionByName(D.bad_days(bars))
+    ingest_batch(replies, f"{base}/raw", f"{base}/rejects", f"{base}/log", S.make_batch_id(RUN_TS, "account"),
+                 load_ts=RUN_TS, keep_days=30, accounting_path=f"{base}/accounting")
+    log = spark.read.schema(RUN_LOG).parquet(f"{base}/log").select("batch_id", "status")
+    return spark.read.parquet(f"{base}/accounting").join(log, "batch_id")
+
+
+@query("backup_sink")
+def q_backup_sink(spark, sf):
+    """A batch whose id is stored already fails and is dumped as JSON."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/barwise/backup-{uuid.uuid4().hex}"
+    good = S.split_valid(S.stamp_batch(B.order_bars(spark, sf), "BATCH_A", "PRIMARY", RUN_TS))[0]
+    T.write_with_backup(good.where("date < '1990-01-01'").unionByName(good.limit(1)), f"{base}/raw", f"{base}/dump")
+    try:
+        T.write_with_backup(good, f"{base}/raw", f"{base}/dump")
+    except ValueError:
+        return spark.read.schema(RAW_BARS).json(f"{base}/dump").select(
+            "symbol", "date", F.col("close").cast("double").alias("close"), "volume", "batch_id")
+    raise RuntimeError("a batch id was stored twice")
+
+
+@query("table_lifecycle")
+def q_table_lifecycle(spark, sf):
+    """Create a table, append to it, read it whole, drop it."""
+    name = f"barwise_{uuid.uuid4().hex}"
+    T.create_table(spark, name, RAW_BARS, f"{checkpoint_dir(spark).rstrip('/')}/barwise/{name}", ["batch_id"])
+    good = S.split_valid(S.stamp_batch(B.order_bars(spark, sf), "BATCH_A", "PRIMARY", RUN_TS))[0]
+    T.enforce_key(good).write.mode("append").partitionBy("batch_id").saveAsTable(name)
+    rows = materialize(T.read_table(spark, name), "lifecycle")
+    T.drop_table(spark, name)
+    if spark.catalog.tableExists(name):
+        raise RuntimeError("the table was not dropped")
+    return rows.select("symbol", "date", F.col("close").cast("double").alias("close"), "volume", "batch_id")
+
+
+@query("string_dates")
+def q_string_dates(spark, sf):
+    """Days stored as text come back as dates."""
+    text = spark.read.parquet(stored_path(spark, sf)).withColumn("date_trading", F.col("date_trading").cast("string"))
+    return T.scan_enriched(text).select("symbole", "date_trading", "prix_fermeture")
+
+
+@query("emptiness")
+def q_emptiness(spark, sf):
+    """P10 for each symbol's bars of the latest year and of the year after it."""
+    bars = materialize(served_orders(spark, sf), "emptiness")
+    last = bars.agg(F.max(F.year("date_trading"))).first()[0]
+    rows = [(s, y, P.is_empty(P.filter_symbol(bars, s).where(F.year("date_trading") == y)))
+            for (s,) in P.distinct_symbols(bars).collect() for y in (last, last + 1)]
+    return spark.createDataFrame(rows, "symbole string, annee int, vide boolean")
+
+
+@query("computation_time")
+def q_computation_time(spark, sf):
+    """One time of computation on every row of a run."""
+    return T.serve_enriched(spark, stored_path(spark, sf)).groupBy(
+        F.date_format("horodatage_calcul", "yyyy-MM-dd HH:mm:ss").alias("horodatage")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 # -- P: projections, filters, order ---------------------------------------------------
 @query("lowercase_columns")
 def q_lowercase_columns(spark, sf):
@@ -383,6 +518,24 @@ def q_corr_matrix_brands(spark, sf):
     return C.corr_matrix(E.to_served(B.brand_bars(spark, sf, exact=True)), digits=6, symbols_per_tile=8)
 
 
+@query("corr_window")
+def q_corr_window(spark, sf):
+    """Stored Gram blocks of all but the last days, brought up to date by the
+    days that came and one that was corrected; then two years up to the 40th
+    last day, 6 places."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/barwise/corr-{uuid.uuid4().hex}"
+    bars = materialize(E.to_served(B.brand_bars(spark, sf, exact=True)), "corr_bars")
+    days = [r[0] for r in bars.select("date_trading").distinct().orderBy(F.col("date_trading").desc()).limit(300).collect()]
+    cut, wrong = days[min(20, len(days) - 1)], days[-1]
+    day, close = F.col("date_trading"), F.col("prix_fermeture")
+    first = bars.where(day <= F.lit(cut)).withColumn(
+        "prix_fermeture", F.when(day == F.lit(wrong), close + 5).otherwise(close).cast("decimal(10,4)"))
+    CB.refresh_corr(spark, first, path)
+    CB.refresh_corr(spark, bars, path, bars.where((day > F.lit(cut)) | (day == F.lit(wrong))).select("date_trading"))
+    end = days[min(40, len(days) - 1)]
+    return CB.corr_window(spark, bars, path, end - dt.timedelta(days=730), end, digits=6)
+
+
 # -- I: indicators ----------------------------------------------------------------------
 @query("sma")
 def q_sma(spark, sf):
@@ -467,6 +620,24 @@ def q_macd(spark, sf):
         "symbole", "date_trading", "macd_line", "macd_signal")
 
 
+@query("streamed_macd")
+def q_streamed_macd(spark, sf):
+    """Bars landed in three parts, taken up by a stream that is started anew
+    for each of them from its checkpoint."""
+    from ..streaming.macd import streamed_macd
+    base = f"{checkpoint_dir(spark).rstrip('/')}/barwise/macd-{uuid.uuid4().hex}"
+    bars = materialize(served_walk(spark, sf), "macd_bars")
+    cuts = [_nth_day(bars.withColumnRenamed("date_trading", "date"), n) for n in (300, 50)]
+    day = F.col("date_trading")
+    for part in (day <= cuts[0], (day > cuts[0]) & (day <= cuts[1]), day > cuts[1]):
+        bars.where(part).write.mode("append").parquet(f"{base}/landing")
+        stream = spark.readStream.schema(bars.schema).parquet(f"{base}/landing")
+        (streamed_macd(stream).writeStream.option("checkpointLocation", f"{base}/checkpoint")
+         .trigger(availableNow=True).format("parquet").start(f"{base}/out").awaitTermination())
+    found = spark.read.parquet(f"{base}/out").where(~F.col("late"))
+    return found.select("symbole", "date_trading", "macd_line", "macd_signal", F.col("rsi").alias("rsi_14"))
+
+
 @query("macd_histogram")
 def q_macd_histogram(spark, sf):
     return I.macd_histogram(served(spark, sf).select(
@@ -557,6 +728,18 @@ def q_view_rsi_latest(spark, sf):
     return V.view_rsi_latest(served(spark, sf))
 
 
+@query("view_candlestick_range")
+def q_view_candlestick_range(spark, sf):
+    """The panel for a chosen range of days."""
+    return V.view_candlestick(served(spark, sf), days=("1996-01-01", "1997-12-31"))
+
+
+@query("view_rsi_preset")
+def q_view_rsi_preset(spark, sf):
+    """The panel for a named period."""
+    return V.view_rsi(served(spark, sf, 90), days="3 mois", as_of=T.as_of(spark, stored_path(spark, sf)))
+
+
 @query("view_macd")
 def q_view_macd(spark, sf):
     return V.view_macd(served(spark, sf, 90), days=90, as_of=T.as_of(spark, stored_path(spark, sf)))

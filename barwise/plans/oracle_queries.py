@@ -112,6 +112,35 @@ SELECT 'daily_bars' AS pipeline_name, 'BATCH_20240102_210000_daily' AS batch_id,
        good AS rows_processed, CASE WHEN lost = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS status,
        'Inserted: ' || good || ', Errors: ' || lost || ', Verified: ' || good AS details FROM n""")
 
+SQL["parse_variant"] = SQL["parse_daily"]
+
+# the bars, their number, that of their symbols and of their (symbol, month) replies
+_REPLY_COUNTS = on(WALK_BARS, """, c AS (
+  SELECT count(*) AS n, count(DISTINCT symbol) AS s, count(DISTINCT symbol || strftime(date, '%Y-%m')) AS m FROM bars)
+""")
+SQL["reply_outcomes"] = _REPLY_COUNTS + """
+SELECT 'day' AS kind, 'OK' AS outcome, n, 0 AS n_prices FROM c
+UNION ALL SELECT 'quote', 'OK', s, s FROM c
+UNION ALL SELECT 'lost', 'BAD_JSON', m, 0 FROM c
+UNION ALL SELECT 'lost', 'NO_SERIES', s, 0 FROM c
+UNION ALL SELECT 'lost', 'EMPTY_SERIES', s, 0 FROM c"""
+SQL["ingest_accounting"] = _REPLY_COUNTS + """, k AS (
+  SELECT count(*) AS kept FROM (SELECT * FROM bars
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) <= 30) t)
+SELECT 'BATCH_20240102_210000_account' AS batch_id, 2 * n + m + 2 * s + 4 * s AS landed, kept AS stored,
+       n AS repeated, n - kept AS older, m + 2 * s + 4 * s AS rejected, m + 2 * s AS lost_replies,
+       kept AS verified, 'PARTIAL' AS status FROM c, k"""
+
+_BATCH_A = on(ORDER_BARS, """SELECT symbol, date, CAST(close AS DOUBLE) AS close, volume, 'BATCH_A' AS batch_id
+  FROM bars""")
+SQL["backup_sink"] = SQL["table_lifecycle"] = _BATCH_A
+SQL["string_dates"] = on_enriched("SELECT symbole, date_trading, prix_fermeture FROM enriched")
+SQL["computation_time"] = on_enriched("SELECT '2024-01-02 21:00:00' AS horodatage, count(*) AS n FROM enriched")
+SQL["emptiness"] = on(SO, """, y AS (SELECT max(year(date_trading)) AS last FROM bars)
+SELECT symbole, CAST(y.last + k AS INTEGER) AS annee,
+       count(*) FILTER (WHERE year(date_trading) = y.last + k) = 0 AS vide
+  FROM bars, y, (VALUES (0), (1)) t(k) GROUP BY symbole, y.last, k""")
+
 SQL["enriched_scan"] = on_enriched(f"SELECT {ENRICHED_DATA_COLUMNS} FROM enriched")
 
 _PROFILE_COLS = ["symbol", "date", "open", "high", "low", "close", "volume"]
@@ -231,6 +260,18 @@ SELECT a.symbol AS symbole_a, b.symbol AS symbole_b,
                  / (stddev_samp(a.x) * stddev_samp(b.x)))), 6) + CAST(0 AS DOUBLE) END AS correlation
   FROM daily a JOIN daily b ON a.date = b.date GROUP BY 1, 2"""
 
+SQL["corr_window"] = f"""WITH bars AS ({BRAND_BARS}),
+days AS (SELECT date, row_number() OVER (ORDER BY date DESC) AS k FROM (SELECT DISTINCT date FROM bars) d),
+e AS (SELECT min(date) AS last FROM days WHERE k <= 41 AND k <= 300),
+daily AS (SELECT symbol, date, CAST(close AS DOUBLE)
+                 - avg(CAST(close AS DOUBLE)) OVER (PARTITION BY symbol) AS x
+            FROM bars, e WHERE symbol IS NOT NULL AND close IS NOT NULL AND date BETWEEN e.last - 730 AND e.last)
+SELECT a.symbol AS symbole_a, b.symbol AS symbole_b,
+       CASE WHEN count(*) >= 2 AND max(a.x) > min(a.x) AND max(b.x) > min(b.x)
+            THEN round_even(least(1, greatest(-1, covar_samp(a.x, b.x)
+                 / (stddev_samp(a.x) * stddev_samp(b.x)))), 6) + CAST(0 AS DOUBLE) END AS correlation
+  FROM daily a JOIN daily b ON a.date = b.date GROUP BY 1, 2"""
+
 # -- I ----------------------------------------------------------------------------------
 SQL["sma"] = on_enriched("""
 SELECT symbole, date_trading, moyenne_mobile_20j AS sma_20, moyenne_mobile_50j AS sma_50,
@@ -333,7 +374,24 @@ SELECT symbole, date_trading, round(mid, 6) AS bollinger_middle, round(up, 6) AS
        round(low, 6) AS bollinger_lower,
        round((c - low) / nullif(up - low, 0), 6) + CAST(0 AS DOUBLE) AS bollinger_percent FROM o"""
 
-SQL["enrich_duplicates"] = SQL["enrich"]
+SQL["enrich_duplicates"] = SQL["refresh_increment"] = SQL["refresh_late_day"] = SQL["enrich"]
+SQL["streamed_macd"] = f"""SELECT m.symbole, m.date_trading, m.macd_line, m.macd_signal, w.rsi_14
+  FROM ({SQL["macd"]}) m JOIN ({SQL["rsi_14_wilder"]}) w ON m.symbole = w.symbole AND m.date_trading = w.date_trading"""
+
+
+
+def _cents(c: str, wide: str = "DECIMAL(10,4)") -> str:
+    return f"CAST(CAST(floor({c} * 100) AS DECIMAL(12,0)) * CAST(0.01 AS DECIMAL(3,2)) AS {wide}) AS {c}"
+
+
+CENT_BRAND_BARS = f"""SELECT symbol, date, {_cents('open')}, {_cents('high')}, {_cents('low')},
+       {_cents('close', 'DECIMAL(19,4)')}, volume
+  FROM (SELECT p_brand AS symbol, CAST(l_shipdate AS DATE) AS date, arg_min(x, k) AS open, max(x) AS high,
+               min(x) AS low, arg_max(x, k) AS close, CAST(sum(l_quantity) AS BIGINT) AS volume
+          FROM (SELECT p.p_brand, l.l_shipdate, l.l_quantity, l.l_extendedprice / l.l_quantity AS x,
+                       (l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice) AS k
+                  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey) y GROUP BY 1, 2) t"""
+SQL["brand_enrich"] = on_enriched(f"SELECT {ENRICHED_DATA_COLUMNS} FROM enriched", CENT_BRAND_BARS)
 
 # -- F ----------------------------------------------------------------------------------
 SQL["date_scalars"] = """
@@ -375,6 +433,13 @@ SELECT symbole, date_trading, prix_ouverture, prix_haut, prix_bas, prix_fermetur
 SQL["view_rsi"] = on_enriched(f"""
 SELECT symbole, date_trading, rsi_14, 70 AS limite_haute, 30 AS limite_basse
   FROM enriched WHERE date_trading > {_LATEST_DATE} - 180""")
+SQL["view_candlestick_range"] = on_enriched("""
+SELECT symbole, date_trading, prix_ouverture, prix_haut, prix_bas, prix_fermeture,
+       bollinger_upper, bollinger_middle, bollinger_lower
+  FROM enriched WHERE date_trading BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'""")
+SQL["view_rsi_preset"] = on_enriched(f"""
+SELECT symbole, date_trading, rsi_14, 70 AS limite_haute, 30 AS limite_basse
+  FROM enriched WHERE date_trading > {_LATEST_DATE} - 90""")
 SQL["view_rsi_latest"] = on_enriched("""
 SELECT symbole, date_trading, rsi_14, niveau_rsi FROM enriched
 QUALIFY row_number() OVER (PARTITION BY symbole ORDER BY date_trading DESC) = 1""")

@@ -8,10 +8,13 @@ submitting job owns the session and its configuration, including
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -103,5 +106,38 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/barwise/{label}-{uuid.uuid4().hex}"
+    own = _SCOPE.get()
+    if own is not None:
+        own.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SCOPE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("barwise_scope", default=None)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders that ``materialize`` writes inside are removed at the end,
+    whether the work succeeded or not. For jobs that store their result:
+    frames made inside can't be read any more afterwards."""
+    own: list[str] = []
+    token = _SCOPE.set(own)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for name in own:
+            files, path = _files(spark, name)
+            files.delete(path, True)
+
+
+def _files(spark: SparkSession, name: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def path_exists(spark: SparkSession, name: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    files, path = _files(spark, name)
+    return files.exists(path)

@@ -72,3 +72,30 @@ def quotes_from_bars(bars: DataFrame) -> DataFrame:
     body = F.to_json(F.struct(F.create_map(
         F.lit(QUOTE_PRICE), F.col("close").cast("string")).alias(QUOTE_KEY)))
     return latest.select("symbol", body.alias("body"))
+
+
+def awkward_replies(bars: DataFrame) -> DataFrame:
+    """Landed replies of every kind: the bars' own, each of them once more cut
+    off in the middle, and for each symbol a quote, a rate-limit notice and an
+    empty series."""
+    own = replies_from_bars(bars)
+    symbols = bars.select("symbol").distinct()
+    cut = own.withColumn("body", F.expr("substring(body, 1, length(body) div 2)"))
+    notice = symbols.withColumn("body", F.lit('{"Note": "rate limited"}'))
+    empty = symbols.withColumn("body", F.to_json(F.create_map(F.lit(REPLY_SERIES_KEY), F.create_map())))
+    return own.unionByName(cut).unionByName(quotes_from_bars(bars)).unionByName(notice).unionByName(empty)
+
+
+def bad_days(bars: DataFrame) -> DataFrame:
+    """A reply for each symbol with two days that are no dates, one price that
+    is no number and one day without a volume, all after its last bar's day."""
+    def day(price: F.Column, *more: F.Column) -> F.Column:
+        keys = (REPLY_OPEN, REPLY_HIGH, REPLY_LOW, REPLY_CLOSE)
+        return F.create_map(*[x for k in keys for x in (F.lit(k), price)], *more)
+    price, volume = F.col("close").cast("string"), (F.lit(REPLY_VOLUME), F.lit("1"))
+    last = bars.groupBy("symbol").agg(F.max("date").alias("date"), F.max_by("close", "date").alias("close"))
+    series = F.create_map(
+        F.lit("not a day"), day(price, *volume), F.lit("2024-13-45"), day(price, *volume),
+        F.date_add("date", 1).cast("string"), day(F.lit("x"), *volume),
+        F.date_add("date", 2).cast("string"), day(price))
+    return last.select("symbol", F.to_json(F.create_map(F.lit(REPLY_SERIES_KEY), series)).alias("body"))

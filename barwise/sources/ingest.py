@@ -92,6 +92,49 @@ def lost_replies(df: DataFrame, batch_id: str, source: str) -> DataFrame:
         F.lit("NO_SERIES").alias("reject_reason"), *landed)
 
 
+def parse_landed(df: DataFrame, batch_id: str, source: str) -> DataFrame:
+    """S1, F14 for replies of any kind ``(symbol, body)`` in one parse: one row
+    a day, a quote, or a reply that holds neither.
+
+    The body is parsed once, as a variant; fields are taken from it by path.
+    ``kind`` is ``day`` (columns as ``parse_daily``), ``quote`` (``price``) or
+    ``lost``; ``reject_reason`` of a day is as in ``parse_daily``, of a lost
+    reply ``BAD_JSON`` (no body, truncated, no JSON), ``NO_SERIES`` (an error or
+    rate-limit notice) or ``EMPTY_SERIES``. Every reply gives a row at least.
+    """
+    landed = [c for c in LANDED_COLUMNS if c in df.columns]
+
+    def part(column: str, key: str, kind: str) -> F.Column:
+        return F.try_variant_get(column, f"$['{key}']", kind)
+    whole = df.select("symbol", *landed, F.try_parse_json(F.col("body")).alias("_v"))
+    whole = whole.select("symbol", *landed, F.col("_v").isNull().alias("_bad"),
+                         part("_v", REPLY_SERIES_KEY, "map<string,variant>").alias("_series"),
+                         part("_v", QUOTE_KEY, "map<string,variant>").alias("_quote"))
+    days = whole.select("*", F.explode_outer("_series").alias("_day", "_fields"))
+    keys = {"open": REPLY_OPEN, "high": REPLY_HIGH, "low": REPLY_LOW, "close": REPLY_CLOSE, "volume": REPLY_VOLUME}
+    text = {name: part("_fields", k, "string") for name, k in keys.items()}
+    days = days.select("*", *[t.alias(f"_{name}") for name, t in text.items()])
+    value = {name: _finite(F.col(f"_{name}").try_cast("double")) for name in PRICES}
+    value["volume"] = F.col("_volume").try_cast("bigint")
+    bad, missing = F.lit(False), F.lit(False)
+    for name in keys:
+        bad = bad | (F.col(f"_{name}").isNotNull() & value[name].isNull())
+        missing = missing | F.col(f"_{name}").isNull()
+    day = F.col("_day").try_cast("date")
+    kind = F.when(F.col("_day").isNotNull(), "day").when(
+        F.col("_series").isNull() & F.col("_quote").isNotNull(), "quote").otherwise("lost")
+    reason = (F.when(kind == "quote", F.lit(None).cast("string"))
+              .when(F.col("_bad"), "BAD_JSON").when(F.col("_series").isNull(), "NO_SERIES")
+              .when(F.col("_day").isNull(), "EMPTY_SERIES")
+              .when(day.isNull(), "BAD_DATE").when(bad, "BAD_NUMBER").when(missing, "MISSING_VALUE"))
+    return days.select(
+        "symbol", day.alias("date"), *[value[c].alias(c) for c in PRICES], value["volume"].alias("volume"),
+        F.lit(0.0).alias("dividends"), F.lit(0.0).alias("stock_splits"),
+        F.lit(batch_id).alias("batch_id"), F.lit(source).alias("data_source"),
+        reason.alias("reject_reason"), *landed, kind.alias("kind"),
+        F.try_variant_get(F.element_at("_quote", F.lit(QUOTE_PRICE)), "$", "string").try_cast("double").alias("price"))
+
+
 _QUOTE = T.StructType([T.StructField(
     QUOTE_KEY, T.MapType(T.StringType(), T.StringType()))])
 
@@ -107,11 +150,16 @@ def parse_quote(df: DataFrame) -> DataFrame:
 
 
 def latest_n(df: DataFrame, n: int = 30, key: str = "symbol", date: str = "date") -> DataFrame:
-    """The ``n`` most recent days of every symbol (a per-key top-n:
-    each map task keeps its n newest rows per symbol before the shuffle)."""
+    """The rows of the ``n`` most recent days of every symbol.
+
+    Days are counted, not rows: a day that is given twice takes one place.
+    Rows without a date are no days and are left out (a run rejects them
+    first). A per-key top-n: each map task keeps its n newest days per symbol
+    before the shuffle."""
     from pyspark.sql import Window
     w = Window.partitionBy(key).orderBy(F.col(date).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    return (df.where(F.col(date).isNotNull()).withColumn("_rn", F.dense_rank().over(w))
+            .where(F.col("_rn") <= n).drop("_rn"))
 
 
 def mask_column(df: DataFrame, col: str, keep: int = 2, out: str | None = None) -> DataFrame:
@@ -133,13 +181,15 @@ def stamp_batch(df: DataFrame, batch_id: str, source: str, load_ts: dt.datetime
     return mask_column(out, "api_key_used", keep)
 
 
-def with_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:
-    """The primary rows, or the fallback rows when the primary has none.
+def with_fallback(primary: DataFrame, fallback: DataFrame, usable: F.Column | None = None) -> DataFrame:
+    """The primary rows, and the fallback rows too when the primary has
+    none for which ``usable`` holds (any row at all, if not given).
 
     One plan: the fallback side is guarded by ``NOT EXISTS(primary)``, an
     uncorrelated subquery that stops at the first primary row.
     """
-    return primary.unionByName(fallback.where(~primary.exists()), allowMissingColumns=True)
+    some = primary if usable is None else primary.where(usable)
+    return primary.unionByName(fallback.where(~some.exists()), allowMissingColumns=True)
 
 
 def reject_reason() -> F.Column:

@@ -10,33 +10,65 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import ENRICHED_COLUMNS, RAW_BARS
+from ..schemas import ENRICHED_COLUMNS, RAW_BARS, RUN_LOG
+from ..session import path_exists
 from .ingest import PRICES
 
 CONF_PREFIX = "spark.barwise.source."
 
 
-def append_raw(df: DataFrame, path: str, retry: bool = False) -> None:
+RAW_KEY = ("symbol", "date", "batch_id")
+
+
+def enforce_key(df: DataFrame, key: tuple[str, ...] = RAW_KEY) -> DataFrame:
+    """``df`` with its key enforced while it is computed: a row whose key
+    is null in part, or a key that is given twice, fails the job that writes
+    the frame, and Spark's commit protocol then leaves nothing of it.
+
+    One aggregation by key; rows of a key meet in one task, so copies of one
+    key are counted map-side and never gathered."""
+    others = [c for c in df.columns if c not in key]
+    names = ", ".join(key)
+    whole = F.lit(True)
+    for c in key:
+        whole = whole & F.col(c).isNotNull()
+    found = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_copies"), F.any_value(F.struct(*others)).alias("_row"))
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in key])
+    error = F.raise_error(F.concat(F.lit(f"key ({names}) is null or repeated: "), shown))
+    # the error takes the place of a value of the row, so no plan can leave it out
+    row = F.when(whole & (F.col("_copies") == 1), F.col("_row")).otherwise(error)
+    checked = found.select(*key, row.alias("_row"))
+    return checked.select(*[F.col(c) if c in key else F.col("_row")[c].alias(c) for c in df.columns])
+
+
+def append_raw(df: DataFrame, path: str, retry: bool = False, batch_ids: list[str] | None = None,
+               keyed: bool = True) -> None:
     """Append a batch to the raw table (one partition per batch id).
 
     An id that the table already has is an error, unless ``retry`` says that
-    this is the same batch again: its partition is then replaced.
+    this is the same batch again: its partition is then replaced. ``batch_ids``
+    names the ids of ``df`` if the caller knows them; else they are looked up.
+    The table's key (symbol, date, batch_id) is enforced (S14) unless ``keyed``
+    is off: a null or repeated key fails the append and nothing is written.
     """
     rows = df.select(*[f.name for f in RAW_BARS.fields])
     if retry:
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = (enforce_key(rows) if keyed else rows).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic")
     else:
-        stored = read_or_empty(df.sparkSession, path, RAW_BARS).select("batch_id").distinct()
-        again = rows.select("batch_id").distinct().join(stored, "batch_id", "left_semi")
+        spark = df.sparkSession
+        own = rows.select("batch_id").distinct() if batch_ids is None else spark.createDataFrame(
+            [(b,) for b in batch_ids], "batch_id string")
+        stored = read_or_empty(spark, path, RAW_BARS).select("batch_id").distinct()
+        again = own.join(stored, "batch_id", "left_semi")
         ids = [r[0] for r in again.limit(10).collect()]
         if ids:
             raise ValueError(f"{path} already has the batches {ids} (10 are named at most); a retry must say so")
-        writer = rows.write.mode("append")
+        writer = (enforce_key(rows) if keyed else rows).write.mode("append")
     writer.partitionBy("batch_id").parquet(path)
 
 
@@ -81,11 +113,22 @@ def run_log(good: DataFrame, rejects: DataFrame, verified: DataFrame, batch_id:
     return out
 
 
-def write_with_backup(df: DataFrame, path: str, backup: str, retry: bool = False) -> None:
+def log_row(spark: SparkSession, batch_id: str, inserted: int, errors: int, verified: int,
+            source: str | None, name: str = "daily_bars", logged_at: dt.datetime | None = None) -> DataFrame:
+    """S10 from numbers that a run has gathered; columns and rules as
+    ``run_log``."""
+    status = "SUCCESS" if errors == 0 and inserted == verified else "PARTIAL"
+    details = f"Inserted: {inserted}, Errors: {errors}, Verified: {verified}"
+    return spark.createDataFrame([(name, batch_id, source or "UNKNOWN", inserted, status, details, logged_at)],
+                                 RUN_LOG)
+
+
+def write_with_backup(df: DataFrame, path: str, backup: str, retry: bool = False,
+                      batch_ids: list[str] | None = None) -> None:
     """Write the batch; on failure dump it as JSON to ``backup`` and
     re-raise. If the dump fails too, both errors are raised together."""
     try:
-        append_raw(df, path, retry)
+        append_raw(df, path, retry, batch_ids)
     except Exception as first:
         try:
             df.write.mode("overwrite").json(backup)
@@ -201,18 +244,15 @@ def table_sample(df: DataFrame, order_by: list[str], k: int = 5) -> DataFrame:
     return df.orderBy(*order_by).limit(k)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The table at ``path``, or an empty frame when the path is missing.
 
-    Any other read error is raised."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    Any read error is raised."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
-__all__ = ["PRICES", "append_raw", "verify_batch", "run_log", "write_with_backup",
+__all__ = ["PRICES", "append_raw", "enforce_key", "verify_batch", "run_log", "log_row", "write_with_backup",
            "scan_enriched", "write_enriched", "serve_enriched", "as_of", "enriched_scan", "table_options", "create_table", "read_table", "drop_table",
            "table_profile", "table_sample", "read_or_empty"]
