@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import materialize, table
 
 #: White space that parts words, and characters that count as symbols (fixed by the contract).
-SPACE, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
+SPACE, SYMBOLS = r"\x20\x09-\x0D", "#*$%&|<>"
 #: Least words, and percent of words in repeated windows, of a text that isn't rejected outright.
 MIN_WORDS, MAX_REPEATED = 50, 50
 #: A text is kept from this posterior probability on.
@@ -48,7 +48,7 @@ RULES = [
     ("word_size", "word_chars between 3 * n_words and 9 * n_words", "word_chars < 2 * n_words or word_chars > 14 * n_words"),
     ("longest_word", "longest between 4 and 40", "longest > 100 or longest < 3"),
     ("symbols", "n_symbols <= 0.02 * n_words", "n_symbols > 0.1 * n_words"),
-    ("letters", "n_letters >= 0.9 * word_chars", "n_letters < 0.8 * word_chars"),
+    ("letters", "n_others <= 0.1 * word_chars", "n_others > 0.2 * word_chars"),
     ("real_words", "n_real >= 0.9 * n_words", "n_real < 0.8 * n_words"),
     ("capitals", "n_capitals <= 0.12 * word_chars", "n_capitals > 0.3 * word_chars"),
     ("digits", "n_digits <= 0.05 * word_chars", "n_digits > 0.25 * word_chars"),
@@ -87,8 +87,8 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     text, words = F.col("_text"), F.col("_words")
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     d = d.select("doc_id", "_text",
-                 F.filter(F.split(text, r"[\x20\x09-\x0D]+", -1), lambda w: w != "").alias("_words"),
-                 F.filter(F.split(text, "\n", -1), lambda x: F.translate(x, SPACE, "") != "").alias("_lines"))
+                 F.filter(F.split(text, f"[{SPACE}]+", -1), lambda w: w != "").alias("_words"),
+                 F.filter(F.split(text, "\n", -1), lambda x: x.rlike(f"[^{SPACE}]")).alias("_lines"))
     none = F.array().cast("array<int>")
     at = F.when(F.size(words) >= 3, F.sequence(F.lit(0), F.size(words) - 3)).otherwise(none)
     d = d.select("*", F.transform(at, lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2])).alias("_hashes"))
@@ -98,21 +98,25 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     d = d.select("*", F.sort_array(F.transform(some, lambda i: F.struct(
         hashes[i].alias("h"), words[i].alias("a"), words[i + 1].alias("b"), words[i + 2].alias("c"),
         i.alias("p")))).alias("_sorted"))
+
+    def matches(pattern: str) -> Column:
+        return F.regexp_count(text, F.lit(pattern))
+
     numbers = {
         "n_words": F.size(words),
-        "word_chars": F.length(F.translate(text, SPACE, "")),
-        "n_symbols": F.length(text) - F.length(F.translate(text, SYMBOLS, "")),
+        "word_chars": F.length(F.array_join(words, "")),
+        "n_symbols": matches(f"[{SYMBOLS}]"),
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
         "n_repeat_words": repeat_words(words),
         "n_lines": F.size("_lines"),
         "n_chars": F.length(text),
         "n_bytes": F.octet_length(text),
         "longest": F.coalesce(F.array_max(F.transform(words, F.length)), F.lit(0)),
-        "n_letters": F.regexp_count(text, F.lit(r"\p{L}")),
-        "n_capitals": F.regexp_count(text, F.lit(r"\p{Lu}")),
-        "n_digits": F.regexp_count(text, F.lit("[0-9]")),
-        "n_marks": F.length(text) - F.length(F.translate(text, "!?", "")),
-        "n_stops": F.regexp_count(text, F.lit(r"[.!?。！？](?=[\x20\x09-\x0D\"')]|$)")),
+        "n_others": matches(rf"[^\p{{L}}{SPACE}]"),
+        "n_capitals": matches(r"\p{Lu}"),
+        "n_digits": matches("[0-9]"),
+        "n_marks": matches("[!?]"),
+        "n_stops": matches(rf"[.!?。！？](?=[{SPACE}\"')]|$)"),
         "n_distinct": F.size(F.array_distinct(words)),
         "n_real": F.size(F.filter(words, lambda w: w.rlike(r"\p{L}"))),
         "n_common": F.size(F.filter(words, lambda w: w.isin(COMMON))),
