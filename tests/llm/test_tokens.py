@@ -1,5 +1,6 @@
 """Operators 4 and 5: token ids, packing and token files."""
 
+import functools
 import random
 import zlib
 
@@ -8,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from barwise.llm.packing import CAPACITY, SegmentTree, best_fit_plan, pack, sequences
-from barwise.llm.token_files import read_token_files, write_token_files
+from barwise.llm.token_files import read_documents, read_token_files, write_token_files
 from barwise.llm.tokens import Encoder, encoder
 from tests.llm.cases import awkward, frame
 
@@ -17,27 +18,42 @@ TEXTS = ["it's a \n\n test.  Foo,bar..,  x\t\ty \r\n Éa, été. 'RE 's don't",
          "é. ́a ä,", "ÀÉÎ×÷ÿ, a÷, b.", "\n\n\xa0b", "word  \n", "A.B,C;D"]
 
 
+SPECIAL = ["hello <|endoftext|> world", "<|startoftext|>a<|endoftext|>", "x<|ENDOFTEXT|>y", "a <b> <|endoftext", "<<|endoftext|>>"]
+
+
+def untouched(name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
 @pytest.mark.parametrize("name, spaces", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
 def test_cached_words_give_the_library_s_ids(name, spaces):
-    enc = encoder(name, spaces)
-    for text in TEXTS + [t for _, t, _ in awkward() if t and len(t) < 5000]:
-        assert enc.encode([text])[0] == enc.plain(text), text
+    enc, library = encoder(name, spaces), untouched(name)
+    for text in TEXTS + SPECIAL + [t for _, t, _ in awkward() if t and len(t) < 5000]:
+        assert list(memoryview(enc.encode([text])[0]).cast("I")) == library.encode(text, add_special_tokens=False).ids, text
     assert enc.encode([None, ""]) == [b"", b""]
 
 
+untouched_once = functools.cache(untouched)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("aB é́.,'!\n\t\xa0 sx1 -÷ßİ")), max_size=30))
 def test_cached_words_on_random_texts(text):
     for name, spaces in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
-        enc = encoder(name, spaces)
-        assert enc.encode([text])[0] == enc.plain(text)
+        ids = untouched_once(name).encode(text, add_special_tokens=False).ids
+        assert list(memoryview(encoder(name, spaces).encode([text])[0]).cast("I")) == ids
 
 
-def test_small_cache_is_right():
+@pytest.mark.parametrize("name, spaces", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_small_cache_and_small_chunks_are_right(name, spaces):
     import public_tokenizers
-    enc = Encoder(public_tokenizers.path("byte_bpe_50k.json"), True, cache_words=3)
-    text = "one two three four one two three four five"
-    assert enc.encode([text])[0] == enc.plain(text)
+    library, texts = untouched(name), ["one two three four one two  three four five\n", " ", "a\n", "\n b"] + TEXTS
+    for cache, chunk in ((3, 1 << 20), (3, 1), (100, 7), (100, 40)):
+        enc = Encoder(public_tokenizers.path(name), spaces, cache, chunk)
+        got = [list(memoryview(x).cast("I")) for x in enc.encode(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts], (cache, chunk)
 
 
 def plain_best_fit(lengths, capacity):
@@ -134,6 +150,36 @@ def test_token_files_round_trip(spark, tmp_path, encoding):
     assert column.has_offset_index
 
 
+def test_chosen_documents_touch_their_own_pages(spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    rows = [(i, f"document {i} " + "word " * (i % 50), None) for i in range(6000)]
+    write_token_files(frame(spark, rows), path, page_bytes=4096, page_rows=100)
+    wanted = [17, 3000, 5999]
+    found = read_documents(spark, path, wanted)
+    got = {r.doc_id: r.ids for r in found.collect()}
+    library = untouched("byte_bpe_50k.json")
+    assert got == {i: library.encode(rows[i][1], add_special_tokens=False).ids + [0] for i in wanted}
+    plan = found._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if hasattr(plan, "finalPhysicalPlan") and "Adaptive" in plan.nodeName() else plan
+    read = plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+    assert 3 <= read <= 1000  # of 6,000: pages, not files or row groups
+
+
+def test_files_go_by_number_not_by_name(spark, tmp_path):
+    """More files than five digits count: part-100000 comes after part-10001."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    path = tmp_path / "many"
+    path.mkdir()
+    numbers = [0, 9, 10001, 99999, 100000, 100001]
+    for k, n in enumerate(numbers):
+        table = pa.table({"doc_id": pa.array([k], pa.int64()), "n_tokens": pa.array([k + 1], pa.int64()),
+                          "ids": pa.array([[7] * (k + 1)], pa.list_(pa.int32()))})
+        pq.write_table(table, path / f"part-{n:05d}-x.parquet")
+    got = sorted((r.doc_id, r.start, r.n_tokens) for r in read_token_files(spark, str(path)).collect())
+    assert got == [(k, k * (k + 1) // 2, k + 1) for k in range(len(numbers))]
+
+
 def test_empty_tables(spark, tmp_path):
     assert pack(frame(spark, [])).collect() == []
     path = str(tmp_path / "none")
