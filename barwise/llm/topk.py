@@ -4,7 +4,8 @@ Queries go out in waves of bounded size. Each task multiplies a wave with
 its part of the vectors, tile by tile, keeps a tile's highest scores by
 partial selection, and folds them into its running lists. The lists of all
 tasks are merged in two levels: by query and branch, then by query. So what
-is shuffled is k rows a query and task, never scores of all pairs.
+is shuffled is k rows a query and task, never scores of all pairs. A wave's
+lists are written and its broadcast destroyed before the next is collected.
 """
 
 from __future__ import annotations
@@ -13,10 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ship_package, table
+from .common import materialize, ship_package, table
 
 K, QUERY_MOD, SCALE = 5, 50, 256
 #: Numbers in one wave of queries (8 bytes each), rows of a tile, branches of the merge.
@@ -42,65 +43,60 @@ def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
                      for row in q], np.int64)
 
 
-def select(row: np.ndarray, score: np.ndarray, vec_id: np.ndarray, k: int):
-    """Of triples, the k best of each row: higher score, then smaller id; an
-    id counts once, with its best score."""
-    order = np.lexsort((vec_id, -score, row))
-    row, score, vec_id = row[order], score[order], vec_id[order]
-    again = np.lexsort((np.arange(len(row)), vec_id, row))  # first of each (row, id)
+def select(row: np.ndarray, score: np.ndarray, vec_id: np.ndarray, key: np.ndarray, k: int):
+    """The k best of each row: higher score, then smaller id, then smaller
+    key; a key counts once, with its best score."""
+    order = np.lexsort((key, vec_id, -score, row))
+    row, score, vec_id, key = row[order], score[order], vec_id[order], key[order]
+    again = np.lexsort((np.arange(len(row)), key, row))  # first of each (row, key)
     first = np.zeros(len(row), bool)
-    a, b = row[again], vec_id[again]
+    a, b = row[again], key[again]
     first[again] = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[:len(row)]
-    row, score, vec_id = row[first], score[first], vec_id[first]
-    begin = np.searchsorted(row, row)
-    keep = np.arange(len(row)) - begin < k
-    return row[keep], score[keep], vec_id[keep]
+    row, score, vec_id, key = row[first], score[first], vec_id[first], key[first]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[keep], score[keep], vec_id[keep], key[keep]
 
 
-def tile_best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int):
-    """The best of one tile for each query."""
+def tile_best(own: np.ndarray, q: np.ndarray, keys: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int):
+    """The best of one tile for each query (but the rows whose key is its own)."""
     scores = products(q, c)
-    scores[q_ids[:, None] == ids[None, :]] = np.iinfo(np.int64).min  # not itself
-    repeats = len(ids) - len(np.unique(ids))
-    n = k + 1 + repeats  # repeats of an id must not push others out
+    scores[own[:, None] == keys[None, :]] = np.iinfo(np.int64).min  # not itself
+    repeats = len(keys) - len(np.unique(keys))
+    n = k + 1 + repeats  # repeats of a key must not push others out
     if scores.shape[1] > n:
         least = np.partition(scores, scores.shape[1] - n, axis=1)[:, -n][:, None]
         row, col = np.nonzero(scores >= least)
     else:
         row, col = np.nonzero(np.ones(scores.shape, bool))
-    s, v = scores[row, col], ids[col]
+    s, v, key = scores[row, col], ids[col], keys[col]
     ok = s != np.iinfo(np.int64).min
-    return select(row[ok], s[ok], v[ok], k)
+    return select(row[ok], s[ok], v[ok], key[ok], k)
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding",
-          scale: int = SCALE, wave_numbers: int = WAVE_NUMBERS, tile: int = TILE) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k rows of ``vectors`` with the
-    highest integer inner product for each row of ``queries``, but the
-    query's own id; ties go to the smaller id.
+def _valid(df: DataFrame, id_col: str, vec_col: str, *more) -> DataFrame:
+    df = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"), *more)
+    bad = F.exists("v", lambda x: F.coalesce(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(True)))
+    return df.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & ~bad)
 
-    Vectors that are null or empty or hold null, NaN or infinite components,
-    and rows without an id, take no part. Vectors of another length than the
-    query's are no candidates. An id given more than once counts once, by its
-    best score. Fewer than k candidates give fewer rows.
-    """
-    spark = vectors.sparkSession
-    ship_package(spark)
 
-    def valid(df: DataFrame) -> DataFrame:
-        df = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
-        bad = F.exists("v", lambda x: F.coalesce(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(True)))
-        return df.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & ~bad)
-
-    rows, asked = valid(vectors), valid(queries)
+def _search(rows: DataFrame, asked: DataFrame, by_id: bool, k: int, scale: int, wave_numbers: int,
+            tile: int) -> DataFrame:
+    """(query_id, rank, vec_id, score): the best of ``rows`` (vec_id, key, v)
+    for each of ``asked`` (vec_id, key, v) but the rows of its key; ``by_id``:
+    queries of one id have one list."""
+    spark = rows.sparkSession
     numbers = asked.agg(F.sum(F.size("v"))).first()[0] or 0
     waves = max(1, -(-numbers // wave_numbers))
+    order = [F.desc("score"), F.asc("vec_id"), F.asc("key")]
+    branch = Window.partitionBy("query", "branch").orderBy(*order)
+    last = Window.partitionBy("query").orderBy(*order)
     out = None
     for w in range(waves):
         wave = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(waves)) == w).toPandas()  # bounded by the wave
+        wave["query"] = pd.factorize(wave["vec_id"])[0] if by_id else np.arange(len(wave))
         by_size = {}
         for size, g in wave.groupby(wave["v"].map(len)):
-            by_size[size] = (g["vec_id"].to_numpy(), quantise(list(g["v"]), scale))
+            by_size[size] = (g["query"].to_numpy(), g["key"].to_numpy(), quantise(list(g["v"]), scale))
         held = spark.sparkContext.broadcast(by_size)
 
         def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
@@ -109,47 +105,77 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
                 for size, g in pdf.groupby(pdf["v"].map(len)):
                     if size not in held.value:
                         continue
-                    q_ids, q = held.value[size]
+                    _, own, q = held.value[size]
                     for at in range(0, len(g), tile):
                         part = g.iloc[at:at + tile]
-                        c, ids = quantise(list(part["v"]), scale), part["vec_id"].to_numpy()
+                        c = quantise(list(part["v"]), scale)
+                        keys, ids = part["key"].to_numpy(), part["vec_id"].to_numpy()
                         for b in range(0, len(q), 1024):
-                            new = tile_best(q_ids[b:b + 1024], q[b:b + 1024], ids, c, k)
+                            new = tile_best(own[b:b + 1024], q[b:b + 1024], keys, ids, c, k)
                             old = best.get((size, b))
                             best[size, b] = new if old is None else select(
                                 *(np.concatenate(x) for x in zip(old, new)), k)
-            for (size, b), (row, score, vec_id) in best.items():
-                yield pd.DataFrame({"query_id": held.value[size][0][b:b + 1024][row], "vec_id": vec_id, "score": score})
-
-        part = rows.mapInPandas(run, "query_id long, vec_id long, score long")
-        out = part if out is None else out.unionByName(part)
-    order = [F.desc("score"), F.asc("vec_id")]
-    branch = Window.partitionBy("query_id", "branch").orderBy(*order)
-    # a branch holds all rows of an id, so that ids repeated across tasks meet
-    out = out.withColumn("branch", F.pmod("vec_id", F.lit(BRANCHES)))
-    out = out.groupBy("query_id", "branch", "vec_id").agg(F.max("score").alias("score"))
-    out = out.withColumn("k", F.row_number().over(branch)).where(F.col("k") <= k)
-    last = Window.partitionBy("query_id").orderBy(*order)
-    return (out.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            for (size, b), (row, score, vec_id, key) in best.items():
+                yield pd.DataFrame({"query": held.value[size][0][b:b + 1024][row], "vec_id": vec_id, "key": key,
+                                    "score": score})
+
+        found = rows.mapInPandas(run, "query long, vec_id long, key long, score long")
+        # a branch holds all rows of a key, so that keys repeated across tasks meet
+        found = found.withColumn("branch", F.pmod("key", F.lit(BRANCHES)))
+        found = found.groupBy("query", "branch", "vec_id", "key").agg(F.max("score").alias("score"))
+        found = found.withColumn("k", F.row_number().over(branch)).where(F.col("k") <= k)
+        found = found.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k)
+        named = spark.createDataFrame(wave[["query", "vec_id"]].drop_duplicates(), "query long, query_id long")
+        found = materialize(found.join(named, "query").select("query_id", "rank", "vec_id", "score"), "top_lists")
+        held.destroy()
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding",
+          scale: int = SCALE, wave_numbers: int = WAVE_NUMBERS, tile: int = TILE) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k rows of ``vectors`` with the
+    highest integer inner product for each row of ``queries``, but the
+    query's own id; ties go to the smaller id.
+
+    Vectors that are null or empty or hold null, NaN or infinite components,
+    and rows without an id, take no part. Vectors of another length than the
+    query's are no candidates. An id given more than once counts once, by its
+    best score. Fewer than k candidates give fewer rows.
+    """
+    ship_package(vectors.sparkSession)
+    key = F.col(id_col).cast("long").alias("key")
+    return _search(_valid(vectors, id_col, vec_col, key), _valid(queries, id_col, vec_col, key), True, k, scale,
+                   wave_numbers, tile)
+
+
+def top_k_rows(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding",
+               scale: int = SCALE, wave_numbers: int = WAVE_NUMBERS, tile: int = TILE) -> DataFrame:
+    """``top_k`` within one table: the queries are the rows where ``is_query``
+    holds, and every row but the query's own is a candidate. Rows that repeat
+    an id are rows of their own, as candidates and as queries."""
+    ship_package(vectors.sparkSession)
+    flag = F.coalesce(is_query, F.lit(False)).alias("asked")
+    rows = materialize(_valid(vectors, id_col, vec_col, flag).withColumn("key", F.monotonically_increasing_id()),
+                       "top_rows")
+    return _search(rows.drop("asked"), rows.where("asked").drop("asked"), False, k, scale, wave_numbers, tile)
 
 
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = table(spark, sf_dir, "embeddings")
-    return top_k(vectors, vectors.where(F.col("vec_id") % QUERY_MOD == 0))
+    return top_k_rows(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_MOD == 0)
 
 
 OP9_SQL = """
 WITH v AS (
-  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
 p AS (
-  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+  SELECT a.r AS query, a.vec_id AS query_id, b.vec_id AS vec_id,
          CAST(list_sum([a.q[i] * b.q[i] FOR i IN range(1, len(a.q) + 1)]) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+  FROM v a JOIN v b ON a.r <> b.r AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
 r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM p)
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS k FROM p)
 SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 5
 """

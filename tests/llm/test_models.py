@@ -4,6 +4,8 @@ import math
 import random
 
 import numpy as np
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +117,17 @@ def test_search_against_all_pairs(spark, wave_numbers, tile):
     got = topk.top_k(df, df.where("vec_id % 5 = 0"), wave_numbers=wave_numbers, tile=tile)
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) \
         == sorted(plain_top(vectors, lambda i: i % 5 == 0))
+    # within one table every row stands for itself, also if it repeats an id
+    con = duckdb.connect()
+    con.register("embeddings", pa.table({"vec_id": pa.array([i for i, _ in vectors], pa.int64()),
+                                         "embedding": pa.array([v for _, v in vectors], pa.list_(pa.float64()))}))
+    rows = topk.top_k_rows(df, F.col("vec_id") % 50 == 0, wave_numbers=wave_numbers, tile=tile)
+    own = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in rows.collect())
+    assert own == sorted(con.execute(topk.OP9_SQL).fetchall())
+    twice = [(50, [0.5] * 4), (50, [0.25] * 4), (1, [0.5] * 4)]
+    both = topk.top_k_rows(spark.createDataFrame(twice, "vec_id long, embedding array<double>"), F.col("vec_id") == 50)
+    assert sorted((r["rank"], r.vec_id, r.score) for r in both.collect()) == sorted(
+        [(1, 1, 65536), (2, 50, 32768), (1, 1, 32768), (2, 50, 32768)])
 
 
 def test_search_with_huge_components(spark):
