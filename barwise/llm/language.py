@@ -92,6 +92,10 @@ class Centroids:
         return langs, scores, far
 
 
+#: Rows of the sample that are broadcast at most (16 bytes each and the language's name).
+SENT_ROWS = 200_000
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           sample: int = SAMPLE, clusters: int = CLUSTERS) -> Centroids:
     """Fit on the rows of ``docs`` with a language and a letter. The model
@@ -106,8 +110,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     sizes = ids.groupBy("lang").agg(F.count("*").alias("n"))
     low = ids.join(sizes, "lang").where(F.col("u").cast("double") * F.col("n") < 2.0 * sample * (1 << 40))
     first = Window.partitionBy("lang").orderBy("u", "doc_id")
-    picked = (low.withColumn("k", F.row_number().over(first))
-              .where(F.col("k") <= sample).select("doc_id", "lang"))
+    picked = materialize(low.withColumn("k", F.row_number().over(first))
+                         .where(F.col("k") <= sample).select("doc_id", "lang"), "language_sample")
+    # a few hundred rows a language: sent to the texts, unless there are very many languages
+    chosen = F.broadcast(picked) if picked.count() <= SENT_ROWS else picked
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, n = np.zeros(DIMS, np.int64), 0
@@ -130,7 +136,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang": pdf["lang"],
                                 "v": [vector(t, held.value).astype(np.float16).tobytes() for t in pdf["text"]]})
 
-    rows = (docs.join(picked, ["doc_id", "lang"], "left_semi")
+    rows = (docs.join(chosen, ["doc_id", "lang"], "left_semi")
             .mapInPandas(vectors, "doc_id long, lang string, v binary").dropDuplicates(["doc_id", "lang", "v"]))
 
     def centroids(pdf: pd.DataFrame) -> pd.DataFrame:
