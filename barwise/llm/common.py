@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ U64 = np.uint64
 # any odd 64-bit constant serves as the base of the rolling hash
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
+# longest span that is hashed by the polynomial alone
+_ROLLED = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,7 +82,9 @@ def span_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
 
     A rolling polynomial over the bytes: prefix sums, then one difference a
     span, brought to position 0 by the inverse power. Equal bytes give equal
-    hashes wherever they stand.
+    hashes wherever they stand. Spans of more than ``_ROLLED`` bytes are
+    hashed one by one: there are unlike byte strings of 1,024 bytes and more
+    whose polynomials agree modulo 2^64 for every base.
     """
     if not len(starts):
         return np.empty(0, U64)
@@ -88,7 +93,10 @@ def span_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     codes = _POWERS.byte[np.frombuffer(data, np.uint8)]
     np.cumsum(codes * up[:len(data)], out=sums[1:])
     h = (sums[ends] - sums[starts]) * down[starts]
-    return mix64(h + (ends - starts).astype(U64))
+    h = mix64(h + (ends - starts).astype(U64))
+    for i in np.flatnonzero(ends - starts > _ROLLED):
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]])
+    return h
 
 
 #: ASCII bytes that are no part of a word become spaces; bytes from 0x80 stay.

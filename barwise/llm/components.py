@@ -1,7 +1,7 @@
 """Connected components by alternating large and small stars.
 
-Every step is a group-by with a map-side minimum and an equi-join; nothing
-is collected but two numbers that tell whether the edges still change.
+Every step is a group-by with a map-side minimum and an equi-join; rounds end
+when one leaves every edge as it was. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (two integer columns a, b).
 
     ``root`` is the smallest node that can be reached; roots themselves are
@@ -40,11 +40,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = (edges.where("a <> b")
          .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     e = materialize(e, "cc")
-    seen = None
-    for _ in range(max_rounds):
-        state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1000003)).first()
-        if not state[0] or state == seen:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = state
-        e = materialize(_stars(_stars(e, True), False), "cc")
-    raise RuntimeError(f"components did not settle within {max_rounds} rounds")
+    while True:
+        new = materialize(_stars(_stars(e, True), False), "cc")
+        # both are sets: equal if neither has an edge that the other has not
+        if new.join(e, ["u", "v"], "left_anti").isEmpty() and e.join(new, ["u", "v"], "left_anti").isEmpty():
+            return new.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        e = new

@@ -395,4 +395,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicate_rows(table(spark, sf_dir, "documents"))
+    """``kept`` is doc_id = component_id, for all rows of that id;
+    ``kept_row`` marks one row of the component."""
+    found = near_duplicate_rows(table(spark, sf_dir, "documents"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("kept"))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), F.col("kept").alias("kept_row"))
