@@ -9,7 +9,8 @@ without one last; rows of one id in the order of a key that each row gets.
 A run from a sentence on is the shortest with ``sentences`` sentences and
 ``least_words`` words, or with ``many_words`` words, whichever ends first:
 so short lines that any two texts may share don't count, and a long passage
-counts also where it has few full stops.
+counts also where it has few full stops. In scripts that are written without
+spaces two characters count as a word.
 
 Within a row, repeats are settled on the spot, so the aggregation sees a run
 once a row, as (hash, id, key), and combines before it shuffles. Repeats go back
@@ -30,7 +31,9 @@ from pyspark.sql import functions as F
 from .common import keyed, materialize, ship_package, span_hashes, table
 
 SENTENCES, LEAST_WORDS, MANY_WORDS = 2, 20, 40
-_GAP = re.compile(r"\s*\n\s*|(?<=[.!?])\s+")
+_GAP = re.compile(r"\s*\n\s*|(?:(?<=[.!?])|(?<=[.!?][\"')\]»”’]))\s+|(?<=[。！？｡।॥።။។])\s*(?=\S)")
+# characters of scripts that are written without spaces: two make up a word
+_DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
 _LAST = (1 << 63) - 1
 
 
@@ -42,8 +45,9 @@ def _order(own: str, key: str):
 
 
 def sentences(text: str | None) -> list[tuple[int, int]]:
-    """(start, end) of the sentences: parted by line breaks and by white
-    space after a full stop, exclamation or question mark."""
+    """(start, end) of the sentences: parted by line breaks, by white space
+    after a full stop, exclamation or question mark (and a closing quote or
+    bracket), and after other scripts' full stops."""
     out, at = [], 0
     for m in _GAP.finditer(text or ""):
         if m.start() > at:
@@ -59,6 +63,8 @@ def runs(text: str | None, spans: list[tuple[int, int]], count: int, least: int,
     (A-Z) and the amount of white space make no difference."""
     words = [text[s:e].encode("utf-8", "surrogatepass").lower().split() for s, e in spans]
     n = np.cumsum([0, *map(len, words)])
+    if text and not text.isascii():
+        n = n + np.cumsum([0, *[len(_DENSE.findall(text, s, e)) // 2 for s, e in spans]])
     parts = [b" ".join(w) for w in words]
     data = b"\n".join(parts)
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from barwise.llm.components import connected_components
-from barwise.llm.minhash import (BITS, PERMS, drop_near_duplicate_rows, drop_near_duplicates, estimate, minima,
+from barwise.llm.minhash import (BITS, PERMS, op3_minhash, drop_near_duplicate_rows, drop_near_duplicates, estimate, minima,
                                  near_duplicate_rows, near_duplicates, pack, shingles)
 from barwise.llm.substring import LEAST_WORDS, MANY_WORDS, SENTENCES, dedup_substrings, runs, sentences
 from tests.llm.cases import awkward, frame, prose
@@ -189,3 +189,43 @@ def test_long_sentence_counts_alone_and_short_lines_do_not(spark):
     got = {r.doc_id: r for r in dedup_substrings(frame(spark, rows)).collect()}
     assert got[1].n_removed == 0 and got[2].text == "Other text here."
     assert got[3].n_removed == got[4].n_removed == 0
+
+
+def test_texts_without_spaces_and_quoted_stops(spark):
+    rng = random.Random(8)
+    line = "".join(chr(0x4E00 + rng.randrange(3000)) + ("。" if i % 24 == 23 else "") for i in range(480))
+    quoted = [f'{prose(12, 60 + k)[:-1]}."' for k in range(4)]
+    rows = [(1, line, "zh"), (2, line, "zh"), (3, " ".join(quoted), None),
+            (4, " ".join([prose(12, 90) + '"', *quoted[1:]]), None)]
+    got = {r.doc_id: r for r in dedup_substrings(frame(spark, rows)).collect()}
+    assert got[1].text == line and got[2].text == "" and got[2].n_removed == 20
+    # a quoted stop ends a sentence; the last one alone makes no run
+    assert got[3].n_removed == 0 and got[4].n_removed == 5 and got[4].n_sentences == 8
+
+
+def mirror(n, a="a", b="b"):
+    """The a/b sequence whose polynomial hash modulo 2^64 equals its mirror's."""
+    out = a
+    while len(out) < n:
+        out += out.translate(str.maketrans({a: b, b: a}))
+    return out
+
+
+def test_texts_that_polynomials_mistake_for_one_another(spark):
+    x, y = mirror(1024), mirror(1024, "b", "a")
+    assert shingles(x)[0] != shingles(y)[0]
+    rows = [(1, x, None), (2, y, None)]
+    found = near_duplicates(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 2)}
+    more = " ".join(f"w{i}" for i in range(25))  # one sentence of 26 words: one run
+    long = [(i, f"{t} {more}.", None) for i, t, _ in rows]
+    assert all(r.n_removed == 0 for r in dedup_substrings(frame(spark, long), many_words=26).collect())
+    same = [(1, long[0][1], None), (2, long[0][1], None)]
+    assert sum(r.n_removed for r in dedup_substrings(frame(spark, same), many_words=26).collect()) == 1
+
+
+def test_kept_is_by_id_in_the_query(spark, tmp_path):
+    frame(spark, [(7, prose(60, 1), None), (7, prose(60, 1), None), (9, prose(60, 1), None),
+                  (None, prose(60, 1), None), (None, prose(60, 2), None)]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in op3_minhash(spark, str(tmp_path)).collect()), key=repr)
+    assert got == sorted([(7, 7, True), (7, 7, True), (9, 7, False), (None, 7, False), (None, None, True)], key=repr)
