@@ -86,13 +86,28 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
+_AFTER = re.compile(r"\s*(\S*)")
+
+
+def words_before(text: str, at: int, n: int = 2) -> list[str]:
+    """The last ``n`` words (or their parts) before a place, lower-cased,
+    however long they are and however far away."""
+    reach = 64
+    while True:
+        part = text[max(0, at - reach):at]
+        words = part.rsplit(None, n)
+        # a word that begins where the part does may begin earlier
+        if reach >= at or len(words) > n:
+            return [w.lower() for w in words[-n:]]
+        reach *= 2
+
+
 def _contexts(text: str, start: int, end: int) -> list[str]:
     """Lexical patterns of a place: the two words before it, and the word on
     either side; digits in them are alike."""
-    left = text[max(0, start - 60):start].lower().split()[-2:]
-    right = text[end:end + 40].lower().split()[:1]
-    left = [_DIGIT.sub("0", w) for w in left]
-    right = [_DIGIT.sub("0", w) for w in right]
+    left = [_DIGIT.sub("0", w) for w in words_before(text, start)]
+    after = _AFTER.match(text, end)
+    right = [_DIGIT.sub("0", after.group(1).lower())] if after.group(1) else []
     out = []
     if len(left) == 2:
         out.append(f"{left[0]} {left[1]} _")
@@ -159,8 +174,10 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS, support: float = SUPPORT,
         best = Window.partitionBy("value").orderBy(F.desc("score"), "kind")
         last, new = new, materialize(
             votes.withColumn("k", F.row_number().over(best)).where("k = 1").drop("k"), "found")
-        if new.isEmpty() or (last is not None and new.count() == last.count()):
-            break
+        named = ["value", "kind"]
+        if new.isEmpty() or (last is not None and new.join(last, named, "left_anti").isEmpty()
+                             and last.join(new, named, "left_anti").isEmpty()):
+            break  # the same instances as the round before
         known = seeds.unionByName(new.select("value", "kind", "score"))
     return new.select("value", "kind", "score")
 

@@ -53,6 +53,19 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert all("[PHONE]" in texts[i][0] and "555 " not in texts[i][0] for i in range(500, 512))
 
 
+def test_contexts_are_whole_words_at_any_distance(spark):
+    assert pii.words_before("one  two" + " " * 500, 508) == ["one", "two"]
+    assert pii.words_before("a " + "x" * 300 + " b 5", 304) == ["x" * 300, "b"]
+    assert pii.words_before("  One", 5) == ["one"] and pii.words_before("", 0) == []
+    rng = random.Random(2)
+    for gap in (" ", " " * 70, "\n" + " " * 300):
+        rows = [(500 + i, f"{prose(5, i)} please call number{gap}+1 555 {rng.randrange(10 ** 6, 10 ** 7)} today {prose(4, i)}",
+                 None) for i in range(12)]
+        rows.append((100, f"Now please call number{gap}5551234567 today again.", None))
+        by_id = {r.doc_id: r for r in pii.find_pii(frame(spark, rows)).collect()}
+        assert [x.kind for x in by_id[100].found] == ["phone"], gap
+
+
 def test_discovered_spans_go_to_their_own_row(spark):
     rng = random.Random(2)
     rows = [(500 + i, f"{prose(5, i)} please call number +1 555 {rng.randrange(10 ** 6, 10 ** 7)} today {prose(4, i + 50)}", None)
