@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, ship_package, table
-from .tokens import encoder
+from .tokens import by_size, encoder
 
 CAPACITY, END_ID = 2048, 0
 VOCABULARY = "word_bpe_49k.json"
+#: Pieces of one length that are numbered together, parts that are added up together.
+PART_PIECES, BLOCK_PARTS = 500, 1024
 
 
 class SegmentTree:
@@ -108,7 +110,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(vocabulary, spaces)
         end = np.uint32(end_id).astype("<u4").tobytes()
-        for pdf in (b.iloc[i:i + 500] for b in batches for i in range(0, len(b), 500)):  # bounds the ids held
+        for pdf in (b.iloc[i:j] for b in batches for i, j in by_size(b["text"].str.len().fillna(0).tolist())):
             rows = []
             for doc_id, ids in zip(pdf["doc_id"], enc.encode(list(pdf["text"]))):
                 ids += end
@@ -138,17 +140,27 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     ship_package(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     cut = materialize(pieces(docs, vocabulary, capacity, end_id, spaces, with_ids), "pieces")
-    cut = cut.select("*", F.xxhash64("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
-    # number the pieces of each length: files in any order, rows in order; the
-    # counts by file give each file its first number
-    by_file = materialize(cut.groupBy("length", "file").agg(F.count("*").alias("n")), "lengths")
-    counts = {r[0]: r[1] for r in by_file.groupBy("length").agg(F.sum("n")).collect()}  # capacity rows at most
-    before = Window.partitionBy("length").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    by_file = by_file.select("length", "file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    rank = Window.partitionBy("file", "length").orderBy("row")
-    numbered = (cut.withColumn("k", F.row_number().over(rank) - 1)
-                .join(by_file, ["length", "file"])
-                .withColumn("k", F.col("k") + F.col("before")).drop("file", "row", "before"))
+    counts = {r[0]: r[1] for r in cut.groupBy("length").agg(F.count(F.lit(1))).collect()}  # capacity rows at most
+    # number the pieces of each length: dealt by hash over parts of about
+    # PART_PIECES, rows in any order; the parts' counts give each its first number
+    parts = spark.createDataFrame([(n, -(-c // PART_PIECES)) for n, c in counts.items()], "length long, parts long")
+    key = F.xxhash64("_metadata.file_name", "_metadata.row_index")
+    dealt = (cut.withColumn("key", key).join(F.broadcast(parts), "length")  # capacity rows at most
+             .withColumn("part", F.pmod(F.col("key"), F.col("parts"))))
+
+    def earlier(window):
+        return F.coalesce(F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    sizes = dealt.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "block", F.floor(F.col("part") / BLOCK_PARTS))
+    blocks = sizes.groupBy("length", "block").agg(F.sum("n").alias("n")).select(
+        "length", "block", earlier(Window.partitionBy("length").orderBy("block")).alias("blocks"))
+    first = (sizes.withColumn("within", earlier(Window.partitionBy("length", "block").orderBy("part")))
+             .join(blocks, ["length", "block"])
+             .select("length", "part", (F.col("blocks") + F.col("within")).alias("before")))
+    rank = Window.partitionBy("length", "part").orderBy("key")
+    numbered = (dealt.withColumn("k", F.row_number().over(rank) - 1).join(first, ["length", "part"])
+                .withColumn("k", F.col("k") + F.col("before")))
     plan = best_fit_plan(counts, capacity)
     plan = spark.sparkContext.broadcast({n: g.drop(columns="length").to_numpy() for n, g in plan.groupby("length")})
 
