@@ -61,10 +61,18 @@ def enriched_walk(spark: SparkSession, sf: str) -> DataFrame:
 _STORED: dict = {}
 
 
+def _files_of(spark: SparkSession, sf: str) -> tuple:
+    """Names, sizes and times of the files that bars are made of."""
+    meta = [F.col(f"_metadata.{c}") for c in ("file_path", "file_size", "file_modification_time")]
+    return tuple(sorted(tuple(map(str, r)) for name in ("orders", "customer")
+                        for r in B.table(spark, sf, name).select(*meta).distinct().collect()))
+
+
 def stored_path(spark: SparkSession, sf: str) -> str:
     """The stored enriched table (by year) of a data folder: written once per
-    application, as the daily job does, then read by every view."""
-    key = (spark.sparkContext.applicationId, sf)
+    application and state of its files, as the daily job does, then read by
+    every view."""
+    key = (spark.sparkContext.applicationId, sf, _files_of(spark, sf))
     if key not in _STORED:
         path = f"{checkpoint_dir(spark).rstrip('/')}/barwise/enriched-{uuid.uuid4().hex}"
         T.write_enriched(E.enrich(B.walk_bars(spark, sf), RUN_TS), path)
@@ -77,6 +85,21 @@ def served(spark: SparkSession, sf: str, days: int | None = None) -> DataFrame:
     return T.serve_enriched(spark, stored_path(spark, sf), days).drop("horodatage_calcul")
 
 
+_PANELS: dict = {}
+
+
+def panels(spark: SparkSession, sf: str) -> DataFrame:
+    """The last rows of every symbol, as a refresh over the folder's bars
+    keeps them (made once per application and state of the input files)."""
+    key = (spark.sparkContext.applicationId, sf, _files_of(spark, sf))
+    if key not in _PANELS:
+        base = f"{checkpoint_dir(spark).rstrip('/')}/barwise/panels-{uuid.uuid4().hex}"
+        T.append_raw(S.split_valid(S.stamp_batch(B.walk_bars(spark, sf), "BATCH_0", "PRIMARY", RUN_TS))[0], f"{base}/raw")
+        R.refresh_increment(spark, f"{base}/raw", f"{base}/enriched", f"{base}/state", RUN_TS)
+        _PANELS[key] = f"{base}/state"
+    return R.read_panels(spark, _PANELS[key]).drop("horodatage_calcul")
+
+
 # -- G1: the reference's one Spark query -------------------------------------------------
 @query("avg_price_volume")
 def q_avg_price_volume(spark, sf):
@@ -385,6 +408,25 @@ def q_computation_time(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
+@query("table_profile_sketch")
+def q_table_profile_sketch(spark, sf):
+    """The profile of a table of two batches from their sketches, added one
+    after the other; estimates are held against exact ones."""
+    from ..sources import profile
+    path = f"{checkpoint_dir(spark).rstrip('/')}/barwise/sketch-{uuid.uuid4().hex}"
+    raw = materialize(D.two_batch_raw(B.order_bars(spark, sf)).select(
+        "symbol", "date", "open", "high", "low", "close", "volume", "batch_id"), "sketched")
+    profile.add_sketches(raw.where(F.col("batch_id") == D.FIRST_BATCH), path)
+    profile.add_sketches(raw, path)
+    columns = [c for c in raw.dtypes if c[0] != "batch_id"]
+    found = profile.sketch_profile(spark, path, columns)
+    exact = raw.agg(*[F.countDistinct(c).alias(c) for c, _ in columns]).unpivot(
+        [], [c for c, _ in columns], "column_name", "exact")
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= 0.05 * F.col("exact") + 1
+    return found.join(exact, "column_name").select(
+        "position", "column_name", "n_rows", "n_nulls", "min_value", "max_value", near.alias("distinct_within_5pct"))
+
+
 # -- P: projections, filters, order ---------------------------------------------------
 @query("lowercase_columns")
 def q_lowercase_columns(spark, sf):
@@ -715,7 +757,7 @@ def q_view_candlestick(spark, sf):
 
 @query("view_candlestick_table")
 def q_view_candlestick_table(spark, sf):
-    return V.view_candlestick_table(served(spark, sf), n=20)
+    return V.view_candlestick_table(panels(spark, sf), n=20)
 
 
 @query("view_rsi")
@@ -725,7 +767,7 @@ def q_view_rsi(spark, sf):
 
 @query("view_rsi_latest")
 def q_view_rsi_latest(spark, sf):
-    return V.view_rsi_latest(served(spark, sf))
+    return V.view_rsi_latest(panels(spark, sf))
 
 
 @query("view_candlestick_range")
@@ -747,7 +789,7 @@ def q_view_macd(spark, sf):
 
 @query("view_macd_latest")
 def q_view_macd_latest(spark, sf):
-    return V.view_macd_latest(served(spark, sf))
+    return V.view_macd_latest(panels(spark, sf))
 
 
 @query("view_signal_board")
@@ -757,7 +799,7 @@ def q_view_signal_board(spark, sf):
 
 @query("view_signal_table")
 def q_view_signal_table(spark, sf):
-    return V.view_signal_table(served(spark, sf), n=10)
+    return V.view_signal_table(panels(spark, sf), n=10)
 
 
 @query("view_sidebar")

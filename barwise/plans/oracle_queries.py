@@ -81,6 +81,17 @@ raw AS (SELECT symbol, date, close, '{BATCH1}' AS batch_id,
 SQL["batch_verify"] = _TWO_BATCH + f"""
 SELECT '{BATCH2}' AS batch_id, count(*) AS verified FROM raw WHERE batch_id = '{BATCH2}'"""
 
+SQL["table_profile_sketch"] = f"""WITH ob AS ({ORDER_BARS}),
+recent AS (SELECT DISTINCT date FROM ob ORDER BY date DESC LIMIT 30),
+raw AS (SELECT * FROM ob UNION ALL
+        SELECT symbol, date, open, high, low, CAST(close + CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,4)), volume
+          FROM ob WHERE date IN (SELECT date FROM recent))
+""" + "\nUNION ALL\n".join(
+    f"""SELECT {i} AS position, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls,
+       CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value,
+       TRUE AS distinct_within_5pct FROM raw"""
+    for i, c in enumerate(("symbol", "date", "open", "high", "low", "close", "volume")))
+
 SQL["dedupe_latest_batch"] = _TWO_BATCH + """
 SELECT symbol, date, CAST(close AS DOUBLE) AS close, batch_id FROM raw
 QUALIFY row_number() OVER (PARTITION BY symbol, date

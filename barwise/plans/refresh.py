@@ -10,6 +10,8 @@ enriched table to what a full run would give. It keeps, beside the table:
   the same change nothing;
 * ``states``: how each series stands after each of its years (rows so far,
   the last 200 closes, MACD's three sums), by year;
+* ``panels``: the last 20 enriched rows of every symbol, by hash of the symbol,
+  which serve the dashboard's latest values and tables;
 * ``runs``: the batches that are done, one file set a run.
 
 A symbol's series is taken up again at the newest state that lies before its
@@ -28,15 +30,15 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.filters import DATE, KEY
+from ..operators.filters import DATE, KEY, last_n_rows
 from ..operators.indicators import CLOSE
 from ..operators.series import DEFAULT_BLOCK, IDX, usable
 from ..schemas import ENRICHED, ENRICHED_COLUMNS, PRICE, RAW_BARS, RAW_TO_SERVED
-from ..session import materialize, scratch
+from ..session import materialize, path_exists, scratch
 from ..sources.ingest import dedupe_latest_batch
 from ..sources.tables import read_or_empty, write_enriched
 from .enrich import SUMS, TAIL, as_enriched, enrich, indicators_after
@@ -50,6 +52,8 @@ STATES = T.StructType([
     T.StructField("last_date", T.DateType()), T.StructField("tail", T.ArrayType(PRICE)),
     *[T.StructField(name, T.DoubleType()) for name in SUMS], T.StructField(YEAR, T.IntegerType())])
 RUNS = "run string, batch_id string, run_ts timestamp"
+#: Rows of a symbol that panels hold, and the parts that their symbols are dealt to.
+PANEL_ROWS, PANEL_PARTS, PART = 20, 64, "seau"
 
 
 def refresh_enriched(spark: SparkSession, raw_path: str, enriched_path: str,
@@ -58,15 +62,16 @@ def refresh_enriched(spark: SparkSession, raw_path: str, enriched_path: str,
     write_enriched(enrich(raw, run_ts), enriched_path)
 
 
-def _replace_years(df: DataFrame, path: str, years: list[int] = ()) -> None:
-    """Replace the partitions of ``df``'s years at ``path``, which ``df`` may
-    be read from; those of ``years`` without a row become empty."""
-    df = materialize(df, "year_rows")
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(path)
-    left = {r[0] for r in df.select(YEAR).distinct().collect()} if years else set()
-    for year in years:
-        if year not in left:
-            df.drop(YEAR).limit(0).write.mode("overwrite").parquet(f"{path}/{YEAR}={year}")
+def _replace(df: DataFrame, path: str, by: str, values: list[int] = ()) -> None:
+    """Replace the partitions of ``df`` (by its column ``by``) at ``path``,
+    which ``df`` may be read from; those of ``values`` without a row become
+    empty."""
+    df = materialize(df, "replaced")
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    left = {r[0] for r in df.select(by).distinct().collect()} if values else set()
+    for value in values:
+        if value not in left:
+            df.drop(by).limit(0).write.mode("overwrite").parquet(f"{path}/{by}={value}")
 
 
 def changed_bars(fresh: DataFrame, stored: DataFrame) -> DataFrame:
@@ -117,6 +122,41 @@ def states_after(computed: DataFrame, starts: DataFrame) -> DataFrame:
                        *[F.col("_sums")[name].alias(name) for name in SUMS], YEAR)
 
 
+def _part(key: str = KEY) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(PANEL_PARTS)).cast("int")
+
+
+def refresh_panels(spark: SparkSession, enriched_path: str, path: str, after: DataFrame, computed: DataFrame) -> None:
+    """Bring the last rows of the symbols of ``after`` (symbole, _after,
+    _total) up to their ``computed`` rows, which are all their rows after that
+    day. Where fewer are left than a panel holds though the symbol has more,
+    days were taken away: these symbols' last rows are read from the enriched
+    table, which is up to date."""
+    schema = T.StructType([*ENRICHED.fields, T.StructField(PART, T.IntegerType())])
+    old = read_or_empty(spark, path, schema)
+    parts = [r[0] for r in after.select(_part().alias(PART)).distinct().collect()]  # 64 at most
+    old = old.where(F.col(PART).isin(parts)).drop(PART).join(after, KEY, "left")
+    others = old.where(F.col("_after").isNull()).drop("_after", "_total")
+    before = old.where(F.col(DATE) <= F.col("_after")).drop("_after", "_total")
+    mine = materialize(last_n_rows(before.unionByName(computed), PANEL_ROWS), "panel_rows")
+    held = mine.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+    few = after.join(held, KEY, "left").where(
+        F.coalesce("n", F.lit(0)) < F.least(F.lit(PANEL_ROWS), F.col("_total"))).select(KEY)
+    few = materialize(few, "panel_short")
+    if not few.isEmpty():
+        whole = spark.read.parquet(enriched_path).drop(YEAR).join(few, KEY, "left_semi") \
+            if path_exists(spark, enriched_path) else computed.limit(0)
+        mine = mine.join(few, KEY, "left_anti").unionByName(last_n_rows(whole, PANEL_ROWS).select(*mine.columns))
+    _replace(others.unionByName(mine).withColumn(PART, _part()), path, PART, parts)
+
+
+def read_panels(spark: SparkSession, state_path: str) -> DataFrame:
+    """The last rows of every symbol, as the refresh keeps them: what the
+    ``latest`` and ``table`` views need of the enriched table."""
+    return read_or_empty(spark, f"{state_path.rstrip('/')}/panels",
+                         T.StructType([*ENRICHED.fields, T.StructField(PART, T.IntegerType())])).drop(PART)
+
+
 def refresh_increment(spark: SparkSession, raw_path: str, enriched_path: str, state_path: str,
                       run_ts: dt.datetime | None = None, block: int = DEFAULT_BLOCK) -> dict:
     """Bring the enriched table up to the raw table's new batches.
@@ -132,7 +172,8 @@ def refresh_increment(spark: SparkSession, raw_path: str, enriched_path: str, st
 
 def _refresh_increment(spark, raw_path, enriched_path, state_path, run_ts, block) -> dict:
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    bars_path, states_path, runs_path = (f"{state_path.rstrip('/')}/{x}" for x in ("bars", "states", "runs"))
+    bars_path, states_path, panels_path, runs_path = (
+        f"{state_path.rstrip('/')}/{x}" for x in ("bars", "states", "panels", "runs"))
     raw = read_or_empty(spark, raw_path, RAW_BARS)
     done = read_or_empty(spark, runs_path, RUNS)
     new = raw.select("batch_id").distinct().join(done.select("batch_id"), "batch_id", "left_anti")  # partition values
@@ -152,15 +193,16 @@ def _refresh_increment(spark, raw_path, enriched_path, state_path, run_ts, block
         since = materialize(taken.where("changed").groupBy(F.col("symbol").alias(KEY)).agg(
             F.min("date").alias("since")), "changed_symbols")
         counts["days"] = taken.where("changed").count()
-        counts |= _recompute(spark, taken, stored, since, (first, last), enriched_path, states_path, run_ts, block)
+        counts |= _recompute(spark, taken, stored, since, (first, last), enriched_path, states_path, panels_path,
+                               run_ts, block)
         kept = stored.where(near).join(taken, ["symbol", "date"], "left_anti")
-        _replace_years(kept.unionByName(taken.select(*names).withColumn(YEAR, F.year("date"))), bars_path)
+        _replace(kept.unionByName(taken.select(*names).withColumn(YEAR, F.year("date"))), bars_path, YEAR)
     one = uuid.uuid4().hex
     spark.createDataFrame([(one, b, run_ts) for b in batches], RUNS).coalesce(1).write.mode("append").parquet(runs_path)
     return counts
 
 
-def _recompute(spark, taken, stored, since, years, enriched_path, states_path, run_ts, block) -> dict:
+def _recompute(spark, taken, stored, since, years, enriched_path, states_path, panels_path, run_ts, block) -> dict:
     """Compute the changed symbols anew from their start states and replace
     the years that hold computed rows, in the enriched table and the states."""
     states = read_or_empty(spark, states_path, STATES)
@@ -181,7 +223,7 @@ def _recompute(spark, taken, stored, since, years, enriched_path, states_path, r
     computed = materialize(as_enriched(
         indicators_after(rows, starts, block), run_ts,
         [IDX, *SUMS, F.col(CLOSE).alias("_close")]), "computed_rows")
-    new_states = states_after(computed.drop(CLOSE).withColumnRenamed("_close", CLOSE), starts)
+    new_states = materialize(states_after(computed.drop(CLOSE).withColumnRenamed("_close", CLOSE), starts), "states")
     # a year is replaced if it holds rows after a start state, computed or old
     enriched = read_or_empty(spark, enriched_path, T.StructType([*ENRICHED.fields, T.StructField(YEAR, T.IntegerType())]))
     near = enriched.where(F.col(YEAR) >= oldest).join(after, KEY).where(F.col(DATE) > F.col("_after"))
@@ -194,5 +236,9 @@ def _recompute(spark, taken, stored, since, years, enriched_path, states_path, r
         kept = table.where(F.col(YEAR).isin(replaced)).join(after, KEY, "left")
         kept = kept.where(F.col("_after").isNull() | (F.col(DATE) <= F.col("_after"))).drop("_after")
         both = kept.unionByName(fresh.select(*kept.columns))
-        _replace_years(both.drop(DATE) if table is not enriched else both, path, replaced)
+        _replace(both.drop(DATE) if table is not enriched else both, path, YEAR, replaced)
+    totals = new_states.groupBy(KEY).agg(F.max("n_rows").alias("total"))
+    after = after.join(totals, KEY, "left").join(starts.select(KEY, "n_rows"), KEY, "left").select(
+        KEY, "_after", F.coalesce("total", "n_rows", F.lit(0)).alias("_total"))
+    refresh_panels(spark, enriched_path, panels_path, materialize(after, "totals"), computed.select(*ENRICHED_COLUMNS))
     return {"symbols": symbols, "blocks": blocks, "rows": n_rows, "years": len(replaced)}

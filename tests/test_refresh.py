@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from barwise.plans.enrich import enrich
-from barwise.plans.refresh import refresh_increment
+from barwise.operators.filters import last_n_rows
+from barwise.plans.refresh import read_panels, refresh_increment
 from barwise.sources.bars import walk_bars
 from barwise.sources.ingest import split_valid, stamp_batch
 from barwise.sources.tables import append_raw
@@ -32,9 +33,13 @@ class Job:
         return refresh_increment(self.spark, self.raw, self.enriched, self.state, TS, block=256)
 
     def check(self):
-        """The stored table against a full run, value by value."""
+        """The stored table against a full run, value by value, and the
+        panels against its last rows."""
         full = enrich(self.spark.read.parquet(self.raw), TS).drop("horodatage_calcul")
         got = self.spark.read.parquet(self.enriched).select(*full.columns)
+        last = last_n_rows(got, 20)
+        assert sorted(map(str, read_panels(self.spark, self.state).select(*last.columns).collect())) == \
+            sorted(map(str, last.collect()))
         a, b = (sorted((tuple(r) for r in df.collect()), key=lambda r: r[:2]) for df in (full, got))
         assert len(a) == len(b)
         for x, y in zip(a, b):
@@ -65,6 +70,9 @@ def test_new_days_use_the_state_only(spark, scratch, bars):
     assert second["days"] == second["rows"] == new.count()
     assert second["blocks"] == new.select("symbol", F.year("date")).distinct().count()
     job.check()
+    # the panels' queries read the panels alone
+    files = read_panels(spark, job.state).inputFiles()
+    assert files and all("/state/panels/" in f for f in files)
     assert job.refresh()["batches"] == 0
     job.land(bars.where(F.col("date") >= F.lit(again)))
     assert job.refresh() | {"batches": 0} == dict.fromkeys(second, 0)
@@ -120,21 +128,21 @@ def test_a_lost_run_is_made_good(spark, scratch, bars, monkeypatch):
     days = sorted(r[0] for r in bars.select("date").distinct().collect())
     job.land(bars.where(F.col("date") < F.lit(days[-30])))
     job.refresh()
-    whole, calls = refresh._replace_years, []
+    whole, calls = refresh._replace, []
 
-    def dies(df, path, years=()):
+    def dies(df, path, *how):
         calls.append(path)
         if len(calls) == stop:
             raise RuntimeError("lost")
-        whole(df, path, years)
-    for stop in (2, 3):  # before the states, before the bars
+        whole(df, path, *how)
+    for stop in (2, 4):  # before the states, before the bars
         calls.clear()
-        monkeypatch.setattr(refresh, "_replace_years", dies)
+        monkeypatch.setattr(refresh, "_replace", dies)
         job.land(bars.where(F.col("date") >= F.lit(days[-30 if stop == 2 else -45])).withColumn(
             "close", (F.col("close") + stop).cast("decimal(10,4)")))
         with pytest.raises(RuntimeError):
             job.refresh()
-        monkeypatch.setattr(refresh, "_replace_years", whole)
+        monkeypatch.setattr(refresh, "_replace", whole)
         assert job.refresh()["days"] > 0
         job.check()
 
