@@ -9,6 +9,11 @@ the trustworthy ones, and scores unknown instances by the patterns that meet
 them (one minus the product of the doubts). Instances over the threshold
 join the known ones for the next round; their places become spans of the
 kind that their patterns vote for. Base spans always stay.
+
+Contexts also induce a kind of their own, ``secret``, which no fixed pattern
+seeds: where one context recurs before many different key-like tokens and
+hardly before any other, those tokens are known instances from the start. A
+key-like token in a context of its own is none.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, keyed, materialize, ship_package, table
@@ -28,6 +33,11 @@ KINDS = ("email", "ip", "card", "phone")
 #: confidence of a pattern and score of an instance; digits of a candidate.
 ROUNDS, SUPPORT, CONFIDENCE, ACCEPT, DIGITS = 3, 4, 0.6, 0.7, 4
 
+#: The induced kind, and how many different key-like tokens a context needs for it.
+SECRET, INDUCED = "secret", 8
+#: Key-like: this long, letters and digits only, some of either.
+KEY_CHARS, KEY_MIXED = 16, 4
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # matches start where a run of digits starts, as the runs are taken whole
@@ -37,6 +47,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"\S*[0-9@]\S*")
 _EDGE = "()[]{}<>\"'.,;:!?"
+_OPEN = "([{<\"'"
 
 
 def luhn(digits: str) -> bool:
@@ -90,11 +101,12 @@ _AFTER = re.compile(r"\s*(\S*)")
 
 
 def words_before(text: str, at: int, n: int = 2) -> list[str]:
-    """The last ``n`` words (or their parts) before a place, lower-cased,
-    however long they are and however far away."""
+    """The last ``n`` words before a place, lower-cased, however long they are
+    and however far away. An equals sign is a word; quotes and brackets that
+    open at the place don't count."""
     reach = 64
     while True:
-        part = text[max(0, at - reach):at]
+        part = text[max(0, at - reach):at].rstrip(_OPEN).replace("=", " = ")
         words = part.rsplit(None, n)
         # a word that begins where the part does may begin earlier
         if reach >= at or len(words) > n:
@@ -123,8 +135,9 @@ def mentions(text: str | None, base: list[tuple[str, int, int]], digits: int = D
     out = [(k, s, e, re.sub(r"\W", "", text[s:e]).lower(), _contexts(text, s, e)) for k, s, e in base]
     taken = sorted((s, e) for _, s, e in base)
     for m in _TOKEN.finditer(text) if _DIGIT.search(text) or "@" in text else ():
-        word = m.group()
-        s = m.start() + len(word) - len(word.lstrip(_EDGE))
+        start = m.start() + m.group().rfind("=") + 1  # name=value: the value
+        word = text[start:m.end()]
+        s = start + len(word) - len(word.lstrip(_EDGE))
         e = m.end() - (len(word) - len(word.rstrip(_EDGE)))
         while taken and taken[0][1] <= s:
             taken.pop(0)
@@ -159,6 +172,8 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS, support: float = SUPPORT,
     seeds = found.where("kind <> ''").groupBy("value", "kind").agg(F.lit(1.0).alias("score"))
     seeds = materialize(seeds, "seeds")
     met = materialize(edges.groupBy("pattern").agg(F.count("*").alias("met")), "met")
+    induced = materialize(induce(edges, confidence).join(seeds, "value", "left_anti"), "induced")
+    seeds = seeds.unionByName(induced)
     known, new = seeds, None
     for _ in range(rounds):
         patterns = (edges.join(known, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("known"))
@@ -179,12 +194,31 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS, support: float = SUPPORT,
                              and last.join(new, named, "left_anti").isEmpty()):
             break  # the same instances as the round before
         known = seeds.unionByName(new.select("value", "kind", "score"))
-    return new.select("value", "kind", "score")
+    return new.select("value", "kind", "score").unionByName(induced)
+
+
+def key_like(value: str = "value") -> Column:
+    """Whether a value may be a key: long, letters and digits, some of both."""
+    v = F.col(value)
+    return (v.rlike(f"^[a-z0-9]{{{KEY_CHARS},}}$") & (F.regexp_count(v, F.lit("[0-9]")) >= KEY_MIXED)
+            & (F.regexp_count(v, F.lit("[a-z]")) >= KEY_MIXED))
+
+
+def induce(edges: DataFrame, confidence: float = CONFIDENCE, least: int = INDUCED) -> DataFrame:
+    """(value, kind, score): key-like values that stand in a context which
+    meets ``least`` different ones and, in a share of ``confidence``, nothing
+    else. The score is that share, of the best of a value's contexts."""
+    share = F.count_if(key_like()) / F.count(F.lit(1))
+    contexts = edges.groupBy("pattern").agg(F.count_if(key_like()).alias("keys"), share.alias("share")).where(
+        (F.col("keys") >= least) & (F.col("share") >= confidence))
+    return (edges.where(key_like()).join(contexts, "pattern").groupBy("value").agg(F.max("share").alias("score"))
+            .select("value", F.lit(SECRET).alias("kind"), "score"))
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """One row per row of ``docs``: (doc_id, base, found), arrays of
-    (kind, s, e), each by kind in the order of ``KINDS``, then start.
+    (kind, s, e), each by kind in the order of ``KINDS`` (then ``secret``),
+    then start. Texts are searched whole, however long.
 
     Null and empty texts have none. Rows that repeat an id are looked at one
     by one. An empty table gives no rows. Other columns are not read.
@@ -205,7 +239,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
 def in_order(spans):
     """Spans by kind as listed, then start."""
-    rank = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
+    rank = F.create_map(*[F.lit(x) for i, k in enumerate((*KINDS, SECRET)) for x in (k, i)])
     keyed = F.transform(spans, lambda x: F.struct(rank[x["kind"]].alias("k"), x["s"].alias("s"), x["e"].alias("e"),
                                                   x["kind"].alias("kind")))
     return F.transform(F.array_sort(keyed), lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"),

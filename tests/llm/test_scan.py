@@ -66,6 +66,37 @@ def test_contexts_are_whole_words_at_any_distance(spark):
         assert [x.kind for x in by_id[100].found] == ["phone"], gap
 
 
+def test_recurring_contexts_induce_secrets(spark):
+    rng = random.Random(5)
+    key = lambda n=40: "".join(rng.choice("0123456789abcdef") for _ in range(n - 8)) + "a1b2c3d4"
+    keys = [key() for _ in range(12)]
+    rows = [(500 + i, f'{prose(6, i)} token = "{k}" {prose(6, i + 60)}', None) for i, k in enumerate(keys)]
+    rows += [(600 + i, f"{prose(6, 200 + i)} password={key(20)} {prose(5, i)}", None) for i in range(9)]
+    rows += [(700 + i, f"{prose(6, 300 + i)} {key()} {prose(5, i)}", None) for i in range(9)]  # contexts of their own
+    rows += [(800 + i, f"{prose(6, 400 + i)} size = {1000 + i} {prose(5, i)}", None) for i in range(9)]
+    rows += [(900, f"{prose(9, 500)} token = unknown then {keys[0]} again.", None)]  # a known value elsewhere
+    got = {r.doc_id: r for r in pii.find_pii(frame(spark, rows)).collect()}
+    for i, text, _ in rows:
+        found = [(x.kind, text[x.s:x.e]) for x in got[i].found]
+        if i < 600:
+            assert found == [("secret", keys[i - 500])]
+        elif i < 700:
+            assert [k for k, _ in found] == ["secret"] and text[got[i].found[0].s - 1] == "="
+        else:
+            assert found == ([("secret", keys[0])] if i == 900 else [])
+    texts = {r.doc_id: r.text for r in pii.redact(frame(spark, rows)).collect()}
+    assert 'token = "[SECRET]"' in texts[500] and "password=[SECRET]" in texts[600] and keys[0] not in texts[900]
+
+
+def test_secrets_of_the_test_table_are_discovered(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    planted = {r.doc_id for r in docs.where("text rlike 'token = \"[0-9a-f]{40}\"'").collect()}
+    found = {r.doc_id for r in pii.op2_pii(spark, "/root/testdata/sf0.01").where("n_found > 0").collect()}
+    assert planted and planted <= found
+    clean = {r.doc_id for r in docs.where("not text rlike '[0-9a-f]{16}'").collect()}
+    assert not found & clean
+
+
 def test_discovered_spans_go_to_their_own_row(spark):
     rng = random.Random(2)
     rows = [(500 + i, f"{prose(5, i)} please call number +1 555 {rng.randrange(10 ** 6, 10 ** 7)} today {prose(4, i + 50)}", None)
