@@ -383,6 +383,20 @@ def q_table_lifecycle(spark, sf):
     return rows.select("symbol", "date", F.col("close").cast("double").alias("close"), "volume", "batch_id")
 
 
+@query("read_through_source")
+def q_read_through_source(spark, sf):
+    """The raw table through the configured source, in two schemas."""
+    from ..sources.connector import read_source, write_source
+    path = f"{checkpoint_dir(spark).rstrip('/')}/barwise/source-{uuid.uuid4().hex}"
+    good = S.split_valid(S.stamp_batch(B.order_bars(spark, sf), "BATCH_A", "PRIMARY", RUN_TS))[0]
+    for schema, part in (("FIRST", F.year("date") < 1996), ("SECOND", F.year("date") >= 1996)):
+        write_source(good.where(part), {"path": path} | T.table_options(spark, "raw_bars", schema))
+    both = [read_source(spark, {"path": path} | T.table_options(spark, "raw_bars", schema), RAW_BARS)
+            for schema in ("FIRST", "SECOND")]
+    return both[0].unionByName(both[1]).select("symbol", "date", F.col("close").cast("double").alias("close"),
+                                               "volume", "batch_id")
+
+
 @query("string_dates")
 def q_string_dates(spark, sf):
     """Days stored as text come back as dates."""

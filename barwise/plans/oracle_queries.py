@@ -144,7 +144,7 @@ SELECT 'BATCH_20240102_210000_account' AS batch_id, 2 * n + m + 2 * s + 4 * s AS
 
 _BATCH_A = on(ORDER_BARS, """SELECT symbol, date, CAST(close AS DOUBLE) AS close, volume, 'BATCH_A' AS batch_id
   FROM bars""")
-SQL["backup_sink"] = SQL["table_lifecycle"] = _BATCH_A
+SQL["backup_sink"] = SQL["table_lifecycle"] = SQL["read_through_source"] = _BATCH_A
 SQL["string_dates"] = on_enriched("SELECT symbole, date_trading, prix_fermeture FROM enriched")
 SQL["computation_time"] = on_enriched("SELECT '2024-01-02 21:00:00' AS horodatage, count(*) AS n FROM enriched")
 SQL["emptiness"] = on(SO, """, y AS (SELECT max(year(date_trading)) AS last FROM bars)
