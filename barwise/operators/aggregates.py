@@ -38,12 +38,27 @@ def mean_2dp(df: DataFrame, col: str) -> F.Column:
     return F.bround(F.avg(col), 2)
 
 
+def shifted_sample_std(df: DataFrame, col: str) -> F.Column:
+    """Sample standard deviation of a decimal column from exact sums about a
+    centre c near the mean: ``sqrt((sum((x-c)^2) - sum(x-c)^2/n) / (n-1))``.
+    Only the last step is in doubles, and there hardly anything cancels."""
+    x, n = F.col(col), F.count(col)
+    sx, sxx, rows = F.sum(x), F.sum(x * x), n.cast("decimal(16,0)")
+    c = F.try_divide(sx, rows).cast("decimal(10,4)")
+    s1 = (sx - rows * c).cast("double")
+    q1 = (sxx - F.lit(2).cast("decimal(1,0)") * c * sx + rows * c * c).cast("double")
+    spread = F.greatest(q1 - F.try_divide(s1 * s1, n.cast("double")), F.lit(0.0))
+    return F.when(n > 1, F.sqrt(F.try_divide(spread, (n - 1).cast("double"))))
+
+
 def exact_sample_std(df: DataFrame, col: str) -> F.Column:
     """Sample standard deviation; NULL for fewer than two rows.
 
-    For decimals: ``sqrt(n*sum(x^2) - sum(x)^2) / sqrt(n*(n-1))`` with the
-    numerator in exact decimal arithmetic, which holds 1e7 rows a group of
-    decimal(10,4); larger groups and wider decimals take the double form.
+    For decimals up to decimal(10,4): ``sqrt(n*sum(x^2) - sum(x)^2) /
+    sqrt(n*(n-1))`` with the numerator in exact decimal arithmetic. Where its
+    38 digits don't hold the numerator (from 1e8 rows a group), it is taken
+    about the mean from the same exact sums, which differs in the last digit of
+    a double at most. Doubles and wider decimals take Spark's own deviation.
     """
     t = df.schema[col].dataType
     if not _is_decimal(df, col) or t.scale > 4 or t.precision - t.scale > 6:
@@ -53,8 +68,8 @@ def exact_sample_std(df: DataFrame, col: str) -> F.Column:
     sx = F.sum(x).try_cast("decimal(17,4)")
     sxx = F.sum(x * x).try_cast("decimal(28,8)")
     spread = n.try_cast("decimal(8,0)") * sxx - sx * sx
-    return F.when((n > 1) & (n < 10_000_000), F.sqrt(spread.cast("double"))
-                  / F.sqrt((n * (n - 1)).cast("double"))).otherwise(F.stddev_samp(x.cast("double")))
+    exact = F.sqrt(spread.cast("double")) / F.sqrt((n * (n - 1)).cast("double"))
+    return F.when(n > 1, F.coalesce(exact, shifted_sample_std(df, col)))
 
 
 def avg_price_volume(df: DataFrame, key: str = "symbol", price: str = "close",

@@ -134,6 +134,8 @@ def test_trailing_months_clamps_to_month_end(spark):
 def test_correlation_is_null_where_a_series_is_flat_on_common_dates(spark):
     import datetime as dt
     import math
+
+    from pyspark.sql import functions as F
     from barwise.operators.correlation import corr_matrix
     rows = []
     for i in range(120):
@@ -153,3 +155,21 @@ def test_periods_leave_out_null_dates(spark):
     from barwise.operators.aggregates import perf_volume
     df = spark.createDataFrame([("A", None, 5)], "symbole string, date_trading date, volume bigint")
     assert perf_volume(df, "month").count() == 0
+
+
+def test_the_deviation_about_the_mean_is_the_exact_one(spark):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from barwise.operators.aggregates import exact_sample_std, shifted_sample_std
+    df = spark.range(3000).select(
+        (F.col("id") % 4).alias("g"),
+        F.when(F.col("id") % 4 == 0, F.lit(123456.7891)).when(F.col("id") % 4 == 1, 999999 - F.col("id") % 7 * 0.0001)
+        .otherwise(F.rand(5) * 900000).cast("decimal(10,4)").alias("x")).unionByName(
+        spark.sql("SELECT 9L AS g, CAST(5 AS decimal(10,4)) AS x"))
+    got = df.groupBy("g").agg(exact_sample_std(df, "x").alias("a"), shifted_sample_std(df, "x").alias("b")).collect()
+    assert len(got) == 5
+    for r in got:
+        assert (r.a is None and r.b is None and r.g == 9) or math.isclose(r.a, r.b, rel_tol=1e-12)
+        assert r.g != 0 or r.a == r.b == 0.0
