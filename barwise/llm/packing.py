@@ -26,6 +26,9 @@ from .tokens import by_size, encoder
 
 CAPACITY, END_ID = 2048, 0
 VOCABULARY = "word_bpe_49k.json"
+#: Words of a worker's cache and bytes of text that are encoded at once: small,
+#: as packing ends a pipeline whose workers hold memory of earlier stages.
+CACHE_WORDS, CHUNK = 100_000, 1 << 20
 #: Pieces of one length that are numbered together, parts that are added up together.
 PART_PIECES, BLOCK_PARTS = 500, 1024
 
@@ -108,9 +111,10 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
     A document's ids with the end id, cut where they exceed the capacity."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(vocabulary, spaces)
+        enc = encoder(vocabulary, spaces, CACHE_WORDS, CHUNK)
         end = np.uint32(end_id).astype("<u4").tobytes()
-        for pdf in (b.iloc[i:j] for b in batches for i, j in by_size(b["text"].str.len().fillna(0).tolist())):
+        for pdf in (b.iloc[i:j] for b in batches for i, j in by_size(
+                b["text"].str.len().fillna(0).tolist(), CHUNK)):
             rows = []
             for doc_id, ids in zip(pdf["doc_id"], enc.encode(list(pdf["text"]))):
                 ids += end

@@ -205,18 +205,20 @@ def by_size(sizes, limit: int = CHUNK):
         yield at, len(sizes)
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(name: str, spaces: bool) -> Encoder:
+def encoder(name: str, spaces: bool, cache_words: int = CACHE_WORDS, chunk: int = CHUNK) -> Encoder:
     """This worker's encoder of a vocabulary file of ``public_tokenizers``,
     or of a path."""
-    if (name, spaces) not in _ENCODERS:
+    key = (name, spaces, cache_words, chunk)
+    if key not in _ENCODERS:
+        pa.default_memory_pool().release_unused()  # what earlier stages left in this worker
         if os.path.sep in name:
             path = name
         else:
             import public_tokenizers
 
             path = public_tokenizers.path(name)
-        _ENCODERS[name, spaces] = Encoder(path, spaces)
-    return _ENCODERS[name, spaces]
+        _ENCODERS[key] = Encoder(path, spaces, cache_words, chunk)
+    return _ENCODERS[key]
