@@ -390,8 +390,8 @@ def q_read_through_source(spark, sf):
     path = f"{checkpoint_dir(spark).rstrip('/')}/barwise/source-{uuid.uuid4().hex}"
     good = S.split_valid(S.stamp_batch(B.order_bars(spark, sf), "BATCH_A", "PRIMARY", RUN_TS))[0]
     for schema, part in (("FIRST", F.year("date") < 1996), ("SECOND", F.year("date") >= 1996)):
-        write_source(good.where(part), {"path": path} | T.table_options(spark, "raw_bars", schema))
-    both = [read_source(spark, {"path": path} | T.table_options(spark, "raw_bars", schema), RAW_BARS)
+        write_source(good.where(part), T.table_options(spark, "raw_bars", schema) | {"path": path})
+    both = [read_source(spark, T.table_options(spark, "raw_bars", schema) | {"path": path}, RAW_BARS)
             for schema in ("FIRST", "SECOND")]
     return both[0].unionByName(both[1]).select("symbol", "date", F.col("close").cast("double").alias("close"),
                                                "volume", "batch_id")
