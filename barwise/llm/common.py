@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship_package
+from .tokens import by_size
+
+__all__ = ["materialize", "table", "fresh", "keyed", "crc_mod", "in_chunks", "U64", "mix64", "span_hashes",
+           "lower_words"]
 
-__all__ = ["materialize", "table", "fresh", "keyed", "crc_mod", "U64", "mix64", "span_hashes", "lower_words"]
+#: Characters of text whose results a worker holds at once.
+CHUNK_CHARS = 1 << 20
 
 U64 = np.uint64
 # any odd 64-bit constant serves as the base of the rolling hash
@@ -45,6 +54,16 @@ def crc_mod(col: str, m: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % m
 
 
+def in_chunks(batches: Iterator[pd.DataFrame], text: str = "text", limit: int = CHUNK_CHARS) -> Iterator[pd.DataFrame]:
+    """All rows of ``batches`` in order, in frames of about ``limit``
+    characters of text or one row. What is made of a frame goes before the
+    next one comes, so a worker's memory does not grow with Spark's batches."""
+    for pdf in batches:
+        for i, j in by_size(pdf[text].str.len().fillna(0).tolist(), limit):
+            yield pdf.iloc[i:j]
+        pa.default_memory_pool().release_unused()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every output bit depends on every input bit."""
     x = x ^ (x >> U64(30))

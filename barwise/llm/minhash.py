@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, fresh, keyed, materialize, mix64, span_hashes, table
+from .common import U64, fresh, in_chunks, keyed, materialize, mix64, span_hashes, table
 from .components import connected_components
 
 #: Minima a document, kept bits of each, minima a band. A pair at similarity
@@ -107,7 +107,7 @@ def sketches(docs: DataFrame, perms: int = PERMS, bits: int = BITS, rows: int =
                 pack(low, bits).view(np.int64), key.view(np.int64))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in in_chunks(batches):
             out = [one(t) for t in pdf["text"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"]} | {
                 c: [x[i] for x in out]
@@ -241,7 +241,7 @@ def _confirm(found: DataFrame, docs: DataFrame, threshold: float, words: int) ->
     texts = docs.join(need.select("doc_id").distinct(), "doc_id", "left_semi")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in in_chunks(batches):
             yield pd.DataFrame({"doc_id": pdf["doc_id"],
                                 "grams": [shingles(t, words).tobytes() for t in pdf["text"]]})
 

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, keyed, materialize, ship_package, table
+from .common import fresh, in_chunks, keyed, materialize, ship_package, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: Rounds of the bootstrap; known instances that a pattern needs; the least
@@ -152,7 +152,7 @@ def scan(docs: DataFrame, digits: int = DIGITS) -> DataFrame:
     """(doc_id, base, mentions) of ``docs`` (doc_id, text), one row a row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in in_chunks(batches):
             base = [base_spans(t) for t in pdf["text"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "base": base,
                                 "mentions": [mentions(t, b, digits) for t, b in zip(pdf["text"], base)]})
@@ -259,29 +259,28 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **ho
     other rows too."""
     ship_package(docs.sparkSession)
     rows, key = keyed(docs, "rows")
-    more = fresh(rows, "_found")
-    extra = (find_pii(rows, key, text_col, **how).where(F.size("found") > 0)
-             .select(F.col("doc_id").alias(key), F.col("found").alias(more)))
-    joined = rows.join(extra, key, "left")
+    spans = fresh(rows, "_spans")
+    private = (find_pii(rows, key, text_col, **how).select(F.col("doc_id").alias(key), F.concat("base", "found").alias(spans))
+               .where(F.size(spans) > 0))
+    joined = rows.join(private, key, "left")
 
-    def run(texts: pd.Series, found: pd.Series) -> pd.Series:
+    def run(texts: pd.Series, spans: pd.Series) -> pd.Series:
         out = []
-        for text, more in zip(texts, found):
-            spans = base_spans(text)
-            if more is not None and text is not None:
-                spans = spans + [(x["kind"], x["s"], x["e"]) for x in more]
-            if spans:
+        for text, own in zip(texts, spans):
+            if own is not None:
                 parts, last = [], 0
-                for kind, s, e in sorted(spans, key=lambda x: (x[1], -x[2])):
-                    if s >= last:
-                        parts += [text[last:s], f"[{kind.upper()}]"]
-                    last = max(last, e)
+                for x in sorted(own, key=lambda x: (x["s"], -x["e"])):
+                    if x["s"] >= last:
+                        parts += [text[last:x["s"]], f"[{x['kind'].upper()}]"]
+                    last = max(last, x["e"])
                 text = "".join(parts) + text[last:]
             out.append(text)
         return pd.Series(out, dtype=object)
 
     clean = F.pandas_udf(run, "string")
-    text = clean(F.col(text_col).cast("string"), F.col(more))
+    text = F.col(text_col).cast("string")
+    # only texts with spans go through Python
+    text = F.coalesce(clean(F.when(F.col(spans).isNotNull(), text), F.col(spans)), text)
     keep = [F.col(c) if c != text_col else text.alias(text_col) for c in docs.columns]
     out = joined.select(*keep)
     if "n_chars" in docs.columns:

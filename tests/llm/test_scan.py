@@ -4,13 +4,14 @@ import random
 import re
 from re import _parser
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from barwise.llm import licenses, pii, suffix
-from barwise.llm.common import lower_words
+from barwise.llm.common import in_chunks, lower_words
 from tests.llm.cases import awkward, frame, prose
 
 PRIVATE = [
@@ -110,6 +111,28 @@ def test_discovered_spans_go_to_their_own_row(spark):
     assert out == sorted([(None, masked), (100, masked), (100, other), (None, other)], key=repr)
 
 
+def test_only_private_texts_go_through_python(spark):
+    """Texts without a span are neither sent to a worker nor changed."""
+    text = "Write to a@b.org or 10.0.0.1, card 4111 1111 1111 1111."
+    rows = [(1, text, None), (2, "Nothing here.", None), (3, None, None), (4, "", None), (None, text, None), (1, "é", None)]
+    out = pii.redact(frame(spark, rows))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    sent = [x for x in plan.splitlines() if "ArrowEvalPython" in x]
+    assert len(sent) == 1 and "CASE WHEN isnotnull(_spans" in sent[0]
+    clean = "Write to [EMAIL] or [IP], card [CARD]."
+    got = [(r.doc_id, r.text, r.n_chars) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([(i, clean if t == text else t, None if t is None else len(clean if t == text else t))
+                                           for i, t, _ in rows], key=str)
+
+
+def test_workers_hold_few_results_at_once():
+    texts = ["x" * n for n in (5, 5, 30, 0, 1)] + [None] + ["y" * 4] * 10
+    frames = [f["text"].tolist() for f in in_chunks(iter([pd.DataFrame({"text": texts[:4]}), pd.DataFrame({"text": texts[4:]})]),
+                                                    limit=12)]
+    assert [t for f in frames for t in f] == texts
+    assert all(len(f) == 1 or sum(len(t or "") for t in f) <= 12 for f in frames) and len(frames) < len(texts)
+
+
 def test_spans_of_awkward_documents(spark):
     rows = awkward() + [(200 + i, t, None) for i, t in enumerate(PRIVATE)]
     got = {r.doc_id: r for r in pii.find_pii(frame(spark, rows)).collect() if r.doc_id and r.doc_id >= 200}
