@@ -220,22 +220,25 @@ def _unresolved(members: DataFrame, labels: DataFrame, sketch: DataFrame, part:
 
 
 def _confirm(found: DataFrame, docs: DataFrame, threshold: float, words: int) -> DataFrame:
-    """The pairs (x, y) of ``found`` (doc, ys) that are similar enough on
-    their full sets. A group's sets are sent to it once, however many of its
-    pairs need them; pairs that the group has already connected are left
-    out."""
-    found = materialize(found, "found")
+    """Edges (x, y) that connect what the similar pairs of ``found`` (doc, ys)
+    connect; similar on their full sets. A group's sets are sent to it once,
+    however many of its pairs need them; pairs that the group has already
+    connected are left out, and each of its documents points to the smallest
+    one that it is connected with there."""
     # the group of a family: the smallest id that its members meet, cut by its
     # number of pairs; so a set goes to few groups, also if many buckets saw it
-    met = found.groupBy("doc").agg(F.min(F.array_min("ys")).alias("low"))
-    found = found.join(met, "doc").withColumn("hub", F.least("doc", "low"))
+    low = F.min(F.array_min("ys")).over(Window.partitionBy("doc"))
+    found = materialize(found.select("doc", "ys", F.least("doc", low).alias("hub")), "found")
     cut = found.groupBy("hub").agg(F.ceil(F.sum(F.size("ys")) / GROUP_PAIRS).alias("n"))
     found = found.join(cut, "hub").withColumn("family", F.xxhash64("hub", F.pmod(F.xxhash64("doc"), "n")))
     found = materialize(found.select("family", "doc", "ys"), "families")
     both = found.groupBy("family").agg(F.array_union(
         F.collect_set("doc"), F.flatten(F.collect_list(F.array_distinct("ys")))).alias("docs"))
     need = materialize(both.select("family", F.explode(F.array_distinct("docs")).alias("doc_id")), "need")
-    groups = F.lit(max(8, need.count() // 512))
+    n = need.count()
+    if not n:
+        return found.select(F.col("doc").alias("x"), F.col("doc").alias("y"))
+    groups = F.lit(max(8, n // 512))
     found = found.withColumn("at", F.pmod("family", groups))
     need = need.select(F.pmod("family", groups).alias("to"), "doc_id").distinct()
     texts = docs.join(need.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -258,7 +261,6 @@ def _confirm(found: DataFrame, docs: DataFrame, threshold: float, words: int) ->
                 d = up[d]
             return d
 
-        keep = []
         for x, ys in zip(left["doc"], left["ys"]):
             for y in ys:
                 a, b = grams[x], grams[y]
@@ -271,9 +273,9 @@ def _confirm(found: DataFrame, docs: DataFrame, threshold: float, words: int) ->
                 at = np.minimum(np.searchsorted(b, a), len(b) - 1)
                 both = int((b[at] == a).sum())
                 if 100 * both >= percent * (len(a) + len(b) - both):
-                    keep.append((x, y))
-                    up[root(x)] = root(y)
-        return pd.DataFrame(keep, columns=["x", "y"])
+                    i, j = root(x), root(y)
+                    up[max(i, j)] = min(i, j)
+        return pd.DataFrame([(d, root(d)) for d in grams if up[d] != d], columns=["x", "y"])
 
     return found.groupBy("at").cogroup(held.groupBy("to")).applyInPandas(check, "x long, y long")
 
@@ -292,11 +294,10 @@ def _near_rows(docs: DataFrame, key: str, id_col: str, text_col: str, threshold:
     # of rows the one of the smallest id comes first, those without an id last
     ids = some.groupBy("h1", "h2", "n_shingles").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"),
-        F.min(F.struct("anon", "own", "doc_id")).alias("head"))
-    ids = materialize(ids, "sets")
-    reps = materialize(
-        some.join(ids.select(F.col("rep").alias("doc_id"), "copies"), "doc_id")
-            .select(F.col("doc_id").alias("rep"), "copies", "n_shingles", "planes", "bands"), "reps")
+        F.min(F.struct("anon", "own", "doc_id")).alias("head"),
+        F.min_by(F.struct("planes", "bands"), "doc_id").alias("sketch"))
+    ids = materialize(ids.select("h1", "h2", "n_shingles", "rep", "copies", "head", "sketch.*"), "sets")
+    reps = ids.select("rep", "copies", "n_shingles", "planes", "bands")
 
     keys = reps.select("rep", "copies", F.explode("bands").alias("key"))
     # the leader of a bucket: of most copies, then smallest id; and one at random
@@ -310,7 +311,8 @@ def _near_rows(docs: DataFrame, key: str, id_col: str, text_col: str, threshold:
     planes = sketch.drop("bands")
     stars = (members.select(F.col("rep").alias("x"), F.explode(F.array("first", "other")).alias("y"))
              .where("x <> y").distinct()
-             .join(planes.toDF("x", "px", "sx"), "x").join(planes.toDF("y", "py", "sy"), "y")
+             # x last: the window below needs the rows by x as well
+             .join(planes.toDF("y", "py", "sy"), "y").join(planes.toDF("x", "px", "sx"), "x")
              .where(F.least("sx", "sy") * 100 >= F.greatest("sx", "sy") * round(threshold * 100))
              .withColumn("est", estimate("px", "py", perms, bits))
              .where(F.col("est") >= threshold - slack))
@@ -318,12 +320,12 @@ def _near_rows(docs: DataFrame, key: str, id_col: str, text_col: str, threshold:
     stars = stars.withColumn("k", F.row_number().over(best)).where("k <= 2")
     star = stars.select(F.col("x").alias("doc"), F.array("y").alias("ys"))
     links = materialize(_confirm(star, docs, threshold, words), "links")
-    labels = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    labels = connected_components(links.toDF("a", "b"))
     rest = _similar_in_blocks(_unresolved(members, labels, sketch, part), threshold, slack, perms, bits)
     more = materialize(_confirm(rest, docs, threshold, words), "links")
     if not more.isEmpty():
-        links = links.unionByName(more)
-        labels = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        # the components so far say all that the first links do
+        labels = connected_components(labels.toDF("a", "b").unionByName(more.toDF("a", "b")))
     named = materialize(ids.join(labels, ids["rep"] == labels["node"], "left")
                         .select("h1", "h2", "n_shingles", "head", F.coalesce("root", "rep").alias("root")), "named")
     heads = named.groupBy("root").agg(F.min("head").alias("head"))

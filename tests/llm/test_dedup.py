@@ -129,6 +129,65 @@ def test_components_of_a_long_path(spark):
     assert got == {**{i: 0 for i in range(1, 201)}, 901: 900}
 
 
+def tasks(spark, run):
+    """Tasks that ``run`` starts, as Spark's status tracker has them."""
+    sc, name = spark.sparkContext, f"tasks-{random.random()}"
+    sc.setJobGroup(name, name)
+    try:
+        run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    seen = sc.statusTracker()
+    stages = {s for j in seen.getJobIdsForGroup(name) for s in seen.getJobInfo(j).stageIds}
+    return sum(i.numCompletedTasks for i in map(seen.getStageInfo, stages) if i)
+
+
+@pytest.fixture()
+def many_partitions(spark):
+    held = {"spark.sql.shuffle.partitions": "13", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "1k"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_few_tasks_for_groups_that_are_soon_settled(many_partitions):
+    # with many partitions a job costs its tasks, however few its rows
+    spark, rng, base = many_partitions, random.Random(4), prose(120, 12)
+    rows = [(1000 + i, mutate(base, 0.03, rng), None) for i in range(60)]
+    rows += [(2000 + i, prose(80, 50), None) for i in range(60)] + [(3000 + i, prose(80, i), None) for i in range(60)]
+    got = {}
+    n = tasks(spark, lambda: got.update(
+        {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(frame(spark, rows)).collect()}))
+    assert got == plain_components(rows)
+    assert n < 1_100, n
+
+
+def test_stars_take_no_round(many_partitions):
+    spark = many_partitions
+    edges = spark.createDataFrame([(7, i) for i in range(8, 60)] + [(9, 7), (2, 1), (3, 1), (1, 3)], "a long, b long")
+    got = {}
+    n = tasks(spark, lambda: got.update({r.node: r.root for r in connected_components(edges).collect()}))
+    assert got == {**{i: 7 for i in range(8, 60)}, 2: 1, 3: 1}
+    assert n < 100, n
+
+
+def test_components_against_union_find(spark):
+    rng = random.Random(6)
+    for n, m in ((40, 30), (200, 260), (300, 200)):
+        pairs = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)]
+        up = list(range(n))
+        for _ in range(n):
+            for a, b in pairs:
+                up[a] = up[b] = min(up[a], up[b])
+        df = spark.createDataFrame(pairs + [(None, 3), (4, None)], "a long, b long")
+        got = {r.node: r.root for r in connected_components(df).collect()}
+        assert got == {i: up[i] for i in range(n) if up[i] != i}
+
+
 def test_shingles_of_short_texts():
     assert len(shingles(None)) == len(shingles("")) == len(shingles(" \t")) == 0
     assert len(shingles("a b c")) == 1 and shingles("A b\nC")[0] == shingles("a  b c")[0]
